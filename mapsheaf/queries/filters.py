@@ -82,13 +82,17 @@ def population_filter(spark, sf_dir):
     return union_types(at).select("id", "population", "zoom")
 
 
+_LABEL_SQL = """SELECT id, label, '{kind}' AS kind, {zoom} AS zoom FROM features
+  WHERE theme = 'divisions' AND length(label) <= CASE {cases} END"""
+_LABEL_CASES = {
+    "country": "WHEN {zoom} >= 7 THEN 999 WHEN {zoom} >= 5 THEN 50 WHEN {zoom} >= 3 THEN 25 ELSE 15",
+    "region": "WHEN {zoom} >= 8 THEN 999 WHEN {zoom} >= 6 THEN 30 ELSE 15",
+}
+
+
 @query("label_length_filter", sql("\nUNION ALL\n".join(
-    f"""SELECT id, label, '{kind}' AS kind, {z} AS zoom FROM features
-    WHERE theme = 'divisions' AND length(label) <= CASE {cases} END"""
-    for kind, cases in (
-        ("country", "WHEN zoom >= 7 THEN 999 WHEN zoom >= 5 THEN 50 WHEN zoom >= 3 THEN 25 ELSE 15"),
-        ("region", "WHEN zoom >= 8 THEN 999 WHEN zoom >= 6 THEN 30 ELSE 15"))
-    for z, cases in ((z, cases.replace("zoom", str(z))) for z in (2, 4, 6, 8)))))
+    _LABEL_SQL.format(kind=kind, zoom=zoom, cases=cases.format(zoom=zoom))
+    for kind, cases in _LABEL_CASES.items() for zoom in (2, 4, 6, 8))))
 def label_length_filter(spark, sf_dir):
     divisions = features(spark, sf_dir, "divisions").select("id", "names")
     return union_types([
