@@ -46,7 +46,9 @@ def fixed3(number: Column) -> Column:
 def number_text(number: Column) -> Column:
     """A double written plainly: ``34`` rather than ``34.0``, never with an exponent."""
     text = number.cast("string")
-    plain = F.when(text.contains("E"), F.coalesce(text.try_cast("decimal(38,18)").cast("string"), text)).otherwise(text)
+    scale = F.when(F.abs(number) < 1, text.try_cast("decimal(38,37)").cast("string")).otherwise(
+        text.try_cast("decimal(38,10)").cast("string"))
+    plain = F.when(text.contains("E"), F.coalesce(scale, text)).otherwise(text)
     return F.when(plain.contains("."), F.regexp_replace(plain, r"\.?0+$", "")).otherwise(plain)
 
 

@@ -115,26 +115,30 @@ def property_rows(df: DataFrame, column: str = "entity", keys: tuple[str, ...] =
 
     Properties that start with ``@`` are helpers and left out.
     """
-    own = F.filter(F.col(column), lambda entry: ~entry["key"].startswith("@"))
-    sub = F.filter(own, lambda entry: entry["key"] == "subclass")
-    others = F.filter(own, lambda entry: entry["key"] != "subclass")
-
     def line(entry: Column, indented: bool) -> Column:
         return F.struct(
             entry["key"].alias("key"), entry["value"].alias("value"), F.lit(indented).alias("indented"))
 
-    has_class = F.exists(own, lambda entry: entry["key"] == "class")
-    below = F.transform(sub, lambda entry: line(entry, True))
-    ordered = F.flatten(F.transform(
-        others,
-        lambda entry: F.when(
-            entry["key"] == "class", F.concat(F.array(line(entry, False)), below)
-        ).otherwise(F.array(line(entry, False))),
-    ))
-    last = F.when(has_class, F.slice(below, 1, 0)).otherwise(
-        F.transform(sub, lambda entry: line(entry, False)))
+    def entries(where) -> Column:
+        return F.filter("_own", where)
+
+    own = df.select(
+        *keys, F.filter(column, lambda entry: ~entry["key"].startswith("@")).alias("_own"))
+    parts = own.select(
+        *keys,
+        entries(lambda entry: entry["key"] != "subclass").alias("_others"),
+        F.get(entries(lambda entry: entry["key"] == "subclass"), 0).alias("_sub"),
+    )
+    split = parts.select(
+        "*", F.array_position(F.transform("_others", lambda entry: entry["key"]), F.lit("class")).alias("_class"))
+    lines = F.transform("_others", lambda entry: line(entry, False))
+    below = (
+        F.when(F.col("_class") > 0, F.array_insert(lines, (F.col("_class") + 1).cast("int"), line(F.col("_sub"), True)))
+        .otherwise(F.array_append(lines, line(F.col("_sub"), False)))
+    )
+    ordered = F.when(F.col("_sub").isNull(), lines).otherwise(below)
     return (
-        df.select(*keys, F.posexplode(F.concat(ordered, last)).alias("position", "line"))
+        split.select(*keys, F.posexplode(ordered).alias("position", "line"))
         .select(*keys, "position", "line.*")
     )
 
@@ -146,8 +150,13 @@ def property_values(df: DataFrame, key: str = "key", value: str = "value") -> Da
     per item, anything else one row as it is. Short lists of plain values are shown
     in line, with brackets but for ``alternate``, which always shows plain lists so.
     """
-    parsed = F.when(F.col(value).rlike(r"^\s*[\[{]"), F.try_parse_json(value))
-
+    keep = [c for c in df.columns if c != value]
+    # Parsed once, in a step of its own, and then split up.
+    parsed = df.withColumn("_parsed", F.when(F.col(value).rlike(r"^\s*[\[{]"), F.try_parse_json(value)))
+    split = parsed.withColumns({
+        "_members": F.map_entries(F.try_variant_get("_parsed", "$", "map<string,variant>")),
+        "_items": F.try_variant_get("_parsed", "$", "array<variant>"),
+    })
     def plain(items: Column) -> Column:
         kind = r"^(STRING|BOOLEAN|BIGINT|DOUBLE|FLOAT|DECIMAL.*)$"
         return F.forall(items, lambda item: F.coalesce(
@@ -166,8 +175,7 @@ def property_values(df: DataFrame, key: str = "key", value: str = "value") -> Da
             .otherwise(text(item))
         )
 
-    members = F.map_entries(F.try_variant_get(parsed, "$", "map<string,variant>"))
-    items = F.try_variant_get(parsed, "$", "array<variant>")
+    members, items = F.col("_members"), F.col("_items")
     nothing = F.lit(None).cast("string")
     rows = (
         F.when(members.isNotNull(), F.transform(
@@ -177,8 +185,7 @@ def property_values(df: DataFrame, key: str = "key", value: str = "value") -> Da
             items, lambda item: F.struct(nothing.alias("member"), shown(nothing, item).alias("text"))))
         .otherwise(F.array(F.struct(nothing.alias("member"), F.col(value).alias("text"))))
     )
-    keep = [c for c in df.columns if c != value]
-    return df.select(*keep, F.posexplode(rows).alias("position", "row")).select(
+    return split.select(*keep, F.posexplode(rows).alias("position", "row")).select(
         *keep, "position", "row.*")
 
 

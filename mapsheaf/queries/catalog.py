@@ -76,22 +76,47 @@ def clip_release(spark, sf_dir):
     return release.scan_release(spark, out).select("id", "theme", "type", "subtype", "class")
 
 
+# Files that hold the features of ten by ten degrees each, named after their cell.
+_CELL = "lpad(CAST(CAST(floor((xmin + 180) / 10) AS INT) AS STRING), 2, '0') || lpad(CAST(CAST(floor((ymin + 90) / 10) AS INT) AS STRING), 2, '0')"
+_MANIFEST_SQL = f"""files AS (
+  SELECT theme, type, 'theme=' || theme || '/type=' || type || '/' || {_CELL} || '.parquet' AS rel_path,
+    min(xmin) AS xmin, min(ymin) AS ymin, max(xmax) AS xmax, max(ymax) AS ymax, count(*) AS features
+  FROM features GROUP BY ALL),
+manifest AS (SELECT *, row_number() OVER (ORDER BY rel_path) - 1 AS file_no FROM files)"""
+
+
 def manifest(spark, sf_dir):
-    root = release_root(spark, sf_dir)
-    return op.file_manifest(release.scan_release(spark, root), root)
+    """The manifest of a release whose files hold ten by ten degrees each."""
+    rows = features(spark, sf_dir).select("theme", "type", "bbox", "bbox.xmin", "bbox.ymin")
+    placed = rows.withColumn("filename", F.concat(
+        F.lit("/release/theme="), "theme", F.lit("/type="), "type", F.lit("/"), F.expr(_CELL), F.lit(".parquet")))
+    return op.file_manifest(placed, "/release")
 
 
-@query("file_manifest")
+@query("file_manifest", sql(
+    """SELECT type || '-' || file_no AS file_id, file_no, theme, type, rel_path, '/release/' || rel_path AS path,
+      xmin, ymin, xmax, ymax, features FROM manifest""", _MANIFEST_SQL))
 def file_manifest(spark, sf_dir):
-    return manifest(spark, sf_dir)
+    return manifest(spark, sf_dir).select(
+        "file_id", "file_no", "theme", "type", "rel_path", "path", "bbox.xmin", "bbox.ymin", "bbox.xmax",
+        "bbox.ymax", "features")
+
+
+@query("file_manifest_scanned")
+def file_manifest_scanned(spark, sf_dir):
+    # Which files there are depends on the writer, so there is no SQL to compare with.
+    root = release_root(spark, sf_dir)
+    return op.file_manifest(release.scan_release(spark, root), root)
 
 
 _REQUEST_TYPES = ("place", "segment", "building", "land", "water")
 
 
-@query("download_catalog")
+@query("download_catalog", sql(
+    f"""SELECT view_id AS request_id, type, file_no, rel_path FROM views JOIN manifest
+      ON xmin < e AND xmax > w AND ymin < n AND ymax > s
+    WHERE type IN ('place', 'segment', 'building', 'land', 'water')""", VIEW_SQL, _MANIFEST_SQL))
 def download_catalog(spark, sf_dir):
-    # Which files there are depends on the writer, so there is no SQL to compare with.
     types = F.array(*map(F.lit, _REQUEST_TYPES))
     requests = views(spark, sf_dir).select(
         F.col("view_id").alias("request_id"), "box", F.explode(types).alias("type"))

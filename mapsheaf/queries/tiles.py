@@ -155,16 +155,15 @@ columned AS (SELECT *, unnest(generate_series(x0, x1)) AS x FROM ranged),
 tiled AS (SELECT *, unnest(generate_series(y0, y1)) AS y FROM columned)"""
 
 
-def tiled(spark, sf_dir, spread=tiling.WIDE_FEATURE_TILES):
-    return tiling.tile_assign(zoomed(spark, sf_dir), 0, 9, spread)
+def tiled(spark, sf_dir):
+    return tiling.tile_assign(zoomed(spark, sf_dir), 0, 9)
 
 
 @query("tile_assign", sql(
     """SELECT theme, type, z, CAST(x AS INTEGER) AS x, CAST(y AS INTEGER) AS y,
       count(*) AS features, sum(key) AS key_sum FROM tiled GROUP BY ALL""", ZOOMED, TILED))
 def tile_assign(spark, sf_dir):
-    # A low limit, so that both ways of expanding a feature are taken.
-    return tiled(spark, sf_dir, spread=16).groupBy("theme", "type", "z", "x", "y").agg(
+    return tiled(spark, sf_dir).groupBy("theme", "type", "z", "x", "y").agg(
         F.count("*").alias("features"), F.sum("key").alias("key_sum"))
 
 
