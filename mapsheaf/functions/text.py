@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -37,10 +38,22 @@ def is_url(text: Column) -> Column:
 
 
 def fixed3(number: Column) -> Column:
-    """Three decimals; a tie rounds away from zero."""
-    tie = F.abs(number) * 16 % 2 == 1
-    nudged = F.when(tie, number + F.signum(number) * 0.0001).otherwise(number)
-    return F.replace(F.format_number(nudged, 3), F.lit(","), F.lit(""))
+    """Three decimals of a double below 256, rounded by its exact binary value, ties up.
+
+    The value is taken as a whole number of 2**-80, so no digit is lost before rounding.
+    """
+    def whole(value: Column) -> Column:
+        return F.floor(value).cast("decimal(38,0)")
+
+    scaled = F.abs(number) * float(2**20)
+    high = whole(scaled)
+    low = whole((scaled - F.floor(scaled)) * float(2**60))
+    fine = high * F.lit(Decimal(2**60)) + low
+    thousandths = F.call_function("div", fine * 2000 + F.lit(Decimal(2**80)), F.lit(Decimal(2**81)))
+    sign = F.when(number < 0, "-").otherwise("")
+    return F.concat(
+        sign, F.floor(thousandths / 1000).cast("string"), F.lit("."),
+        F.lpad((thousandths % 1000).cast("string"), 3, "0"))
 
 
 def number_text(number: Column) -> Column:

@@ -102,13 +102,13 @@ def _prefix_results(features: DataFrame, queries: DataFrame, results: int) -> Da
         named.where(reach >= SHORTEST_QUERY)
         .withColumn("_length", F.explode(F.sequence(F.lit(SHORTEST_QUERY), reach)))
         .withColumn("prefix", F.left(folded, F.col("_length")))
-        .join(texts, "prefix", "left_semi")
     )
+    asked = salted_join(prefixes, texts, ["prefix"], "left_semi", F.col("id"))
     # Spark keeps the best rows of a prefix in every task before it shuffles them,
     # so a prefix shared by most names costs no more than any other.
     best = Window.partitionBy("prefix").orderBy(folded, "name", "id")
     return (
-        prefixes.withColumn("position", F.row_number().over(best))
+        asked.withColumn("position", F.row_number().over(best))
         .where(F.col("position") <= results)
         .select("prefix", "position", "id", "theme", "type", "subtype", "name")
     )

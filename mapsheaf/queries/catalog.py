@@ -157,15 +157,30 @@ def latest_release(spark, sf_dir):
     return op.latest_release(catalog, seen)
 
 
-@query("export_geojson")
+_PLAIN = "regexp_replace(CAST({} AS VARCHAR), '\\.0$', '')".format
+
+
+def _at(x: str, y: str) -> str:
+    return f"'[' || {_PLAIN(x)} || ',' || {_PLAIN(y)} || ']'"
+
+
+_RING = " || ',' || ".join(
+    _at(x, y) for x, y in (("xmin", "ymin"), ("xmax", "ymin"), ("xmax", "ymax"), ("xmin", "ymax"), ("xmin", "ymin")))
+
+
+@query("export_geojson", sql(
+    f"""SELECT type, '{{"type":"Feature","geometry":' || CASE geom_type
+      WHEN 'Point' THEN '{{"type":"Point","coordinates":' || {_at("xmin", "ymin")} || '}}'
+      WHEN 'LineString' THEN '{{"type":"LineString","coordinates":[' || {_at("xmin", "ymin")} || ',' || {_at("xmax", "ymax")} || ']}}'
+      ELSE '{{"type":"Polygon","coordinates":[[' || {_RING} || ']]}}' END
+      || ',"properties":{{"id":"' || id || '","bbox":{{"xmin":' || xmin || ',"xmax":' || xmax || ',"ymin":' || ymin || ',"ymax":' || ymax || '}}'
+      || coalesce(',"subtype":"' || subtype || '"', '') || coalesce(',"names":' || names_json, '') || '}}}}' AS value
+    FROM features WHERE type IN ('place', 'segment', 'water') AND {_CLIP}"""))
 def export_geojson(spark, sf_dir):
     out = new_dir(spark, "geojson")
     rows = features(spark, sf_dir).select("theme", "type", "id", "geom_type", "bbox", "subtype", "names")
     export.export_geojson(rows, REGION, ("place", "segment", "water"), out)
-    return spark.read.text(out)
-
-
-_PLAIN = "regexp_replace(CAST({} AS VARCHAR), '\\.0$', '')".format
+    return spark.read.text(out).select("type", "value")
 
 
 @query("export_summary", sql(

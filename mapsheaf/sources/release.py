@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from mapsheaf.functions.predicates import meets_box
-from mapsheaf.model import theme_types
+from mapsheaf.model import TYPE_THEME, theme_types
 
 
 def union_types(frames: list[DataFrame]) -> DataFrame:
@@ -21,20 +21,22 @@ def scan_release(spark: SparkSession, root: str, theme: str | None = None,
                  type: str | None = None, schema: StructType | str | None = None) -> DataFrame:
     """Features of a release with their source file.
 
-    Theme and type come from the path and prune folders; columns of the files are
-    unified by name. That reads every file's footer once, so pass ``schema`` where
-    it is known: then planning does not depend on the number of files.
+    Only the folders of the theme and type asked for are listed. Columns of the
+    files are unified by name; that reads the footer of every file listed, so pass
+    ``schema`` where it is known: then no footer is read to plan the scan.
     """
-    if type is not None and theme is not None and type not in theme_types(theme):
+    if type is not None and theme is None:
+        theme = TYPE_THEME[type]
+    if type is not None and type not in theme_types(theme):
         raise ValueError(f"theme {theme} has no type {type}")
-    reader = spark.read.option("basePath", root)
-    reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", True)
-    df = reader.parquet(root)
+    path = root.rstrip("/")
     if theme is not None:
-        df = df.where(F.col("theme") == theme)
+        path += f"/theme={theme}"
     if type is not None:
-        df = df.where(F.col("type") == type)
-    return df.withColumn("filename", F.col("_metadata.file_path"))
+        path += f"/type={type}"
+    reader = spark.read.option("basePath", root)
+    reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", True)
+    return reader.parquet(path).withColumn("filename", F.col("_metadata.file_path"))
 
 
 def clip_release(spark: SparkSession, root: str, out: str, theme: str, bbox=None,
