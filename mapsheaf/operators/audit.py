@@ -70,13 +70,7 @@ def audit_missing_fields(observed_fields: DataFrame, tilespec: DataFrame, allowe
 
 def enum_values(enums: DataFrame) -> DataFrame:
     """All values a type may take, over subtypes, classes, road and rail classes."""
-    values = [
-        enums.where(F.col("kind") == kind).select("theme", "type", "value") for kind in _KINDS
-    ]
-    result = values[0]
-    for more in values[1:]:
-        result = result.union(more)
-    return result.distinct()
+    return enums.where(F.col("kind").isin(*_KINDS)).select("theme", "type", "value").distinct()
 
 
 def audit_bad_values(observed_values: DataFrame, enums: DataFrame) -> DataFrame:
@@ -125,20 +119,17 @@ def audit_counts(issues: DataFrame) -> DataFrame:
     return issues.rollup("severity", "check").agg(F.count("*").alias("issues"))
 
 
-def styled_values(enums: DataFrame, used: DataFrame) -> DataFrame:
-    """Every enum value of a type and whether it is used."""
-    declared = enum_values(enums)
-    taken = used.select("theme", "type", "value").intersect(declared)
-    rest = declared.subtract(taken)
-    return taken.withColumn("styled", F.lit(True)).unionByName(rest.withColumn("styled", F.lit(False)))
-
-
-def _covered(enums: DataFrame, used: DataFrame) -> DataFrame:
+def _marked(values: DataFrame, used: DataFrame) -> DataFrame:
     taken = used.select("theme", "type", "value").distinct().withColumn("styled", F.lit(True))
-    return enums.join(taken, ["theme", "type", "value"], "left").withColumn(
+    return values.join(taken, ["theme", "type", "value"], "left").withColumn(
         "styled", F.coalesce("styled", F.lit(False)))
 
 
+def styled_values(enums: DataFrame, used: DataFrame) -> DataFrame:
+    """Every enum value of a type and whether it is used."""
+    return _marked(enum_values(enums), used)
+
+
 def _percent(styled, total):
     # Positive numbers, so adding a half and cutting off rounds halves up.
     return F.floor(styled * 100 / total + 0.5)
@@ -151,7 +142,7 @@ def style_coverage(enums: DataFrame, used: DataFrame) -> DataFrame:
     """
     styled, value = F.col("styled"), F.col("value")
     return (
-        _covered(enums, used).groupBy("theme", "type", "kind")
+        _marked(enums, used).groupBy("theme", "type", "kind")
         .agg(
             F.count("*").alias("total"),
             F.count_if(styled).alias("styled"),
@@ -165,7 +156,7 @@ def style_coverage(enums: DataFrame, used: DataFrame) -> DataFrame:
 def style_coverage_total(enums: DataFrame, used: DataFrame) -> DataFrame:
     """Overall share of used enum values; 0 percent when there are none."""
     return (
-        _covered(enums, used)
+        _marked(enums, used)
         .agg(F.count("*").alias("total"), F.count_if("styled").alias("styled"))
         .withColumn("percent", F.when(F.col("total") > 0, _percent(F.col("styled"), F.col("total"))).otherwise(0))
     )

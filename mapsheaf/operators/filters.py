@@ -72,9 +72,15 @@ def zoom_window_filter(df: DataFrame, zoom, low: str = "minzoom", high: str = "m
     return df.where(p.in_zoom_window(zoom, F.col(low), F.col(high)))
 
 
-def category_match_filter(df: DataFrame, group: str) -> DataFrame:
-    """Places whose primary category is listed for ``group``."""
-    return df.where(primary_category(df).isin(*PLACE_CATEGORIES[group]))
+def category_match_filter(df: DataFrame, group: str | Column) -> DataFrame:
+    """Places whose primary category is listed for ``group``, a name or a column of names."""
+    category = primary_category(df)
+    if not isinstance(group, Column):
+        return df.where(category.isin(*PLACE_CATEGORIES[group]))
+    listed = F.lit(False)
+    for name, categories in PLACE_CATEGORIES.items():
+        listed = listed | ((group == name) & category.isin(*categories))
+    return df.where(listed)
 
 
 def category_contains_filter(df: DataFrame, word: str) -> DataFrame:

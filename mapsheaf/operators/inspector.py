@@ -157,23 +157,23 @@ def property_values(df: DataFrame, key: str = "key", value: str = "value") -> Da
         "_members": F.map_entries(F.try_variant_get("_parsed", "$", "map<string,variant>")),
         "_items": F.try_variant_get("_parsed", "$", "array<variant>"),
     })
-    def plain(items: Column) -> Column:
-        kind = r"^(STRING|BOOLEAN|BIGINT|DOUBLE|FLOAT|DECIMAL.*)$"
-        return F.forall(items, lambda item: F.coalesce(
-            F.schema_of_variant(item).rlike(kind), F.lit(False)))
-
     def text(item: Column) -> Column:
         return F.coalesce(F.try_variant_get(item, "$", "string"), F.to_json(item))
 
-    def shown(member: Column, item: Column) -> Column:
-        items = F.try_variant_get(item, "$", "array<variant>")
+    def listing(member: Column, items: Column) -> Column:
+        kind = r"^(STRING|BOOLEAN|BIGINT|DOUBLE|FLOAT|DECIMAL.*)$"
+        plain = F.forall(items, lambda item: F.coalesce(F.schema_of_variant(item).rlike(kind), F.lit(False)))
         joined = F.array_join(F.transform(items, text), ", ")
-        return (
-            F.when(plain(items) & F.coalesce(member == "alternate", F.lit(False)), joined)
-            .when(plain(items) & (F.size(items) <= INLINE_ITEMS),
-                  F.concat(F.lit("["), joined, F.lit("]")))
-            .otherwise(text(item))
-        )
+        return F.when(
+            plain,
+            F.when(F.coalesce(member == "alternate", F.lit(False)), joined)
+            .when(F.size(items) <= INLINE_ITEMS, F.concat(F.lit("["), joined, F.lit("]"))))
+
+    def shown(member: Column, item: Column) -> Column:
+        items = F.array(F.try_variant_get(item, "$", "array<variant>"))
+        listed = F.get(F.transform(items, lambda values: listing(member, values)), 0)
+        return F.coalesce(
+            F.when(F.schema_of_variant(item).startswith("ARRAY"), listed), text(item))
 
     members, items = F.col("_members"), F.col("_items")
     nothing = F.lit(None).cast("string")

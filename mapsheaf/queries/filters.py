@@ -77,9 +77,10 @@ def confidence_filter(spark, sf_dir):
          WHEN {z} >= 11 THEN population >= 50000 ELSE population >= 1000000 END"""
     for z in (9, 11, 12, 13))))
 def population_filter(spark, sf_dir):
-    divisions = features(spark, sf_dir, "divisions").select("id", "subtype", "population")
-    at = [op.population_filter(divisions, z).withColumn("zoom", F.lit(z)) for z in (9, 11, 12, 13)]
-    return union_types(at).select("id", "population", "zoom")
+    zooms = F.array(*map(F.lit, (9, 11, 12, 13)))
+    divisions = features(spark, sf_dir, "divisions").select(
+        "id", "subtype", "population", F.explode(zooms).alias("zoom"))
+    return op.population_filter(divisions, F.col("zoom")).select("id", "population", "zoom")
 
 
 _LABEL_SQL = """SELECT id, label, '{kind}' AS kind, {zoom} AS zoom FROM features
@@ -94,11 +95,12 @@ _LABEL_CASES = {
     _LABEL_SQL.format(kind=kind, zoom=zoom, cases=cases.format(zoom=zoom))
     for kind, cases in _LABEL_CASES.items() for zoom in (2, 4, 6, 8))))
 def label_length_filter(spark, sf_dir):
-    divisions = features(spark, sf_dir, "divisions").select("id", "names")
+    zooms = F.array(*map(F.lit, (2, 4, 6, 8)))
+    divisions = features(spark, sf_dir, "divisions").select("id", "names", F.explode(zooms).alias("zoom"))
     return union_types([
-        op.label_length_filter(divisions, kind, z).select(
-            "id", feature_label(divisions).alias("label"), F.lit(kind).alias("kind"), F.lit(z).alias("zoom"))
-        for kind in ("country", "region") for z in (2, 4, 6, 8)
+        op.label_length_filter(divisions, kind, F.col("zoom")).select(
+            "id", feature_label(divisions).alias("label"), F.lit(kind).alias("kind"), "zoom")
+        for kind in ("country", "region")
     ])
 
 
@@ -157,12 +159,10 @@ def zoom_window_filter(spark, sf_dir):
     f"SELECT id, category, '{group}' AS place_group FROM features WHERE category IN ({listed(values)})"
     for group, values in PLACE_CATEGORIES.items())))
 def category_match_filter(spark, sf_dir):
-    places = features(spark, sf_dir, "places").select("id", "categories")
-    return union_types([
-        op.category_match_filter(places, group).select(
-            "id", F.col("categories.primary").alias("category"), F.lit(group).alias("place_group"))
-        for group in PLACE_CATEGORIES
-    ])
+    groups = F.array(*map(F.lit, PLACE_CATEGORIES))
+    places = features(spark, sf_dir, "places").select("id", "categories", F.explode(groups).alias("place_group"))
+    return op.category_match_filter(places, F.col("place_group")).select(
+        "id", F.col("categories.primary").alias("category"), "place_group")
 
 
 @query("category_contains_filter", sql(

@@ -241,9 +241,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def dealt(df: DataFrame) -> DataFrame:
-    """Deal out a table of too few files, each read by one task, before heavy work.
+    """Deal out rows that come from fewer files than there are cores, before heavy work.
 
-    A table with a file or more per core is read in parallel and left as it is.
+    Rows of more files are read in parallel already and left where they are.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if len(df.inputFiles()) < cores else df
@@ -303,7 +303,7 @@ def features(spark: SparkSession, sf_dir: str, *themes: str) -> DataFrame:
     known = (spark.sparkContext.applicationId, sf_dir, themes)
     if known not in _frames:
         frames = [
-            dealt(table(spark, sf_dir, name)).selectExpr(*_expressions(columns))
+            table(spark, sf_dir, name).selectExpr(*_expressions(columns))
             for theme, (name, columns) in FLAT.items() if not themes or theme in themes
         ]
         result = frames[0]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from mapsheaf.functions import style
 from mapsheaf.operators import inspector as op
 from mapsheaf.operators import tags as tag
-from mapsheaf.queries.fixture import features, sql, table
+from mapsheaf.queries.fixture import dealt, features, sql, table
 from mapsheaf.queries.registry import query
 from mapsheaf.sources.release import union_types
 
@@ -75,7 +75,8 @@ def source_links(spark, sf_dir):
 
 # Rendered features: some of their properties repeat or contradict where they sit.
 def rendered(spark, sf_dir):
-    rows = features(spark, sf_dir)
+    rows = dealt(features(spark, sf_dir).select(
+        "key", "theme", "type", "id", "subclass", "version", "class", "height", "has_parts", "street"))
     return rows.select(
         F.when(F.col("key") % 31 == 0, "weather").otherwise(F.col("theme")).alias("source"),
         F.col("type").alias("source_layer"), "id",
@@ -119,7 +120,7 @@ def property_rows(spark, sf_dir):
 
 @query("property_values")
 def property_values(spark, sf_dir):
-    nested = features(spark, sf_dir).select("id", "names", "categories", "cartography", "sources", "subtype")
+    nested = dealt(features(spark, sf_dir).select("id", "names", "categories", "cartography", "sources", "subtype"))
     rows = op.properties_of(nested, skip=("id", "@name")).select("id", F.inline("properties"))
     return op.property_values(rows)
 

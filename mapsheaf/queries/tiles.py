@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from mapsheaf.operators import tags as tag
 from mapsheaf.operators import tiling
 from mapsheaf.plans import profiles
-from mapsheaf.queries.fixture import features, sql
+from mapsheaf.queries.fixture import dealt, features, sql
 from mapsheaf.queries.registry import query
 from mapsheaf.session import new_dir
 from mapsheaf.sources.release import union_types
@@ -156,7 +156,7 @@ tiled AS (SELECT *, unnest(generate_series(y0, y1)) AS y FROM columned)"""
 
 
 def tiled(spark, sf_dir):
-    return tiling.tile_assign(zoomed(spark, sf_dir), 0, 9)
+    return tiling.tile_assign(dealt(zoomed(spark, sf_dir)), 0, 9)
 
 
 @query("tile_assign", sql(
@@ -173,22 +173,17 @@ def tile_assign(spark, sf_dir):
       ELSE 0 END AS tag_count FROM zoomed""" for z in (5, 9, 13)), ZOOMED))
 def attribute_visibility(spark, sf_dir):
     rows = zoomed(spark, sf_dir).select("id", "bbox", "tags_zoom", "subtype", "class")
-    tagged = tag.tag_map(rows, skip=("tags_zoom",))
-    return union_types([
-        tag.attribute_visibility(tagged, z).select(
-            "id", F.lit(z).alias("zoom"), F.size("tags").alias("tag_count"))
-        for z in (5, 9, 13)
-    ])
+    tagged = tag.tag_map(rows, skip=("tags_zoom",)).withColumn("zoom", F.explode(F.array(*map(F.lit, (5, 9, 13)))))
+    return tag.attribute_visibility(tagged, F.col("zoom")).select("id", "zoom", F.size("tags").alias("tag_count"))
 
 
 @query("min_pixel_filter", sql("\nUNION ALL\n".join(
     f"""SELECT id, {z} AS zoom FROM zoomed
     WHERE geom_type = 'Point' OR {_pixels(str(z))} >= coalesce(min_pixel, 1)""" for z in (3, 8, 13)), ZOOMED))
 def min_pixel_filter(spark, sf_dir):
-    rows = zoomed(spark, sf_dir).select("id", "bbox", "geom_type", "min_pixel")
-    return union_types([
-        tag.min_pixel_filter(rows, z).select("id", F.lit(z).alias("zoom")) for z in (3, 8, 13)
-    ])
+    zooms = F.array(*map(F.lit, (3, 8, 13)))
+    rows = zoomed(spark, sf_dir).select("id", "bbox", "geom_type", "min_pixel", F.explode(zooms).alias("zoom"))
+    return tag.min_pixel_filter(rows, F.col("zoom")).select("id", "zoom")
 
 
 @query("place_density", sql("\nUNION ALL\n".join(
