@@ -102,7 +102,7 @@ def _tag_columns(df: DataFrame, skip: tuple[str, ...]) -> dict[str, Column]:
             continue
         column = F.col(f"`{field.name}`")
         tags[field.name] = F.to_json(column) if isinstance(field.dataType, _NESTED) else column
-    if "names" in df.columns and "@name" not in tags:
+    if "names" in df.columns and "@name" not in (*tags, *skip):
         tags["@name"] = feature_label(df)
     return tags
 

@@ -118,7 +118,25 @@ def property_rows(spark, sf_dir):
         "id", "key", "value", "indented", "position")
 
 
-@query("property_values")
+@query("property_values", sql(
+    """SELECT id, key, row_number() OVER (PARTITION BY rid, key ORDER BY slot) - 1 AS position, member, text FROM (
+      SELECT rid, id, 'names' AS key, unnest([0, 1, 2]) AS slot, unnest(['common', 'primary', 'rules']) AS member,
+        unnest(['{"' || CASE WHEN key % 2 = 0 THEN 'en":"' || name_primary || ' X' ELSE 'fr":"' || name_primary || ' Y' END || '"}',
+          name_primary, CASE WHEN key % 7 = 0 THEN '[{"between":[0,0.5]}]' END]) AS text
+      FROM features WHERE name_primary IS NOT NULL
+      UNION ALL
+      SELECT rid, id, 'categories', unnest([0, 1]), unnest(['alternate', 'primary']), unnest(['other', category])
+      FROM features WHERE category IS NOT NULL
+      UNION ALL
+      SELECT rid, id, 'cartography', unnest([0, 1]), unnest(['max_zoom', 'min_zoom']),
+        unnest([CAST(draw_from + 5 AS VARCHAR), CAST(draw_from AS VARCHAR)])
+      FROM features WHERE draw_from IS NOT NULL
+      UNION ALL
+      SELECT rid, id, 'sources', slot, NULL, '{"dataset":"' || dataset || '","property":"' || property || '"'
+        || coalesce(',"record_id":"' || record_id || '"', '') || '}' FROM sources
+      UNION ALL
+      SELECT rid, id, 'subtype', 0, NULL, subtype FROM features WHERE subtype IS NOT NULL)
+    WHERE text IS NOT NULL"""))
 def property_values(spark, sf_dir):
     nested = dealt(features(spark, sf_dir).select("id", "names", "categories", "cartography", "sources", "subtype"))
     rows = op.properties_of(nested, skip=("id", "@name")).select("id", F.inline("properties"))

@@ -146,7 +146,7 @@ def _pixels(zoom: str) -> str:
 
 
 TILED = f"""ranged AS (
-  SELECT theme, type, id, key, z,
+  SELECT theme, type, rid, id, key, z,
     {_tile('((xmin + 180) / 360)', 'z')} AS x0, {_tile('((xmax + 180) / 360)', 'z')} AS x1,
     {_tile(_y('ymax'), 'z')} AS y0, {_tile(_y('ymin'), 'z')} AS y1
   FROM zoomed, generate_series(0, 9) AS steps(z)
@@ -224,7 +224,9 @@ def tile_layer_stats(spark, sf_dir):
     return tiling.tile_layer_stats(tiles)
 
 
-@query("tile_table")
+@query("tile_table", sql(
+    """SELECT theme, tiled.type, id, z, CAST(x AS INTEGER) AS x, CAST(y AS INTEGER) AS y, subtype, class
+    FROM tiled JOIN (SELECT rid, subtype, class FROM features) USING (rid) WHERE theme = 'divisions'""", ZOOMED, TILED))
 def tile_table(spark, sf_dir):
     out = new_dir(spark, "tiles")
     tiles = tiled(spark, sf_dir).select("theme", "type", "id", "z", "x", "y", "subtype", "class")

@@ -158,6 +158,13 @@ def test_tiles_of_narrow_and_wide_features(spark, spread):
     assert found == expected and "late" not in {key[0] for key in found}
 
 
+def test_a_wide_feature_is_shared_by_tasks(spark):
+    frame = boxed(spark, [("world", (-180.0, 180.0, -90.0, 90.0))]).coalesce(1)
+    tiles = tiling.tile_assign(frame, 0, 7, 64).withColumn("task", F.spark_partition_id())
+    counts = [r["count"] for r in tiles.groupBy("task").count().collect()]
+    assert sum(counts) == sum(4**z for z in range(8)) and len(counts) > 2
+
+
 def test_density_counts_points_per_cell(spark):
     rows = [("a", (10.0, 10.0, 10.0, 10.0), "place", "Point"), ("b", (11.0, 11.0, 11.0, 11.0), "place", "Point"),
             ("c", (-10.0, -10.0, 10.0, 10.0), "place", "Point"), ("d", (10.0, 10.0, 10.0, 10.0), "water", "Point")]
