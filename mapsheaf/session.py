@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+# Temporary folders of local sessions, by application.
+_local: dict[str, str] = {}
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder; a temporary one only for a local master."""
@@ -17,9 +20,10 @@ def shared_dir(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="mapsheaf-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _local:
+        _local[application] = tempfile.mkdtemp(prefix="mapsheaf-")
+    return _local[application]
 
 
 def new_dir(spark: SparkSession, name: str) -> str:
