@@ -54,21 +54,26 @@ def parse_links(links: DataFrame, url: str = "url") -> DataFrame:
     def parameter(name: str) -> Column:
         return F.try_url_decode(F.try_parse_url(F.col(url), F.lit("QUERY"), F.lit(name)))
 
-    position = F.split(F.try_parse_url(F.col(url), F.lit("REF")), "/")
-    spot = [_number(F.get(position, n)) for n in range(3)]
-    placed = (F.size(position) >= 3) & spot[0].isNotNull() & spot[1].isNotNull() & spot[2].isNotNull()
-    parts = F.split(parameter("feature"), r"\.", 3)
-    whole = F.size(parts) >= 3
-    return links.withColumns({
-        "mode": F.when(parameter("mode") == "inspect", "inspect").otherwise("explore"),
-        "layers": F.when(parameter("layers") != "", F.split(parameter("layers"), ",")),
+    # Each part of the address is taken out once, in a step of its own, and then read.
+    parts = links.withColumns({
+        "_mode": parameter("mode"), "_layers": parameter("layers"),
+        "_feature": F.split(parameter("feature"), r"\.", 3),
+        "_position": F.split(F.try_parse_url(F.col(url), F.lit("REF")), "/"),
+    })
+    spots = parts.withColumns({f"_spot{n}": _number(F.get("_position", n)) for n in range(3)})
+    spot = [F.col(f"_spot{n}") for n in range(3)]
+    placed = (F.size("_position") >= 3) & spot[0].isNotNull() & spot[1].isNotNull() & spot[2].isNotNull()
+    whole = F.size("_feature") >= 3
+    return spots.withColumns({
+        "mode": F.when(F.col("_mode") == "inspect", "inspect").otherwise("explore"),
+        "layers": F.when(F.col("_layers") != "", F.split("_layers", ",")),
         "zoom": F.when(placed, spot[0]),
         "latitude": F.when(placed, spot[1]),
         "longitude": F.when(placed, spot[2]),
-        "theme": F.when(whole, F.get(parts, 0)),
-        "type": F.when(whole, F.get(parts, 1)),
-        "id": F.when(whole, F.get(parts, 2)),
-    })
+        "theme": F.when(whole, F.get("_feature", 0)),
+        "type": F.when(whole, F.get("_feature", 1)),
+        "id": F.when(whole, F.get("_feature", 2)),
+    }).drop("_mode", "_layers", "_feature", "_position", "_spot0", "_spot1", "_spot2")
 
 
 def view_link_restore(links: DataFrame, features: DataFrame) -> DataFrame:
