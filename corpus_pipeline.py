@@ -1,16 +1,35 @@
-"""A corpus pipeline over ``documents``: each stage works on what the one before kept."""
+"""A corpus pipeline over ``documents``: each stage works on what the one before kept.
+
+1. language ID: documents whose language is not recognised go
+2. SimHash near-dedup: of each group the document with the smallest id stays
+3. benchmark decontamination: documents that overlap an item of ``benchmark`` go
+4. secret scans: documents that hold a secret go
+5. byte-level BPE: the texts' token ids, and what they decode to
+
+Every stage is written as Parquet and read again by the next. All but the last return the
+columns of ``documents``. Null, empty and blank texts go in the first stage; rows without
+``doc_id`` are never near-duplicates; repeated rows of one id are one document.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mapsheaf.llm import bpe, decontaminate, langid, secrets
 from mapsheaf.llm.common import materialize, table
+from mapsheaf.llm.queries import BPE_RANKS
 from mapsheaf.llm.simhash import simhash_groups
 
 
+def recognised_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised; learned from the folds 0 and 2 of three."""
+    return langid.keep_recognised(docs, folds=3, held_out=1)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each SimHash group: the one with the smallest id.
+    """One document of each SimHash group: the one with the smallest id.
 
     Of repeated rows with that id one stays. Rows without an id are kept.
     """
@@ -20,8 +39,32 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return named.dropDuplicates(["doc_id"]).select(docs.columns).union(docs.where("doc_id is null"))
 
 
-STAGES = [("simhash_near_dedup", near_duplicates)]
+def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that overlap no item of the benchmark."""
+    return decontaminate.keep_clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def secret_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no secret."""
+    return secrets.keep_clean(docs)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id, n_tokens, ids, decoded``: the documents as tokens, and as text again."""
+    coded = bpe.encode_decode(docs, bpe.load_ranks(BPE_RANKS), public_tokenizers.PATTERN)
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.decode("decoded", "UTF-8").alias("decoded"))
+
+
+STAGES = [
+    ("language_id", recognised_languages),
+    ("simhash_near_dedup", near_duplicates),
+    ("benchmark_decontamination", benchmark_free),
+    ("secret_scan", secret_free),
+    ("byte_bpe", encoded),
+]
 
+# Trained models and XXH64 are beyond SQL; tests/llm/test_pipeline.py has a brute-force version.
 ORACLE_SQL = None
 
 

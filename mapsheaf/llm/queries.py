@@ -4,26 +4,135 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from mapsheaf.llm import bpe, decontaminate, langid, lattice, secrets, sharding
 from mapsheaf.llm.common import table
 from mapsheaf.llm.embeddings import embedding_groups
+from mapsheaf.llm.exact_spans import remove_repeated_bytes
 from mapsheaf.llm.simhash import simhash_groups
+from mapsheaf.llm.substrings import remove_repeats
 
 Run = Callable[[SparkSession, str], DataFrame]
 
+BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+UNIGRAM_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.pack(table(spark, sf_dir, "documents"), shards=8)
+
+
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = remove_repeated_bytes(table(spark, sf_dir, "documents"), length=100)
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces, start = lattice.vocabulary(UNIGRAM_MODEL)
+    return lattice.score(table(spark, sf_dir, "documents"), pieces, start, folds=10, held_out=0)
+
 
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"), folds=3, held_out=1)
+
+
 def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_groups(table(spark, sf_dir, "embeddings"), threshold=0.98)
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.encode_decode(
+        table(spark, sf_dir, "documents"), bpe.load_ranks(BPE_RANKS), public_tokenizers.PATTERN)
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = remove_repeats(table(spark, sf_dir, "documents"), window=13)
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Run] = {
+    "op1_sharding": op1_sharding,
+    "op2_secret_scan": op2_secret_scan,
+    "op3_suffix_dedup": op3_suffix_dedup,
+    "op4_lm_score": op4_lm_score,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op6_language_id": op6_language_id,
     "op7_embedding_near_dedup": op7_embedding_near_dedup,
+    "op8_decontamination": op8_decontamination,
+    "op9_byte_bpe": op9_byte_bpe,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op3_suffix_dedup": r"""
+        WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+        place AS (SELECT doc_id, h, unnest(range(0, len(h) // 2)) AS p FROM d),
+        part AS (SELECT doc_id, p, substr(h, 2 * p + 1, 2) AS byte,
+                        CASE WHEN 2 * p + 200 <= len(h) THEN substr(h, 2 * p + 1, 200) END AS s FROM place),
+        again AS (SELECT doc_id, p, byte, s IS NOT NULL AND row_number() OVER (
+                      PARTITION BY s ORDER BY doc_id, p) > 1 AS again FROM part),
+        covered AS (SELECT doc_id, p, byte, bool_or(again) OVER (
+                        PARTITION BY doc_id ORDER BY p ROWS BETWEEN 99 PRECEDING AND CURRENT ROW) AS gone FROM again),
+        run AS (SELECT *, lag(gone, 1, false) OVER (PARTITION BY doc_id ORDER BY p) AS before FROM covered),
+        kept AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, count(*) FILTER (gone AND NOT before) AS n_spans,
+                        string_agg(byte, '' ORDER BY p) FILTER (NOT gone) AS k FROM run GROUP BY doc_id)
+        SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed,
+               coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(k, ''))) AS kept_sha256
+        FROM d LEFT JOIN kept USING (doc_id)""",
+    "op7_embedding_near_dedup": """
+        WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
+        usable AS (SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0
+                   AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0 AND list_dot_product(e, e) > 0),
+        link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+                 ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+                 WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+        reach AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+        counted AS (SELECT a, count(*) AS n FROM link GROUP BY a),
+        least_of AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+        SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(b, vec_id)) AS component_id,
+               least(vec_id, coalesce(b, vec_id)) = vec_id AS kept
+        FROM v LEFT JOIN counted ON counted.a = vec_id LEFT JOIN least_of ON least_of.a = vec_id""",
+    "op8_decontamination": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS t FROM documents),
+        i AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS t FROM benchmark),
+        dt AS (SELECT doc_id, len(t) AS n, unnest(t) AS w, generate_subscripts(t, 1) - 1 AS p FROM d),
+        it AS (SELECT item_id, len(t) AS n, unnest(t) AS w, generate_subscripts(t, 1) - 1 AS p FROM i WHERE len(t) >= 13),
+        hit AS (SELECT doc_id, item_id, dt.p, dt.p - it.p AS diagonal,
+                       least(dt.n, dt.p - it.p + it.n) - greatest(0, dt.p - it.p) AS aligned FROM dt JOIN it USING (w)),
+        run AS (SELECT *, count(*) OVER (PARTITION BY doc_id, item_id, diagonal ORDER BY p
+                              RANGE BETWEEN CURRENT ROW AND 12 FOLLOWING) AS inside,
+                       count(*) OVER (PARTITION BY doc_id, item_id, diagonal) AS matched FROM hit),
+        best AS (SELECT doc_id, item_id, max(row(matched, aligned, -greatest(0, diagonal))) AS b FROM run
+                 WHERE inside >= 11 AND aligned >= 13 GROUP BY doc_id, item_id)
+        SELECT doc_id, item_id, b[1]::BIGINT AS matched, b[2]::BIGINT AS aligned, -b[3]::BIGINT AS doc_start FROM best""",
+    "op10_substring_dedup": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        win AS (SELECT doc_id, p, array_to_string(w[p:p + 12], ' ') AS s
+                FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS p FROM d)),
+        first AS (SELECT s, min(doc_id) AS least FROM win GROUP BY s),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 13)) AS p FROM win JOIN first USING (s) WHERE least < doc_id),
+        word AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS p FROM d),
+        kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS k, count(*) AS c
+                 FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+        SELECT doc_id, len(w)::BIGINT AS n_words, len(w) - coalesce(c, 0) AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (doc_id)""",
+}

@@ -24,9 +24,15 @@ def no_docs(odd_docs):
     return odd_docs.where("false")
 
 
-def write_documents(spark, folder, texts, lang=None):
-    """A scale folder with a documents table of these texts."""
-    rows = [(n, text, lang(n) if lang else "en", "s", len(text or "")) for n, text in enumerate(texts)]
-    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
-    frame.write.parquet(f"{folder}/documents.parquet")
-    return str(folder)
+@pytest.fixture
+def corpus(spark, tmp_path):
+    """Writes texts as the documents table of a scale folder."""
+    def write(texts, name="scale"):
+        rows = [(n, text, "en", "s", len(text or "")) for n, text in enumerate(texts)]
+        folder = str(tmp_path / name)
+        spark.createDataFrame(
+            rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3).write.parquet(
+            f"{folder}/documents.parquet")
+        return folder
+
+    return write
