@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import struct
 
 import pandas as pd
@@ -13,7 +14,13 @@ _KINDS = {1: "Point", 2: "LineString", 3: "Polygon", 4: "MultiPoint", 5: "MultiL
 
 
 def _number(value: float) -> str:
-    return str(int(value)) if value == int(value) else repr(value)
+    return str(int(value)) if value.is_integer() else repr(value)
+
+
+def _positions(numbers: tuple[float, ...], size: int) -> str:
+    """Texts of positions of ``size`` numbers each, joined by commas."""
+    texts = list(map(_number, numbers))
+    return ",".join("[" + ",".join(texts[n:n + size]) + "]" for n in range(0, len(texts), size))
 
 
 def _shape(data: bytes, at: int) -> tuple[str, str, int]:
@@ -33,17 +40,19 @@ def _shape(data: bytes, at: int) -> tuple[str, str, int]:
         at += 4
         return n
 
-    def position() -> str:
+    def numbers(positions: int) -> tuple[float, ...]:
         nonlocal at
-        numbers = struct.unpack_from(f"{order}{size}d", data, at)
-        at += 8 * size
-        return "[" + ",".join(_number(v) for v in numbers) + "]"
+        found = struct.unpack_from(f"{order}{positions * size}d", data, at)
+        at += 8 * size * positions
+        return found
 
     def run() -> str:
-        return "[" + ",".join(position() for _ in range(count())) + "]"
+        return "[" + _positions(numbers(count()), size) + "]"
 
     if kind == "Point":
-        return kind, position(), at
+        place = numbers(1)
+        # An empty point is written with sides that are no numbers.
+        return kind, "[]" if all(map(math.isnan, place)) else _positions(place, size), at
     if kind == "LineString":
         return kind, run(), at
     if kind == "Polygon":
@@ -62,7 +71,14 @@ def _text(kind: str, coordinates: str) -> str:
     return f'{{"type":"{kind}","{member}":{coordinates}}}'
 
 
+def _read(data: bytes | None) -> str | None:
+    try:
+        return None if data is None else _text(*_shape(bytes(data), 0)[:2])
+    except (struct.error, IndexError, KeyError, ValueError, OverflowError, RecursionError):
+        return None
+
+
 @F.pandas_udf(T.StringType())
 def wkb_to_geojson(geometry: pd.Series) -> pd.Series:
-    """GeoJSON text of each geometry; null stays null."""
-    return geometry.map(lambda data: None if data is None else _text(*_shape(bytes(data), 0)[:2]))
+    """GeoJSON text of each geometry; null where it is null or cannot be read."""
+    return geometry.map(_read)

@@ -143,20 +143,34 @@ def property_rows(df: DataFrame, column: str = "entity", keys: tuple[str, ...] =
     )
 
 
+# Members that come first, in this order.
+FIRST_MEMBERS = {"names": ("primary", "common", "rules"), "categories": ("primary", "alternate")}
+
+
 def property_values(df: DataFrame, key: str = "key", value: str = "value") -> DataFrame:
     """Nested property texts member by member.
 
-    A JSON object gives one row per member that is not null, a JSON list one row
-    per item, anything else one row as it is. Short lists of plain values are shown
-    in line, with brackets but for ``alternate``, which always shows plain lists so.
+    A JSON object gives one row per member that is neither null nor the text "null": the
+    known members of names and categories first, the others in the order of the text. A
+    JSON list gives one row per item, anything else one row as it is. Short lists of plain
+    values other than web addresses are shown in line, with brackets but for
+    ``alternate``, which always shows plain lists so.
     """
     keep = [c for c in df.columns if c != value]
     # Parsed once, in a step of its own, and then split up.
     parsed = df.withColumn("_parsed", F.when(F.col(value).rlike(r"^\s*[\[{]"), F.try_parse_json(value)))
     split = parsed.withColumns({
-        "_members": F.map_entries(F.try_variant_get("_parsed", "$", "map<string,variant>")),
+        "_map": F.try_variant_get("_parsed", "$", "map<string,variant>"),
+        "_keys": F.json_object_keys(value),
         "_items": F.try_variant_get("_parsed", "$", "array<variant>"),
     })
+    known = F.array().cast("array<string>")
+    for name, listed in FIRST_MEMBERS.items():
+        known = F.when(F.col(key) == name, F.array(*map(F.lit, listed))).otherwise(known)
+    split = split.withColumn("_known", known).withColumn("_members", F.transform(
+        F.concat(F.array_intersect("_known", "_keys"), F.array_except("_keys", "_known")),
+        lambda member: F.struct(member.alias("key"), F.try_element_at("_map", member).alias("value"))))
+
     def text(item: Column) -> Column:
         return F.coalesce(F.try_variant_get(item, "$", "string"), F.to_json(item))
 
@@ -164,8 +178,9 @@ def property_values(df: DataFrame, key: str = "key", value: str = "value") -> Da
         kind = r"^(STRING|BOOLEAN|BIGINT|DOUBLE|FLOAT|DECIMAL.*)$"
         plain = F.forall(items, lambda item: F.coalesce(F.schema_of_variant(item).rlike(kind), F.lit(False)))
         joined = F.array_join(F.transform(items, text), ", ")
+        addresses = F.forall(items, lambda item: t.is_url(text(item))) & (F.size(items) > 0)
         return F.when(
-            plain,
+            plain & ~F.coalesce(addresses, F.lit(False)),
             F.when(F.coalesce(member == "alternate", F.lit(False)), joined)
             .when(F.size(items) <= INLINE_ITEMS, F.concat(F.lit("["), joined, F.lit("]"))))
 
@@ -179,7 +194,8 @@ def property_values(df: DataFrame, key: str = "key", value: str = "value") -> Da
     nothing = F.lit(None).cast("string")
     rows = (
         F.when(members.isNotNull(), F.transform(
-            F.filter(members, lambda m: F.coalesce(~F.is_variant_null(m["value"]), F.lit(False))),
+            F.filter(members, lambda m: F.coalesce(
+                ~F.is_variant_null(m["value"]) & (text(m["value"]) != "null"), F.lit(False))),
             lambda m: F.struct(m["key"].alias("member"), shown(m["key"], m["value"]).alias("text"))))
         .when(items.isNotNull(), F.transform(
             items, lambda item: F.struct(nothing.alias("member"), shown(nothing, item).alias("text"))))

@@ -84,14 +84,16 @@ def view_link_restore(links: DataFrame, features: DataFrame) -> DataFrame:
     """
     keys = ["theme", "type", "id"]
     parsed = parse_links(links)
-    wanted = parsed.where(F.col("id").isNotNull()).select(*keys).distinct()
+    pointing = parsed.where(F.col("id").isNotNull())
     columns = [c for c in features.columns if c not in keys]
     found = (
-        features.join(wanted, keys)
+        features.join(pointing.select(*keys).distinct(), keys)
         .groupBy(*keys).agg(F.min_by(
             F.struct(*columns), F.struct("bbox.xmin", "bbox.ymin")).alias("feature"))
     )
-    return salted_join(parsed, found, keys, "left", F.col("link_id"))
+    # Links without a target need no join; their equal, empty keys would meet in one task.
+    aimed = salted_join(pointing, found, keys, "left", F.col("link_id"))
+    return aimed.unionByName(parsed.where(F.col("id").isNull()), allowMissingColumns=True)
 
 
 def _prefix_results(features: DataFrame, queries: DataFrame, results: int) -> DataFrame:
@@ -100,14 +102,11 @@ def _prefix_results(features: DataFrame, queries: DataFrame, results: int) -> Da
         queries.where(F.length("text") >= SHORTEST_QUERY)
         .select(F.lower("text").alias("prefix")).distinct()
     )
-    longest = texts.agg(F.max(F.length("prefix"))).scalar()
+    # Only prefixes as long as some query; there are no more lengths than the longest query has letters.
+    lengths = F.coalesce(texts.agg(F.collect_set(F.length("prefix"))).scalar(), F.array().cast("array<int>"))
     folded = F.lower("name")
-    reach = F.least(F.length(folded), F.coalesce(longest, F.lit(0)))
-    prefixes = (
-        named.where(reach >= SHORTEST_QUERY)
-        .withColumn("_length", F.explode(F.sequence(F.lit(SHORTEST_QUERY), reach)))
-        .withColumn("prefix", F.left(folded, F.col("_length")))
-    )
+    prefixes = named.withColumn("_lengths", lengths).withColumn("prefix", F.explode(F.transform(
+        F.filter("_lengths", lambda n: n <= F.length(folded)), lambda n: F.left(folded, n)))).drop("_lengths")
     asked = salted_join(prefixes, texts, ["prefix"], "left_semi", F.col("id"))
     # Spark keeps the best rows of a prefix in every task before it shuffles them,
     # so a prefix shared by most names costs no more than any other.
@@ -130,7 +129,7 @@ def name_search(features: DataFrame, queries: DataFrame, mode: str = "locality",
     if mode == "country":
         found = found.where(F.col("subtype") == "country")
     asked = queries.withColumn("prefix", F.lower("text"))
-    return salted_join(asked, found, ["prefix"], "inner", F.col("query_id")).drop("prefix")
+    return asked.join(found, "prefix").drop("prefix")
 
 
 def lookup_viewport(hits: DataFrame, mode: str = "id") -> DataFrame:

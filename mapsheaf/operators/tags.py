@@ -12,7 +12,17 @@ from mapsheaf.functions.text import json_text
 # Fixed value: a feature this many pixels long keeps all its tags.
 TAG_PIXELS = 16
 
-_NOT_TAGS = ("bbox", "geometry")
+# Columns of the engine that place a feature rather than describe it; none is an attribute.
+PLACING = (
+    "theme", "type", "bbox", "geometry", "geom_type", "z", "x", "y", "min_zoom", "max_zoom",
+    "tags_zoom", "min_pixel", "layer", "layer_kind", "tags", "filename", "feature_id",
+)
+
+# Tags shown at every zoom, whatever the feature's size.
+ALWAYS_SHOWN = ("@height_source", "@geometry_source")
+
+# The type is an attribute of the files as well.
+_NOT_TAGS = tuple(c for c in PLACING if c not in ("theme", "type"))
 _NESTED = (T.StructType, T.ArrayType, T.MapType)
 
 
@@ -125,10 +135,10 @@ def tag_map(df: DataFrame, skip: tuple[str, ...] = ()) -> DataFrame:
 
 
 def attribute_visibility(df: DataFrame, zoom, pixels: float = TAG_PIXELS) -> DataFrame:
-    """Empty ``tags`` of features too small at ``zoom`` to show them yet."""
+    """Empty ``tags`` of features too small at ``zoom`` to show them yet, but for those always shown."""
     zoom = zoom if isinstance(zoom, Column) else F.lit(zoom)
     shown = (pixel_size(zoom) >= pixels) | (zoom >= F.col("tags_zoom"))
-    none = F.map_filter(F.col("tags"), lambda key, value: F.lit(False))
+    none = F.map_filter(F.col("tags"), lambda key, value: key.isin(*ALWAYS_SHOWN))
     return df.withColumn("tags", F.when(F.coalesce(shown, F.lit(False)), F.col("tags")).otherwise(none))
 
 

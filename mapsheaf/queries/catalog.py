@@ -52,27 +52,31 @@ def scan_release(spark, sf_dir):
 
 
 @query("union_types", sql(
-    """SELECT id, type, subtype, NULL AS number, confidence FROM features WHERE type = 'place'
-    UNION ALL SELECT id, type, subtype, number, confidence FROM features WHERE theme = 'addresses'
-    UNION ALL SELECT id, type, subtype, number, confidence FROM features WHERE theme = 'divisions'"""))
+    "SELECT id, type, subtype, class, number, confidence, height, population FROM features"))
 def union_types(spark, sf_dir):
+    # Each theme brings some of the columns.
+    columns = {
+        "addresses": ("number",), "base": ("subtype", "class"), "buildings": ("subtype", "height"),
+        "divisions": ("subtype", "class", "population"), "places": ("confidence",),
+        "transportation": ("subtype", "class"),
+    }
     return release.union_types([
-        features(spark, sf_dir, "places").select("id", "type", "confidence"),
-        features(spark, sf_dir, "addresses").select("id", "type", "number"),
-        features(spark, sf_dir, "divisions").select("id", "type", "subtype"),
-    ])
+        features(spark, sf_dir, theme).select("id", "type", *own) for theme, own in columns.items()])
 
 
 _CLIP = "xmin <= 35.91 AND xmax >= -10 AND ymin <= 60 AND ymax >= 29.45"
 
 
 @query("clip_release", sql(
-    f"""SELECT id, theme, type, subtype, class FROM features WHERE theme = 'base' AND {_CLIP}
-    UNION ALL SELECT id, theme, type, subtype, class FROM features WHERE theme = 'transportation'"""))
+    f"""SELECT id, theme, type, subtype, class FROM features
+    WHERE theme IN ('base', 'places', 'buildings', 'addresses') AND {_CLIP}
+    UNION ALL SELECT id, theme, type, subtype, class FROM features WHERE theme IN ('transportation', 'divisions')"""))
 def clip_release(spark, sf_dir):
+    # All six themes: four are clipped, two copied whole.
     root, out = release_root(spark, sf_dir), new_dir(spark, "clip")
-    release.clip_release(spark, root, out, "base", REGION, cluster=True)
-    release.clip_release(spark, root, out, "transportation")
+    for theme in RELEASE_COLUMNS:
+        box = None if theme in ("transportation", "divisions") else REGION
+        release.clip_release(spark, root, out, theme, box, cluster=theme == "base")
     return release.scan_release(spark, out).select("id", "theme", "type", "subtype", "class")
 
 
@@ -102,22 +106,27 @@ def file_manifest(spark, sf_dir):
         "bbox.ymax", "features")
 
 
-@query("file_manifest_scanned")
+@query("file_manifest_scanned", sql(
+    """SELECT theme, type, min(xmin) AS xmin, min(ymin) AS ymin, max(xmax) AS xmax, max(ymax) AS ymax,
+      count(*) AS features, TRUE AS numbered FROM features GROUP BY theme, type"""))
 def file_manifest_scanned(spark, sf_dir):
-    # Which files there are depends on the writer, so there is no SQL to compare with.
+    # Which files there are depends on the writer; what they hold together, and that
+    # their numbers run from 0 without gaps, does not.
     root = release_root(spark, sf_dir)
-    return op.file_manifest(release.scan_release(spark, root), root)
-
-
-_REQUEST_TYPES = ("place", "segment", "building", "land", "water")
+    files = op.file_manifest(release.scan_release(spark, root), root)
+    whole = files.agg(
+        ((F.min("file_no") == 0) & (F.max("file_no") + 1 == F.count("*"))
+         & (F.count_distinct("file_no") == F.count("*"))).alias("numbered")).scalar()
+    return files.groupBy("theme", "type").agg(
+        F.min("bbox.xmin").alias("xmin"), F.min("bbox.ymin").alias("ymin"), F.max("bbox.xmax").alias("xmax"),
+        F.max("bbox.ymax").alias("ymax"), F.sum("features").alias("features")).withColumn("numbered", whole)
 
 
 @query("download_catalog", sql(
-    f"""SELECT view_id AS request_id, type, file_no, rel_path FROM views JOIN manifest
-      ON xmin < e AND xmax > w AND ymin < n AND ymax > s
-    WHERE type IN ('place', 'segment', 'building', 'land', 'water')""", VIEW_SQL, _MANIFEST_SQL))
+    """SELECT view_id AS request_id, type, file_no, rel_path FROM views JOIN manifest
+      ON xmin < e AND xmax > w AND ymin < n AND ymax > s""", VIEW_SQL, _MANIFEST_SQL))
 def download_catalog(spark, sf_dir):
-    types = F.array(*map(F.lit, _REQUEST_TYPES))
+    types = F.array(*(F.lit(type_) for types in THEME_TYPES.values() for type_ in types))
     requests = views(spark, sf_dir).select(
         F.col("view_id").alias("request_id"), "box", F.explode(types).alias("type"))
     return op.download_catalog(manifest(spark, sf_dir), requests)

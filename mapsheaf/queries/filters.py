@@ -144,15 +144,19 @@ def stepped_class_filter(spark, sf_dir):
 
 
 @query("zoom_window_filter", sql(
-    """SELECT id, type, rule_id FROM features JOIN rules ON type = rule_type
-    WHERE mode = 'explore' AND 13 >= coalesce(minzoom, 13) AND 13 < coalesce(maxzoom, 14)
-      AND theme IN ('places', 'addresses', 'divisions')""", rules_sql("explore")))
+    """SELECT mode, zoom, id, type, rule_id
+    FROM features JOIN rules ON type = rule_type, (VALUES (3), (8), (13)) AS zooms(zoom)
+    WHERE zoom >= coalesce(minzoom, zoom) AND zoom < coalesce(maxzoom, zoom + 1)""", rules_sql("explore", "inspect")))
 def zoom_window_filter(spark, sf_dir):
-    rules = op.zoom_window_filter(rule_table(spark, "explore"), 13)
-    rows = features(spark, sf_dir, "places", "addresses", "divisions").select("id", "type")
-    return rows.join(
-        F.broadcast(rules.select(F.col("rule_type").alias("type"), "rule_id")), "type"
-    ).select("id", "type", "rule_id")
+    zooms = F.array(*map(F.lit, (3, 8, 13)))
+    rules = union_types([
+        op.zoom_window_filter(
+            rule_table(spark, mode).withColumn("zoom", F.explode(zooms)), F.col("zoom"))
+        .select(F.lit(mode).alias("mode"), "zoom", F.col("rule_type").alias("type"), "rule_id")
+        for mode in ("explore", "inspect")
+    ])
+    return features(spark, sf_dir).select("id", "type").join(F.broadcast(rules), "type").select(
+        "mode", "zoom", "id", "type", "rule_id")
 
 
 @query("category_match_filter", sql("\nUNION ALL\n".join(

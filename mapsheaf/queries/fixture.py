@@ -240,15 +240,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def dealt(df: DataFrame) -> DataFrame:
-    """Deal out rows that come from fewer files than there are cores, before heavy work.
-
-    Rows of more files are read in parallel already and left where they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
-
-
 _frames: dict[tuple, DataFrame] = {}
 
 

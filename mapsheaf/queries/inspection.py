@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from mapsheaf.functions import style
 from mapsheaf.operators import inspector as op
 from mapsheaf.operators import tags as tag
-from mapsheaf.queries.fixture import dealt, features, sql, table
+from mapsheaf.queries.fixture import features, sql, table
 from mapsheaf.queries.registry import query
 from mapsheaf.sources.release import union_types
 
@@ -75,8 +75,8 @@ def source_links(spark, sf_dir):
 
 # Rendered features: some of their properties repeat or contradict where they sit.
 def rendered(spark, sf_dir):
-    rows = dealt(features(spark, sf_dir).select(
-        "key", "theme", "type", "id", "subclass", "version", "class", "height", "has_parts", "street"))
+    rows = features(spark, sf_dir).select(
+        "key", "theme", "type", "id", "subclass", "version", "class", "height", "has_parts", "street")
     return rows.select(
         F.when(F.col("key") % 31 == 0, "weather").otherwise(F.col("theme")).alias("source"),
         F.col("type").alias("source_layer"), "id",
@@ -120,16 +120,16 @@ def property_rows(spark, sf_dir):
 
 @query("property_values", sql(
     """SELECT id, key, row_number() OVER (PARTITION BY rid, key ORDER BY slot) - 1 AS position, member, text FROM (
-      SELECT rid, id, 'names' AS key, unnest([0, 1, 2]) AS slot, unnest(['common', 'primary', 'rules']) AS member,
-        unnest(['{"' || CASE WHEN key % 2 = 0 THEN 'en":"' || name_primary || ' X' ELSE 'fr":"' || name_primary || ' Y' END || '"}',
-          name_primary, CASE WHEN key % 7 = 0 THEN '[{"between":[0,0.5]}]' END]) AS text
+      SELECT rid, id, 'names' AS key, unnest([0, 1, 2]) AS slot, unnest(['primary', 'common', 'rules']) AS member,
+        unnest([name_primary, '{"' || CASE WHEN key % 2 = 0 THEN 'en":"' || name_primary || ' X' ELSE 'fr":"' || name_primary || ' Y' END || '"}',
+          CASE WHEN key % 7 = 0 THEN '[{"between":[0,0.5]}]' END]) AS text
       FROM features WHERE name_primary IS NOT NULL
       UNION ALL
-      SELECT rid, id, 'categories', unnest([0, 1]), unnest(['alternate', 'primary']), unnest(['other', category])
+      SELECT rid, id, 'categories', unnest([0, 1]), unnest(['primary', 'alternate']), unnest([category, 'other'])
       FROM features WHERE category IS NOT NULL
       UNION ALL
-      SELECT rid, id, 'cartography', unnest([0, 1]), unnest(['max_zoom', 'min_zoom']),
-        unnest([CAST(draw_from + 5 AS VARCHAR), CAST(draw_from AS VARCHAR)])
+      SELECT rid, id, 'cartography', unnest([0, 1]), unnest(['min_zoom', 'max_zoom']),
+        unnest([CAST(draw_from AS VARCHAR), CAST(draw_from + 5 AS VARCHAR)])
       FROM features WHERE draw_from IS NOT NULL
       UNION ALL
       SELECT rid, id, 'sources', slot, NULL, '{"dataset":"' || dataset || '","property":"' || property || '"'
@@ -138,7 +138,7 @@ def property_rows(spark, sf_dir):
       SELECT rid, id, 'subtype', 0, NULL, subtype FROM features WHERE subtype IS NOT NULL)
     WHERE text IS NOT NULL"""))
 def property_values(spark, sf_dir):
-    nested = dealt(features(spark, sf_dir).select("id", "names", "categories", "cartography", "sources", "subtype"))
+    nested = features(spark, sf_dir).select("id", "names", "categories", "cartography", "sources", "subtype")
     rows = op.properties_of(nested, skip=("id", "@name")).select("id", F.inline("properties"))
     return op.property_values(rows)
 

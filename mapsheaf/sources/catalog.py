@@ -51,12 +51,12 @@ def latest_release(catalog: DataFrame, seen: DataFrame) -> DataFrame:
     return catalog.where("latest").join(seen.select("release"), "release", "left_anti")
 
 
-def download_catalog(manifest: DataFrame, requests: DataFrame, **limits) -> DataFrame:
+def download_catalog(manifest: DataFrame, requests: DataFrame, hint: str | None = None) -> DataFrame:
     """Files to read for each request, in file order; types without files vanish.
 
     ``requests`` has ``request_id``, ``type`` and ``box``. A file counts if its box
     overlaps the request's; touching is not enough.
     """
-    pairs = box_join(manifest, requests, on=("type",), closed=False, feature_key="file_id", **limits)
+    pairs = box_join(manifest, requests, on=("type",), closed=False, hint=hint)
     return pairs.select("request_id", "type", "file_no", "rel_path").orderBy(
         "request_id", "type", "file_no")

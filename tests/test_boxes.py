@@ -3,12 +3,14 @@
 import math
 import os
 import random
+import struct
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from mapsheaf.functions.text import fixed3, number_text
+from mapsheaf.functions.wkb import wkb_to_geojson
 from mapsheaf.model import Box
 from mapsheaf.operators import filters, joins
 from mapsheaf.operators.views import selectable_hits, view_choices, view_extract, visible_types
@@ -54,8 +56,8 @@ def random_box(rng, n, sizes):
 
 
 @pytest.mark.parametrize("closed", [True, False])
-@pytest.mark.parametrize("limits", [dict(), dict(broadcast_rows=0), dict(broadcast_rows=0, cell_rows=5)])
-def test_box_join_equals_all_pairs(spark, closed, limits):
+@pytest.mark.parametrize("hint", [None, "merge"])
+def test_box_join_equals_all_pairs(spark, closed, hint):
     rng = random.Random(7)
     features = [random_box(rng, n, (0, 0.1, 1, 2, 30, 200)) for n in range(250)]
     # A third of the features in one place.
@@ -63,16 +65,44 @@ def test_box_join_equals_all_pairs(spark, closed, limits):
     boxes = [random_box(rng, n, (0.5, 1, 10, 90, 360)) for n in range(60)]
     boxes += [("hot", 10.25, 10.25, 11, 11), ("world", -180, -90, 180, 90)]
     pairs = joins.box_join(
-        boxed(spark, features), boxed(spark, boxes, "box", "view_id"), closed=closed, **limits)
+        boxed(spark, features), boxed(spark, boxes, "box", "view_id"), closed=closed, hint=hint)
     assert sorted((r.id, r.view_id) for r in pairs.collect()) == brute(features, boxes, closed)
 
 
+def test_boxes_across_180_degrees_count_as_two_parts(spark):
+    features = [("east", 175, 1, 176, 2), ("west", -176, 1, -175, 2), ("far", 0, 1, 1, 2), ("across", 179, 1, -179, 2),
+                ("wide", -180, 0, 180, 5), ("upside", 175, 2, 176, 1)]
+    boxes = [("across", 174, 0, -174, 3), ("east", 170, 0, 180, 3), ("world", -180, -90, 180, 90)]
+    frame = boxed(spark, features).union(spark.createDataFrame([("null", None)], f"id string, bbox {BOX}"))
+    pairs = joins.box_join(frame, boxed(spark, boxes, "box", "view_id"))
+    assert sorted((r.view_id, r.id) for r in pairs.collect()) == [
+        ("across", "across"), ("across", "east"), ("across", "west"), ("across", "wide"),
+        ("east", "across"), ("east", "east"), ("east", "wide"),
+        ("world", "across"), ("world", "east"), ("world", "far"), ("world", "west"), ("world", "wide")]
+
+
+def test_few_candidates_and_few_rows_for_each_box(spark):
+    rng = random.Random(11)
+    features = [random_box(rng, n, (0, 0.001, 0.05)) for n in range(3000)]
+    clicks = boxed(spark, [(f"c{n}", 10 + n / 1e6, 10, 10.01 + n / 1e6, 10.01) for n in range(500)], "box", "click_id")
+    world = boxed(spark, [("world", -180, -90, 180, 90)], "box", "click_id")
+    for boxes in (clicks, world):
+        rows = joins._explode_cells(joins._with_parts(boxes, "box", "b").withColumn(
+            "_level", F.explode(F.sequence(F.col("_b_level"), F.lit(joins.LEVELS - 1)))), "b")
+        assert max(r["count"] for r in rows.groupBy("click_id").count().collect()) <= 80
+    crowded = boxed(spark, [*features, *((f"h{n}", 10.005, 10.005, 10.006, 10.006) for n in range(200))])
+    pairs = joins.box_join(crowded, clicks, hint="merge")
+    assert pairs.count() == len(brute([*features, *((f"h{n}", 10.005, 10.005, 10.006, 10.006) for n in range(200))], [
+        (f"c{n}", 10 + n / 1e6, 10, 10.01 + n / 1e6, 10.01) for n in range(500)], True))
+    assert "GlobalLimit" not in pairs._jdf.queryExecution().toString()
+
+
 def test_salted_join_splits_a_hot_key_and_keeps_all_rows(spark):
     left = spark.range(1000).select(F.lit("hot").alias("k"), "id")
     right = spark.createDataFrame([("hot", 1), ("cold", 2)], "k string, v int")
-    joined = joins.salted_join(left, right, ["k"], "inner", F.col("id"))
+    joined = joins.salted_join(left, right, ["k"], "inner", F.col("id"), task_rows=100)
     assert joined.count() == 1000 and joined.columns == ["k", "id", "v"]
-    semi = joins.salted_join(left, right.select("k"), ["k"], "left_semi", F.col("id"))
+    semi = joins.salted_join(left, right.select("k"), ["k"], "left_semi", F.col("id"), task_rows=100)
     assert semi.count() == 1000
 
 
@@ -256,7 +286,7 @@ def test_selectable_hits(spark):
         ("w", "e", 5, None, None, True), ("w", "f", 6, "road-trunk", "segment", True),
     ], "view_id string, id string, draw_order int, item string, rule_type string, selectable boolean")
     items = spark.createDataFrame([("v", "road-trunk"), ("w", "land")], "view_id string, item string")
-    assert {r.id for r in selectable_hits(hits, items).collect()} == {"a", "c", "e"}
+    assert {r.id for r in selectable_hits(hits, items).collect()} == {"a", "c"}
 
 
 def test_bbox_label(spark):
@@ -266,3 +296,13 @@ def test_bbox_label(spark):
     assert row.label == "34.170,29.450,35.910,33.380"
     assert row.file_name == "extract-2026-02-18.0-place-34.170,29.450,35.910,33.380.geojson"
     assert row.archive_name == "extract-2026-02-18.0-34.170,29.450,35.910,33.380.zip"
+
+
+def test_geometry_that_is_empty_or_damaged(spark):
+    point = struct.pack("<BIdd", 1, 1, 1.5, 2.0)
+    rows = [(0, point), (1, struct.pack("<BIdd", 1, 1, math.nan, math.nan)), (2, point[:9]), (3, b""), (4, b"\x01\x63\x00\x00\x00"),
+            (5, None), (6, struct.pack("<BII4d", 1, 2, 2, 0, 1, 2.25, 3)), (7, struct.pack("<BII", 1, 2, 4_000_000_000))]
+    frame = spark.createDataFrame(rows, "n int, g binary").select("n", wkb_to_geojson("g").alias("text"))
+    assert {r.n: r.text for r in frame.collect()} == {
+        0: '{"type":"Point","coordinates":[1.5,2]}', 1: '{"type":"Point","coordinates":[]}', 2: None, 3: None, 4: None,
+        5: None, 6: '{"type":"LineString","coordinates":[[0,1],[2.25,3]]}', 7: None}

@@ -113,6 +113,8 @@ def test_tags_show_by_size_or_zoom(spark):
     frame = boxed(spark, [("a", (0.0, 1.0, 0.0, 0.0), 9, {"k": "v"})], ", tags_zoom int, tags map<string,string>")
     shown = [len(tags.attribute_visibility(frame, z).first().tags) for z in (4, 5, 8, 9)]
     assert shown == [0, 1, 1, 1]
+    always = boxed(spark, [("a", (0.0, 0.0, 0.0, 0.0), 9, {"k": "v", "@height_source": "x"})], ", tags_zoom int, tags map<string,string>")
+    assert tags.attribute_visibility(always, 3).first().tags == {"@height_source": "x"}
     point = boxed(spark, [("a", (0.0, 0.0, 0.0, 0.0), 9, {"k": "v"})], ", tags_zoom int, tags map<string,string>")
     assert [len(tags.attribute_visibility(point, z).first().tags) for z in (8, 9)] == [0, 1]
 
@@ -171,14 +173,16 @@ def test_density_counts_points_per_cell(spark):
     frame = boxed(spark, rows, ", type string, geom_type string")
     cells = {(r.x, r.y): (r.places, r.intensity, r.radius) for r in tiling.place_density(frame, 1).collect()}
     assert cells == {(1, 0): (2, 1 + 2 / 9, 2 + 4 / 9), (0, 0): (1, 1 + 2 / 9, 2 + 4 / 9)}
+    both = tiling.place_density(frame, 0, 8).collect()
+    assert sum(r.places for r in both if r.z == 0) == 3 and sorted(r.places for r in both if r.z == 8) == [1, 2]
     with pytest.raises(ValueError):
         tiling.place_density(frame, 9)
 
 
 def test_layer_stats(spark):
-    rows = [("a", (0.0, 1.0, 0.0, 1.0), "base", "water", 2, 0, 0, "lake", None, True),
-            ("b", (5.0, 6.0, -3.0, 1.0), "base", "land", 4, 0, 0, None, None, None)]
-    frame = boxed(spark, rows, ", theme string, type string, z int, x int, y int, subtype string, depth int, wet boolean")
+    rows = [("a", (0.0, 1.0, 0.0, 1.0), "base", "water", 2, 3, 0, "lake", None, True),
+            ("b", (5.0, 6.0, -3.0, 1.0), "base", "land", 4, 4, 0, None, None, None)]
+    frame = boxed(spark, rows, ", theme string, type string, min_zoom int, max_zoom int, x int, subtype string, depth int, wet boolean")
     stats = {(r.layer, r.field): r for r in tiling.tile_layer_stats(frame).collect()}
     assert set(stats) == {("water", "id"), ("water", "subtype"), ("water", "wet"), ("land", "id")}
     row = stats["water", "wet"]
