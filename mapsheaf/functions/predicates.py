@@ -157,3 +157,14 @@ STEPPED = {
     "boundary": land_boundary,
     "local_area": local_area,
 }
+
+# What these predicates name, as attribute, operator and values.
+STEPPED_MENTIONS = {
+    "land": (("subtype", "absent", ()), ("class", "in", ("land",))),
+    "ocean": (("subtype", "absent", ()), ("subtype", "in", ("ocean",))),
+    "lake_or_river": (("subtype", "present", ()), ("subtype", "not in", ("ocean",))),
+    "boundary": (("class", "not in", ("maritime",)),),
+    "local_area": (
+        ("subtype", "in", tuple(LOCAL_SUBTYPE_STEPS[0])),
+        *(("subtype", "in", tuple(values)) for _, values in LOCAL_SUBTYPE_STEPS[1:])),
+}

@@ -119,6 +119,12 @@ def audit_counts(issues: DataFrame) -> DataFrame:
     return issues.rollup("severity", "check").agg(F.count("*").alias("issues"))
 
 
+def used_values(references: DataFrame) -> DataFrame:
+    """Subtypes and classes that some rule names, by theme and type; see ``rule_references``."""
+    named = references.where(F.col("attribute").isin("subtype", "class") & F.col("value").isNotNull())
+    return named.select("theme", "type", "value").distinct()
+
+
 def _marked(values: DataFrame, used: DataFrame) -> DataFrame:
     taken = used.select("theme", "type", "value").distinct().withColumn("styled", F.lit(True))
     return values.join(taken, ["theme", "type", "value"], "left").withColumn(
@@ -126,7 +132,7 @@ def _marked(values: DataFrame, used: DataFrame) -> DataFrame:
 
 
 def styled_values(enums: DataFrame, used: DataFrame) -> DataFrame:
-    """Every enum value of a type and whether it is used."""
+    """Every enum value of a type and whether a rule names it."""
     return _marked(enum_values(enums), used)
 
 

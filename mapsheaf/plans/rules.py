@@ -16,7 +16,21 @@ from mapsheaf.functions import predicates as p
 from mapsheaf.model import TYPE_THEME
 
 Attributes = Callable[[str], Column]
-Test = Callable[[Attributes, object], Column]
+
+
+@dataclass(frozen=True)
+class Test:
+    """A condition on a feature's attributes and the zoom, and what it mentions.
+
+    ``mentions`` lists attribute, operator and literal values, so that audits can read
+    the rules as data.
+    """
+
+    build: Callable[[Attributes, object], Column]
+    mentions: tuple[tuple[str, str, tuple], ...] = ()
+
+    def __call__(self, col: Attributes, zoom) -> Column:
+        return self.build(col, zoom)
 
 
 @dataclass(frozen=True)
@@ -55,27 +69,27 @@ class Rule:
 # -- tests ---------------------------------------------------------------
 
 def kind(geometry: str) -> Test:
-    return lambda col, zoom: p.is_kind(geometry, col("geom_type"))
+    return Test(lambda col, zoom: p.is_kind(geometry, col("geom_type")), (("geom_type", "is", (geometry,)),))
 
 
 def among(attribute: str, *values) -> Test:
-    return lambda col, zoom: p.one_of(col(attribute), values)
+    return Test(lambda col, zoom: p.one_of(col(attribute), values), ((attribute, "in", values),))
 
 
 def outside(attribute: str, *values) -> Test:
-    return lambda col, zoom: p.none_of(col(attribute), values)
+    return Test(lambda col, zoom: p.none_of(col(attribute), values), ((attribute, "not in", values),))
 
 
 def present(attribute: str) -> Test:
-    return lambda col, zoom: col(attribute).isNotNull()
+    return Test(lambda col, zoom: col(attribute).isNotNull(), ((attribute, "present", ()),))
 
 
 def absent(attribute: str) -> Test:
-    return lambda col, zoom: col(attribute).isNull()
+    return Test(lambda col, zoom: col(attribute).isNull(), ((attribute, "absent", ()),))
 
 
 def stepped(name: str) -> Test:
-    return lambda col, zoom: p.STEPPED[name](zoom, col)
+    return Test(lambda col, zoom: p.STEPPED[name](zoom, col), p.STEPPED_MENTIONS[name])
 
 
 def every(*tests: Test) -> Test:
@@ -84,7 +98,7 @@ def every(*tests: Test) -> Test:
         for other in tests[1:]:
             result = result & other(col, zoom)
         return result
-    return test
+    return Test(test, tuple(mention for one in tests for mention in one.mentions))
 
 
 POINT, LINE, AREA = kind("Point"), kind("LineString"), kind("Polygon")
@@ -243,10 +257,11 @@ def _confidence_text() -> str:
 
 def _place_group(name: str, item: str, icon: str) -> Rule:
     if name in CATEGORY_WORDS:
-        in_group = lambda col, zoom: p.holds(col("category").contains(name))
+        in_group = Test(
+            lambda col, zoom: p.holds(col("category").contains(name)), (("category", "contains", (name,)),))
     else:
         in_group = among("category", *PLACE_CATEGORIES[name])
-    confident = lambda col, zoom: p.confident(zoom, col("confidence"))
+    confident = Test(lambda col, zoom: p.confident(zoom, col("confidence")), (("confidence", "at least", ()),))
     return Rule(f"places-place-categories-{name}-symbol", "place", "symbol", item,
                 "places-categories", every(POINT, confident, in_group), 14,
                 icon=icon, confidence=_confidence_text())
@@ -258,7 +273,7 @@ def _division(name: str, test: Test, low: int | None, high: int | None) -> Rule:
 
 
 def _fits(size: str) -> Test:
-    return lambda col, zoom: p.label_fits(size, zoom, col("label"))
+    return Test(lambda col, zoom: p.label_fits(size, zoom, col("label")), (("names", "length", ()),))
 
 
 _PEDESTRIAN = every(among("subtype", "road"), among("class", *PEDESTRIAN_CLASSES))
@@ -334,7 +349,8 @@ EXPLORE = _numbered([
               every(among("subtype", *p.LOCAL_SUBTYPES), stepped("local_area")), 9, None),
     _division("region-label", every(among("subtype", "region", "macroregion"), _fits("region")), None, 11),
     _division("locality-label",
-              every(among("subtype", "locality"), lambda col, zoom: p.populous(zoom, col("population"))),
+              every(among("subtype", "locality"), Test(
+                  lambda col, zoom: p.populous(zoom, col("population")), (("population", "at least", ()),))),
               None, 14),
     _division("country-label", every(among("subtype", "country", "dependency"), _fits("country")), None, 9),
 ])
@@ -396,6 +412,21 @@ RULE_SCHEMA = (
 )
 
 
+def rule_references(spark: SparkSession, *modes: str) -> DataFrame:
+    """What each rule mentions: a row per attribute and literal text value, null without one.
+
+    A table of fixed size, as the rules are.
+    """
+    rows = []
+    for mode in modes or RULES:
+        for rule in RULES[mode]:
+            for attribute, operator, values in rule.test.mentions if rule.test else ():
+                texts = [v for v in values if isinstance(v, str)] or [None]
+                rows += [(mode, rule.rule_id, rule.theme, rule.type, attribute, operator, text) for text in texts]
+    return spark.createDataFrame(
+        rows, "mode string, rule_id string, theme string, type string, attribute string, operator string, value string")
+
+
 def rule_table(spark: SparkSession, *modes: str) -> DataFrame:
     """The rules as a table of fixed size, small enough to ship to every task."""
     rows = [

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from mapsheaf.operators import audit as op
 from mapsheaf.operators.tiling import observed_fields
+from mapsheaf.plans.rules import RULES, rule_references
 from mapsheaf.queries.fixture import features, sql, values_sql
 from mapsheaf.queries.registry import query
 from mapsheaf.queries.tiles import ZOOMED, zoomed
@@ -188,17 +189,35 @@ def enum_values(spark, sf_dir):
     return op.enum_values(_seen_enums(features(spark, sf_dir)))
 
 
+# Values that the explore rules name, and how many features have each value seen.
+_USED = sorted({
+    (rule.theme, rule.type, value)
+    for rule in RULES["explore"] if rule.test for attribute, _, values in rule.test.mentions
+    if attribute in ("subtype", "class") for value in values if isinstance(value, str)})
+_USED_SQL = values_sql("used", ["theme", "type", "value"], _USED)
+
+
+def _used(spark):
+    return op.used_values(rule_references(spark, "explore"))
+
+
 @query("styled_values", sql(
-    """SELECT DISTINCT theme, type, value,
-      EXISTS (SELECT 1 FROM observed o WHERE o.theme = e.theme AND o.type = e.type AND o.value = e.value) AS styled
-    FROM enums e""", ENUM_SQL, _VALUE_SQL))
+    """SELECT theme, type, value, styled, coalesce(features, 0) AS features FROM (
+      SELECT DISTINCT theme, type, value,
+        EXISTS (SELECT 1 FROM used u WHERE u.theme = e.theme AND u.type = e.type AND u.value = e.value) AS styled
+      FROM seen_enums e)
+    LEFT JOIN (SELECT theme, type, value, count(*) AS features FROM observed GROUP BY ALL) USING (theme, type, value)""",
+    _SEEN_ENUM_SQL, _USED_SQL, _VALUE_SQL))
 def styled_values(spark, sf_dir):
-    return op.styled_values(enums(spark), op.observed_values(features(spark, sf_dir)))
+    rows = features(spark, sf_dir)
+    counts = op.observed_values(rows).groupBy("theme", "type", "value").agg(F.sum("features").alias("features"))
+    marked = op.styled_values(_seen_enums(rows), _used(spark))
+    return marked.join(counts, ["theme", "type", "value"], "left").fillna(0, ["features"])
 
 
 _COVERED_SQL = """covered AS (
-  SELECT e.*, EXISTS (SELECT 1 FROM observed o WHERE o.theme = e.theme AND o.type = e.type AND o.value = e.value) AS is_styled
-  FROM enums e)"""
+  SELECT e.*, EXISTS (SELECT 1 FROM used u WHERE u.theme = e.theme AND u.type = e.type AND u.value = e.value) AS is_styled
+  FROM seen_enums e)"""
 
 
 @query("style_coverage", sql(
@@ -206,14 +225,14 @@ _COVERED_SQL = """covered AS (
       coalesce(string_agg(value, ',' ORDER BY value) FILTER (is_styled), '') AS styled_values,
       coalesce(string_agg(value, ',' ORDER BY value) FILTER (NOT is_styled), '') AS unstyled_values,
       CAST(floor(count(*) FILTER (is_styled) * 100 / count(*) + 0.5) AS BIGINT) AS percent
-    FROM covered GROUP BY theme, type, kind""", ENUM_SQL, _VALUE_SQL, _COVERED_SQL))
+    FROM covered GROUP BY theme, type, kind""", _SEEN_ENUM_SQL, _USED_SQL, _COVERED_SQL))
 def style_coverage(spark, sf_dir):
-    return op.style_coverage(enums(spark), op.observed_values(features(spark, sf_dir)))
+    return op.style_coverage(_seen_enums(features(spark, sf_dir)), _used(spark))
 
 
 @query("style_coverage_total", sql(
     """SELECT count(*) AS total, count(*) FILTER (is_styled) AS styled,
       CAST(floor(count(*) FILTER (is_styled) * 100 / count(*) + 0.5) AS BIGINT) AS percent
-    FROM covered""", ENUM_SQL, _VALUE_SQL, _COVERED_SQL))
+    FROM covered""", _SEEN_ENUM_SQL, _USED_SQL, _COVERED_SQL))
 def style_coverage_total(spark, sf_dir):
-    return op.style_coverage_total(enums(spark), op.observed_values(features(spark, sf_dir)))
+    return op.style_coverage_total(_seen_enums(features(spark, sf_dir)), _used(spark))

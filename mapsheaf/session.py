@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -18,7 +19,7 @@ def shared_dir(spark: SparkSession) -> str:
     folder = spark.conf.get(CHECKPOINT_DIR, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
     application = spark.sparkContext.applicationId
     if application not in _local:

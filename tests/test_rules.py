@@ -5,7 +5,9 @@ from collections import Counter
 import pytest
 
 from mapsheaf.operators.classify import classify_features, feature_items, item_rollup, threshold_bands
-from mapsheaf.plans.rules import EXPLORE, INSPECT, LAND_COVER_SUBTYPES, RULES, rule_table, tree_table
+from mapsheaf.plans.rules import (
+    EXPLORE, INSPECT, LAND_COVER_SUBTYPES, RULES, rule_references, rule_table, tree_table,
+)
 
 SCHEMA = (
     "id string, theme string, type string, geom_type string, subtype string, class string, "
@@ -199,3 +201,16 @@ def test_threshold_bands_cover_the_zooms(spark):
     frame = spark.createDataFrame([(0.99,), (0.96,), (0.9,), (None,)], "confidence double")
     bands = [(b.zooms, b.features) for b in threshold_bands(frame).collect()]
     assert bands == [("z<15", 1), ("z15–15", 1), ("z16–16", 2), ("z17+", 3)]
+
+
+def test_rules_as_data(spark):
+    rows = rule_references(spark).collect()
+    assert {r.mode for r in rows} == {"explore", "inspect"}
+    by_rule = {}
+    for r in rows:
+        by_rule.setdefault((r.mode, r.rule_id), set()).add((r.attribute, r.value))
+    trunk = next(v for (mode, name), v in by_rule.items() if mode == "explore" and "road-trunk" in name)
+    assert {("subtype", "road"), ("class", "trunk")} <= trunk
+    assert ("geom_type", "Polygon") in by_rule["explore", "base-land-fill"]
+    assert ("class", "land") in by_rule["explore", "base-land-fill"]
+    assert ("category", "hotel") in {v for values in by_rule.values() for v in values}
