@@ -13,22 +13,51 @@ _KINDS = ("subtypes", "classes", "road_classes", "rail_classes")
 ISSUE_COLUMNS = ("severity", "check", "theme", "type", "subject", "features")
 
 
+# What the audits look at besides the fields.
+_OBSERVED = ("theme", "type", "subtype", "class", "min_zoom", "declared_theme", "declared_type")
+
+
+def observations(df: DataFrame, fields: tuple[str, ...] = ()) -> DataFrame:
+    """Features counted once by all that audits look at, and how many carry each field.
+
+    As many rows as there are such combinations; every ``observed_`` function and
+    ``audit_metadata`` takes them in place of the features, so one pass serves all.
+    """
+    keys = [c for c in _OBSERVED if c in df.columns]
+    return df.groupBy(*keys).agg(
+        F.count("*").alias("features"), *(F.count(F.col(f"`{name}`")).alias(f"n:{name}") for name in fields))
+
+
+def _counted(df: DataFrame):
+    return (F.sum("features") if "features" in df.columns else F.count("*")).alias("features")
+
+
 def observed_types(df: DataFrame) -> DataFrame:
-    return df.groupBy("theme", "type").agg(F.count("*").alias("features"))
+    return df.groupBy("theme", "type").agg(_counted(df))
+
+
+def observed_fields(summary: DataFrame) -> DataFrame:
+    """Fields that occur in each theme and type, out of ``observations``."""
+    fields = [c.removeprefix("n:") for c in summary.columns if c.startswith("n:")]
+    sums = summary.groupBy("theme", "type").agg(
+        *(F.sum(F.col(f"`n:{name}`")).alias(f"n{i}") for i, name in enumerate(fields)))
+    rows = F.array(*(
+        F.struct(F.lit(name).alias("field"), F.col(f"n{i}").alias("features")) for i, name in enumerate(fields)))
+    return sums.select("theme", "type", F.inline(rows)).where(F.col("features") > 0)
 
 
 def observed_values(df: DataFrame, columns: tuple[str, ...] = ("subtype", "class")) -> DataFrame:
     """Values of the enumerated attributes per type, with their number of features."""
     values = F.array(*(F.struct(F.lit(c).alias("field"), F.col(c).alias("value")) for c in columns))
+    kept = [c for c in df.columns if c == "features"]
     return (
-        df.select("theme", "type", F.inline(values)).where(F.col("value").isNotNull())
-        .groupBy("theme", "type", "field", "value").agg(F.count("*").alias("features"))
+        df.select("theme", "type", *kept, F.inline(values)).where(F.col("value").isNotNull())
+        .groupBy("theme", "type", "field", "value").agg(_counted(df))
     )
 
 
 def observed_zooms(df: DataFrame) -> DataFrame:
-    return df.where(F.col("min_zoom").isNotNull()).groupBy("theme", "type", "min_zoom").agg(
-        F.count("*").alias("features"))
+    return df.where(F.col("min_zoom").isNotNull()).groupBy("theme", "type", "min_zoom").agg(_counted(df))
 
 
 def _issues(df: DataFrame, severity: str, check: str, subject) -> DataFrame:
@@ -106,10 +135,11 @@ def audit_metadata(df: DataFrame) -> DataFrame:
         F.struct(F.lit("type").alias("part"), F.col("declared_type").alias("declared"),
                  F.col("type").alias("placed")),
     )
+    kept = [c for c in df.columns if c == "features"]
     wrong = (
-        df.select("theme", "type", F.inline(found))
+        df.select("theme", "type", *kept, F.inline(found))
         .where((F.col("declared") != "") & (F.col("declared") != F.col("placed")))
-        .groupBy("theme", "type", "part", "declared").agg(F.count("*").alias("features"))
+        .groupBy("theme", "type", "part", "declared").agg(_counted(df))
     )
     return _issues(wrong, "warn", "metadata", F.concat_ws(":", "part", "declared"))
 

@@ -10,6 +10,7 @@ from mapsheaf.plans.rules import RULES, rule_references
 from mapsheaf.queries.fixture import features, sql, values_sql
 from mapsheaf.queries.registry import query
 from mapsheaf.queries.tiles import ZOOMED, zoomed
+from mapsheaf.session import reliable_checkpoint
 from mapsheaf.sources.release import union_types
 
 # A tile spec with gaps: layers, fields and zooms that the features do not keep to.
@@ -85,19 +86,23 @@ _FIELD_ISSUES = """SELECT 'error' AS severity, 'tile-field' AS "check", theme, t
     AND NOT (type = 'building' AND field = 'min_height')"""
 
 
-def _field_issues(spark, sf_dir):
-    rows = features(spark, sf_dir).select(
-        "theme", "type", *_FIELDS, "names", "categories", "sources",
-        F.when(~F.exists(F.coalesce("names.rules", F.array()), lambda rule: rule["between"].isNotNull()),
-               F.col("names.primary")).alias("@name"))
+def _named(rows):
+    return rows.withColumn("@name", F.when(
+        ~F.exists(F.coalesce("names.rules", F.array()), lambda rule: rule["between"].isNotNull()),
+        F.col("names.primary")))
+
+
+def _field_issues(spark, observed):
     allowed = spark.createDataFrame(
         [("buildings", "building", "min_height")], "theme string, type string, field string")
-    return op.audit_missing_fields(observed_fields(rows), tilespec(spark), allowed)
+    return op.audit_missing_fields(observed, tilespec(spark), allowed)
 
 
 @query("audit_missing_fields", sql(_FIELD_ISSUES, TILESPEC_SQL, _FIELD_SQL))
 def audit_missing_fields(spark, sf_dir):
-    return _field_issues(spark, sf_dir)
+    rows = _named(features(spark, sf_dir)).select(
+        "theme", "type", *_FIELDS, "names", "categories", "sources", "@name")
+    return _field_issues(spark, observed_fields(rows))
 
 
 _VALUE_SQL = """observed AS (
@@ -160,9 +165,15 @@ _ALL_ISSUES = "issues AS (\n" + "\nUNION ALL\n".join(
     'SELECT severity, "check", count(*) AS issues FROM issues GROUP BY ROLLUP (severity, "check")',
     ZOOMED, TILESPEC_SQL, ENUM_SQL, _FIELD_SQL, _VALUE_SQL, _ALL_ISSUES))
 def audit_counts(spark, sf_dir):
+    # One pass over the features; the checks read its few rows.
+    rows = _named(zoomed(spark, sf_dir)).withColumns({name: F.expr(e) for name, e in _DECLARED.items()})
+    seen = reliable_checkpoint(op.observations(rows, (*_FIELDS, "names", "categories", "sources", "@name")))
     return op.audit_counts(union_types([
-        audit_missing_layers(spark, sf_dir), _field_issues(spark, sf_dir), audit_bad_values(spark, sf_dir),
-        _zoom_issues(spark, sf_dir), _metadata_issues(spark, sf_dir),
+        op.audit_missing_layers(op.observed_types(seen), tilespec(spark)),
+        _field_issues(spark, op.observed_fields(seen)),
+        op.audit_bad_values(op.observed_values(seen), enums(spark)),
+        op.audit_zoom_range(op.observed_zooms(seen), tilespec(spark)),
+        op.audit_metadata(seen),
     ]))
 
 
