@@ -204,6 +204,29 @@ def export_summary(spark, sf_dir):
         "view_id", "bbox_text", "release", "layers", "layer_count", "features")
 
 
+def _download(spark, sf_dir):
+    root = release_root(spark, sf_dir)
+    files = op.file_manifest(release.scan_release(spark, root), root)
+    return op.download_extract(spark, files, root, REGION, [t for types in THEME_TYPES.values() for t in types])
+
+
+@query("download_extract", sql(f"SELECT id, theme, type, subtype, number FROM features WHERE {_CLIP}"))
+def download_extract(spark, sf_dir):
+    return _download(spark, sf_dir).select("id", "theme", "type", "subtype", "number")
+
+
+_VIEW_URL = "https://example.org/?mode=explore#5/45/13"
+
+
+@query("download_summary", sql(
+    f"""SELECT string_agg(DISTINCT type, ',' ORDER BY type) AS layers, count(DISTINCT type) AS layer_count,
+      count(*) AS features, '2024-09-18' AS release, '{_VIEW_URL}' AS view_url FROM features WHERE {_CLIP}"""))
+def download_summary(spark, sf_dir):
+    made = datetime(2026, 1, 15, 12, 34, 56)
+    return export.export_summary(_download(spark, sf_dir), REGION, "2024-09-18", made, _VIEW_URL).select(
+        "layers", "layer_count", "features", "release", "view_url")
+
+
 _FIXED = "printf('%.3f', {})".format
 
 

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mapsheaf.model import THEME_TYPES
+from mapsheaf.functions.predicates import meets_box
+from mapsheaf.model import THEME_TYPES, Box
 from mapsheaf.operators.joins import box_join, numbered
+from mapsheaf.sources.release import scan_files
 
 
 def file_manifest(features: DataFrame, root: str) -> DataFrame:
@@ -60,3 +64,19 @@ def download_catalog(manifest: DataFrame, requests: DataFrame, hint: str | None
     pairs = box_join(manifest, requests, on=("type",), closed=False, hint=hint)
     return pairs.select("request_id", "type", "file_no", "rel_path").orderBy(
         "request_id", "type", "file_no")
+
+
+def download_extract(spark: SparkSession, manifest: DataFrame, root: str, bbox, types: Iterable[str]) -> DataFrame | None:
+    """Features of ``types`` that meet ``bbox``, out of the files that the manifest names for it.
+
+    The driver holds the names of the files of this one request, as any scan of them does.
+    None if no file overlaps the box.
+    """
+    box = Box.of(bbox)
+    sides = F.struct(*(F.lit(float(side)).alias(name) for name, side in (
+        ("xmin", box.west), ("xmax", box.east), ("ymin", box.south), ("ymax", box.north))))
+    requests = spark.createDataFrame([(type_,) for type_ in types], "type string").select(
+        F.lit(0).alias("request_id"), "type", sides.alias("box"))
+    chosen = download_catalog(manifest, requests).select("rel_path").collect()
+    found = scan_files(spark, root, [f"{root.rstrip('/')}/{row.rel_path}" for row in chosen])
+    return None if found is None else found.where(meets_box(box))

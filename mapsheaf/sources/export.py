@@ -75,8 +75,12 @@ def valid_box(box: str = "box") -> Column:
     return F.coalesce(ok, F.lit(False))
 
 
-def export_summary(df: DataFrame, bbox, release: str, now: datetime | None = None) -> DataFrame:
-    """One row about the extract of ``bbox``: box, release, sorted layers and counts."""
+def export_summary(df: DataFrame, bbox, release: str, now: datetime | None = None,
+                   view_url: str | None = None) -> DataFrame:
+    """One row about the extract of ``bbox``: box, release, sorted layers, counts and view.
+
+    ``view_url`` is where the map shows the same view; null if it is empty or not given.
+    """
     box = Box.of(bbox)
     if not isinstance(release, str) or not release:
         raise ValueError("release must be a non-empty text")
@@ -94,7 +98,7 @@ def export_summary(df: DataFrame, bbox, release: str, now: datetime | None = Non
             F.concat_ws(",", *(number_text(F.lit(side)) for side in box)).alias("bbox_text"),
             *(F.lit(side).alias(name) for name, side in box._asdict().items()),
             F.lit(release).alias("release"), "layers", "layer_count", "features",
-            made.alias("generated_at"))
+            made.alias("generated_at"), F.lit(view_url or None).cast("string").alias("view_url"))
     )
 
 

@@ -39,6 +39,19 @@ def scan_release(spark: SparkSession, root: str, theme: str | None = None,
     return reader.parquet(path).withColumn("filename", F.col("_metadata.file_path"))
 
 
+def scan_files(spark: SparkSession, root: str, paths: list[str],
+               schema: StructType | str | None = None) -> DataFrame | None:
+    """Features of the files named, each read once, and of no others; None without files.
+
+    Nothing is listed. Folder names below ``root`` give theme and type.
+    """
+    if not paths:
+        return None
+    reader = spark.read.option("basePath", root)
+    reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", True)
+    return reader.parquet(*sorted(set(paths))).withColumn("filename", F.col("_metadata.file_path"))
+
+
 def clip_release(spark: SparkSession, root: str, out: str, theme: str, bbox=None,
                  cluster: bool = False, schema: StructType | str | None = None) -> None:
     """Write the features of ``theme`` that meet ``bbox`` as a release below ``out``.
