@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import struct
 from datetime import datetime
 
+import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mapsheaf.model import THEME_TYPES
 from mapsheaf.operators import views as view_op
@@ -177,18 +180,36 @@ _RING = " || ',' || ".join(
     _at(x, y) for x, y in (("xmin", "ymin"), ("xmax", "ymin"), ("xmax", "ymax"), ("xmin", "ymax"), ("xmin", "ymin")))
 
 
+# Well-known binary of the shapes, every fifth area as one of several parts.
+@F.pandas_udf(T.BinaryType())
+def _wkb(kind: pd.Series, multi: pd.Series, w: pd.Series, s: pd.Series, e: pd.Series, n: pd.Series) -> pd.Series:
+    def one(kind, multi, w, s, e, n):
+        if kind == "Point":
+            return struct.pack("<BI2d", 1, 1, w, s)
+        if kind == "LineString":
+            return struct.pack("<BII4d", 1, 2, 2, w, s, e, n)
+        area = struct.pack("<BIII10d", 1, 3, 1, 5, w, s, e, s, e, n, w, n, w, s)
+        return struct.pack("<BII", 1, 6, 1) + area if multi else area
+
+    return pd.Series([one(*row) for row in zip(kind, multi, w, s, e, n, strict=True)], dtype=object)
+
+
 @query("export_geojson", sql(
-    f"""SELECT type, '{{"type":"Feature","geometry":' || CASE geom_type
-      WHEN 'Point' THEN '{{"type":"Point","coordinates":' || {_at("xmin", "ymin")} || '}}'
-      WHEN 'LineString' THEN '{{"type":"LineString","coordinates":[' || {_at("xmin", "ymin")} || ',' || {_at("xmax", "ymax")} || ']}}'
+    f"""SELECT type, '{{"type":"Feature","geometry":' || CASE
+      WHEN geom_type = 'Point' THEN '{{"type":"Point","coordinates":' || {_at("xmin", "ymin")} || '}}'
+      WHEN geom_type = 'LineString' THEN '{{"type":"LineString","coordinates":[' || {_at("xmin", "ymin")} || ',' || {_at("xmax", "ymax")} || ']}}'
+      WHEN key % 5 = 0 THEN '{{"type":"MultiPolygon","coordinates":[[[' || {_RING} || ']]]}}'
       ELSE '{{"type":"Polygon","coordinates":[[' || {_RING} || ']]}}' END
       || ',"properties":{{"id":"' || id || '","bbox":{{"xmin":' || xmin || ',"xmax":' || xmax || ',"ymin":' || ymin || ',"ymax":' || ymax || '}}'
       || coalesce(',"subtype":"' || subtype || '"', '') || coalesce(',"names":' || names_json, '') || '}}}}' AS value
-    FROM features WHERE type IN ('place', 'segment', 'water') AND {_CLIP}"""))
+    FROM features WHERE {_CLIP}"""))
 def export_geojson(spark, sf_dir):
     out = new_dir(spark, "geojson")
-    rows = features(spark, sf_dir).select("theme", "type", "id", "geom_type", "bbox", "subtype", "names")
-    export.export_geojson(rows, REGION, ("place", "segment", "water"), out)
+    sides = [F.col(f"bbox.{side}") for side in ("xmin", "ymin", "xmax", "ymax")]
+    rows = features(spark, sf_dir).select(
+        "theme", "type", "id", "bbox", "subtype", "names",
+        _wkb("geom_type", F.col("key") % 5 == 0, *sides).alias("geometry"))
+    export.export_geojson(rows, REGION, [t for types in THEME_TYPES.values() for t in types], out)
     return spark.read.text(out).select("type", "value")
 
 
