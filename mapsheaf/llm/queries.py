@@ -84,24 +84,25 @@ QUERIES: dict[str, Run] = {
 
 SQL: dict[str, str] = {
     "op3_suffix_dedup": r"""
-        WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-        place AS (SELECT doc_id, h, unnest(range(0, len(h) // 2)) AS p FROM d),
-        part AS (SELECT doc_id, p, substr(h, 2 * p + 1, 2) AS byte,
-                        CASE WHEN 2 * p + 200 <= len(h) THEN substr(h, 2 * p + 1, 200) END AS s FROM place),
-        again AS (SELECT doc_id, p, byte, s IS NOT NULL AND row_number() OVER (
-                      PARTITION BY s ORDER BY doc_id, p) > 1 AS again FROM part),
-        covered AS (SELECT doc_id, p, byte, bool_or(again) OVER (
-                        PARTITION BY doc_id ORDER BY p ROWS BETWEEN 99 PRECEDING AND CURRENT ROW) AS gone FROM again),
+        WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS e FROM documents),
+        place AS (SELECT doc_id, e, unnest(range(0, octet_length(e))) AS p FROM d),
+        part AS (SELECT doc_id, p, hex(e[p + 1:p + 1]) AS byte,
+                        CASE WHEN p + 100 <= octet_length(e) THEN md5_number(e[p + 1:p + 100]) END AS s FROM place),
+        first AS (SELECT s, min((doc_id::HUGEINT << 40) + p) AS least FROM part WHERE s IS NOT NULL GROUP BY s),
+        again AS (SELECT doc_id, p, byte, coalesce((doc_id::HUGEINT << 40) + p > least, false) AS again
+                  FROM part LEFT JOIN first USING (s)),
+        covered AS (SELECT doc_id, p, byte, sum(again::INT) OVER (
+                        PARTITION BY doc_id ORDER BY p ROWS BETWEEN 99 PRECEDING AND CURRENT ROW) > 0 AS gone FROM again),
         run AS (SELECT *, lag(gone, 1, false) OVER (PARTITION BY doc_id ORDER BY p) AS before FROM covered),
         kept AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, count(*) FILTER (gone AND NOT before) AS n_spans,
                         string_agg(byte, '' ORDER BY p) FILTER (NOT gone) AS k FROM run GROUP BY doc_id)
-        SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed,
+        SELECT doc_id, octet_length(e)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed,
                coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(k, ''))) AS kept_sha256
         FROM d LEFT JOIN kept USING (doc_id)""",
     "op7_embedding_near_dedup": """
         WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
         usable AS (SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0
-                   AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0 AND list_dot_product(e, e) > 0),
+                   AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_dot_product(e, e) > 0),
         link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
                  ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
                  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
