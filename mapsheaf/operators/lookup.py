@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from mapsheaf.model import LOOKUP_TYPE_ORDER
 from mapsheaf.operators.joins import salted_join
 from mapsheaf.operators.tags import feature_label
+from mapsheaf.plans.rules import default_items
 
 # Most results of a name search, and the shortest query.
 SEARCH_RESULTS = 6
@@ -50,7 +51,10 @@ def _number(text: Column) -> Column:
 
 
 def parse_links(links: DataFrame, url: str = "url") -> DataFrame:
-    """Add mode, layers, map position and feature parts of shared links."""
+    """Add mode, layers, map position and feature parts of shared links.
+
+    ``items`` are the layers, or the mode's default items for a link without any.
+    """
     def parameter(name: str) -> Column:
         return F.try_url_decode(F.try_parse_url(F.col(url), F.lit("QUERY"), F.lit(name)))
 
@@ -73,7 +77,10 @@ def parse_links(links: DataFrame, url: str = "url") -> DataFrame:
         "theme": F.when(whole, F.get("_feature", 0)),
         "type": F.when(whole, F.get("_feature", 1)),
         "id": F.when(whole, F.get("_feature", 2)),
-    }).drop("_mode", "_layers", "_feature", "_position", "_spot0", "_spot1", "_spot2")
+    }).withColumn("items", F.coalesce("layers", F.when(
+        F.col("mode") == "inspect", F.array(*map(F.lit, default_items("inspect")))).otherwise(
+        F.array(*map(F.lit, default_items("explore")))),
+    )).drop("_mode", "_layers", "_feature", "_position", "_spot0", "_spot1", "_spot2")
 
 
 def view_link_restore(links: DataFrame, features: DataFrame) -> DataFrame:

@@ -412,6 +412,16 @@ RULE_SCHEMA = (
 )
 
 
+# Items that are off until chosen.
+DEFAULT_OFF = ("place-all-circle", "place-all-density-circle", "building-footprint", "building-part-footprint", "address")
+
+
+def default_items(mode: str) -> list[str]:
+    """Items shown when a view does not choose any, in draw order."""
+    items = dict.fromkeys(rule.item for rule in RULES[mode] if rule.item)
+    return [item for item in items if mode != "explore" or item not in DEFAULT_OFF]
+
+
 def rule_references(spark: SparkSession, *modes: str) -> DataFrame:
     """What each rule mentions: a row per attribute and literal text value, null without one.
 

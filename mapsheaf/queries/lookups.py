@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from mapsheaf.model import LOOKUP_TYPE_ORDER
 from mapsheaf.operators import lookup as op
-from mapsheaf.queries.fixture import box, features, sql, table, values_sql
+from mapsheaf.queries.fixture import box, features, sql, table, values_sql, rules_sql
 from mapsheaf.queries.registry import query
 
 _ORDER_SQL = values_sql("type_order", ["type", "place"], [(t, n) for n, t in enumerate(LOOKUP_TYPE_ORDER)])
@@ -60,6 +60,9 @@ def links(spark, sf_dir):
 @query("view_link_restore", sql(
     """SELECT link_id, CASE WHEN link_id % 3 = 0 THEN 'inspect' ELSE 'explore' END AS mode,
       CASE link_id % 4 WHEN 0 THEN 'land|oceans' WHEN 1 THEN 'rail' END AS layers,
+      CASE link_id % 4 WHEN 0 THEN 2 WHEN 1 THEN 1 ELSE (SELECT count(DISTINCT item) FROM rules
+        WHERE rules.mode = CASE WHEN link_id % 3 = 0 THEN 'inspect' ELSE 'explore' END AND (rules.mode = 'inspect' OR item NOT IN
+          ('place-all-circle', 'place-all-density-circle', 'building-footprint', 'building-part-footprint', 'address'))) END AS items,
       CASE link_id % 6 WHEN 0 THEN 12.5 WHEN 2 THEN 4 END::DOUBLE AS zoom,
       CASE link_id % 6 WHEN 0 THEN 31.25 WHEN 2 THEN 10 END::DOUBLE AS latitude,
       CASE link_id % 6 WHEN 0 THEN 35.5 WHEN 2 THEN -20 END::DOUBLE AS longitude,
@@ -69,11 +72,11 @@ def links(spark, sf_dir):
         CASE o_orderkey % 5 WHEN 0 THEN 'segment' WHEN 2 THEN 'place' END AS type,
         CASE o_orderkey % 5 WHEN 0 THEN 'way.' || (o_orderkey % 700) WHEN 2 THEN 'place.' || o_custkey END AS id
       FROM orders) wanted
-    LEFT JOIN features f ON f.theme = wanted.theme AND f.type = wanted.type AND f.id = wanted.id"""))
+    LEFT JOIN features f ON f.theme = wanted.theme AND f.type = wanted.type AND f.id = wanted.id""", rules_sql("explore", "inspect")))
 def view_link_restore(spark, sf_dir):
     rows = features(spark, sf_dir).select("theme", "type", "id", "subtype", "bbox")
     return op.view_link_restore(links(spark, sf_dir), rows).select(
-        "link_id", "mode", F.concat_ws("|", "layers").alias("layers"), "zoom", "latitude", "longitude",
+        "link_id", "mode", F.concat_ws("|", "layers").alias("layers"), F.size("items").cast("long").alias("items"), "zoom", "latitude", "longitude",
         "theme", "type", "id", F.col("feature.subtype").alias("subtype"),
         F.col("feature").isNotNull().alias("found")
     ).withColumn("layers", F.nullif("layers", F.lit("")))
