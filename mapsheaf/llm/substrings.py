@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from mapsheaf.llm import words
 from mapsheaf.llm.blocks import (
-    QUESTION, each_answered, each_block, each_slice, expand, pack, questions, read_sorted, slice_of, slices_for,
+    BLOCK_BYTES, QUESTION, each_answered, each_block, each_slice, expand, pack, questions, read_sorted, slice_of, slices_for,
     squeeze, unpack, write_sorted,
 )
 
@@ -102,7 +102,7 @@ def _ask_sketch(block: int, payload: bytes, window: int, slices: int) -> pd.Data
     return questions(block, (key >> np.uint64(32)).astype(np.int32), write)
 
 
-def _merge_sketches(parts: list[bytes]) -> Iterator[bytes]:
+def _merge_sketches(parts: list[bytes], width_bits: int) -> Iterator[bytes]:
     cells, twice = [], []
     for part in parts:
         size = int.from_bytes(part[:4], "little")
@@ -111,9 +111,9 @@ def _merge_sketches(parts: list[bytes]) -> Iterator[bytes]:
     every, weight = np.concatenate(cells), np.concatenate(twice) + 1
     estimate = np.full(len(every), 255, np.uint8)
     for multiplier in _ROWS[:DEPTH]:
-        row = (every * np.uint32(multiplier)) >> np.uint32(32 - WIDTH_BITS)
-        counters = np.bincount(row, minlength=1 << WIDTH_BITS)
-        counters += np.bincount(row[weight > 1], minlength=1 << WIDTH_BITS)
+        row = (every * np.uint32(multiplier)) >> np.uint32(32 - width_bits)
+        counters = np.bincount(row, minlength=1 << width_bits)
+        counters += np.bincount(row[weight > 1], minlength=1 << width_bits)
         estimate = np.minimum(estimate, np.minimum(counters[row], 255).astype(np.uint8))
     for part in np.split(estimate > 1, np.cumsum([len(c) for c in cells])[:-1]):
         yield np.packbits(part).tobytes()
@@ -186,14 +186,15 @@ def _remove(block: int, payload: bytes, answers: dict[int, bytes], window: int,
     return out
 
 
-def remove_repeats(docs: DataFrame, window: int = 13) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = 13, block_bytes: int = BLOCK_BYTES,
+                   width_bits: int = WIDTH_BITS) -> DataFrame:
     """``doc_id, n_words, n_removed, kept`` for every row; ``kept`` joins the words that stay."""
-    blocks = pack(docs, "blocks")
+    blocks = pack(docs, "blocks", block_bytes)
     # Windows number fewer than words, and words fewer than half the bytes and one.
     size = blocks.agg(F.sum("size")).first()[0] or 0
     slices = slices_for(size // 6, SLICE_WINDOWS)
     asked = each_block(blocks, lambda b, p: _ask_sketch(b, p, window, slices), QUESTION)
-    sketch = each_slice(asked, _merge_sketches, "sketch")
+    sketch = each_slice(asked, lambda parts: _merge_sketches(parts, width_bits), "sketch")
     digest_slices = slices_for(size // 24, SLICE_DIGESTS)
     asked = each_answered(
         blocks, sketch, lambda b, p, a: _ask_digests(b, p, a, window, slices, digest_slices), QUESTION)

@@ -4,7 +4,6 @@ from hashlib import sha256
 
 import pytest
 
-from mapsheaf.llm import blocks, substrings
 from mapsheaf.llm.queries import QUERIES
 from mapsheaf.llm.substrings import remove_repeats
 
@@ -43,8 +42,7 @@ def test_query_equals_brute_force(spark):
 
 
 @pytest.mark.parametrize(("window", "bytes_"), [(3, 200), (5, 4 << 20)])
-def test_shared_passages(spark, corpus, monkeypatch, window, bytes_):
-    monkeypatch.setattr(blocks, "BLOCK_BYTES", bytes_)
+def test_shared_passages(spark, corpus, window, bytes_):
     rng = random.Random(window)
     letters = ["a", "b", "c", "dé", "e\x0bf", "\xa0g", "h"]
     common = " ".join(rng.choices(letters, k=40))
@@ -54,16 +52,15 @@ def test_shared_passages(spark, corpus, monkeypatch, window, bytes_):
         texts.append(text + (" " + common if n % 4 == 0 else ""))
     frame = spark.read.parquet(f"{corpus(texts)}/documents.parquet")
     expected = brute(dict(enumerate(texts)), window)
-    rows = remove_repeats(frame, window).collect()
+    rows = remove_repeats(frame, window, bytes_).collect()
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in rows} == expected
 
 
-def test_crowded_counters_lose_nothing(spark, corpus, monkeypatch):
-    monkeypatch.setattr(substrings, "WIDTH_BITS", 4)
+def test_crowded_counters_lose_nothing(spark, corpus):
     rng = random.Random(9)
     texts = [" ".join(rng.choices("abcde", k=30)) for _ in range(40)]
     frame = spark.read.parquet(f"{corpus(texts)}/documents.parquet")
-    rows = remove_repeats(frame, 4).collect()
+    rows = remove_repeats(frame, 4, width_bits=4).collect()
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in rows} == brute(dict(enumerate(texts)), 4)
 
 
