@@ -16,6 +16,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -68,7 +69,7 @@ def pack(docs: DataFrame, name: str, block_bytes: int = BLOCK_BYTES) -> DataFram
 
         for part in parts:
             part = pa.RecordBatch.from_arrays([part.column(0), part.column(1).cast(pa.binary())], ["doc_id", "text"])
-            ends = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(part.column(1)), 0).to_numpy(
+            ends = np.cumsum(pc.fill_null(pc.binary_length(part.column(1)), 0).to_numpy(
                 zero_copy_only=False)) if len(part) else np.empty(0, np.int64)
             start, before = 0, 0
             while start < len(part):
