@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mapsheaf.plans.rules import RULES
+from mapsheaf.session import ship_package
 
 COLUMNS = {
     "key": "BIGINT", "theme": "STRING", "type": "STRING", "id": "STRING", "geom_type": "STRING",
@@ -237,6 +238,7 @@ def rules_sql(*modes: str) -> str:
 # -- Spark side --------------------------------------------------------------
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,6 +14,8 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 # Temporary folders of local sessions, by application.
 _local: dict[str, str] = {}
+# Applications whose workers have been given this package.
+_shipped: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -38,3 +42,20 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the package's modules to Python workers, for functions that run in tasks.
+
+    Once per application; needed where the package is not installed on the executors.
+    """
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    _shipped.add(application)
+    package = Path(__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="mapsheaf-")) / "mapsheaf.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as file:
+        for module in sorted(package.rglob("*.py")):
+            file.write(module, f"{package.name}/{module.relative_to(package)}")
+    spark.sparkContext.addPyFile(str(archive))
