@@ -21,10 +21,12 @@ from mapsheaf.llm import bpe, decontaminate, langid, secrets
 from mapsheaf.llm.common import materialize, table
 from mapsheaf.llm.queries import BPE_RANKS
 from mapsheaf.llm.simhash import simhash_groups
+from mapsheaf.session import ship_package
 
 
 def recognised_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; learned from the folds 0 and 2 of three."""
+    ship_package(spark)
     return langid.keep_recognised(docs, folds=3, held_out=1)
 
 
@@ -33,6 +35,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Of repeated rows with that id one stays. Rows without an id are kept.
     """
+    ship_package(spark)
     groups = simhash_groups(docs, shingle=3, max_bits=2)
     kept = groups.where("doc_id = component_id").select("doc_id").distinct()
     named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi")
@@ -51,6 +54,7 @@ def secret_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, n_tokens, ids, decoded``: the documents as tokens, and as text again."""
+    ship_package(spark)
     coded = bpe.encode_decode(docs, bpe.load_ranks(BPE_RANKS), public_tokenizers.PATTERN)
     return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.decode("decoded", "UTF-8").alias("decoded"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mapsheaf.session import new_dir
+from mapsheaf.session import new_dir, ship_package
 
 # Fixed value: a word is a run of characters other than space and U+0009 to U+000D.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -13,6 +13,7 @@ SPACE_PATTERN = r"[\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
