@@ -74,6 +74,22 @@ def test_property_values(spark):
     assert found["plain"] == {(None, "text")} and found["broken"] == {(None, "[1,")} and found["empty"] == {(None, None)}
 
 
+def test_property_members_in_order(spark):
+    texts = [
+        ("names", '{"rules":[],"zeta":"z","common":{"en":"A"},"alpha":"null","primary":"A"}'),
+        ("categories", '{"alternate":["p"],"primary":"q"}'),
+        ("other", '{"b":1,"a":2,"links":["https://example.org/a","https://example.org/b"]}')]
+    frame = spark.createDataFrame(texts, "key string, value string")
+    found = {}
+    for r in sorted(inspector.property_values(frame).collect(), key=lambda r: r.position):
+        found.setdefault(r.key, []).append((r.member, r.text))
+    assert found["names"] == [("primary", "A"), ("common", '{"en":"A"}'), ("rules", "[]"), ("zeta", "z")]
+    assert [m for m, _ in found["categories"]] == ["primary", "alternate"]
+    # Members in the order of the text; web addresses are never in line.
+    assert found["other"] == [
+        ("b", "1"), ("a", "2"), ("links", '["https://example.org/a","https://example.org/b"]')]
+
+
 def test_visible_properties(spark):
     frame = spark.createDataFrame(
         [("@name", "x"), ("theme", "x"), ("version", "1"), ("level", None), ("surface", "null"), ("height", "5")],

@@ -104,6 +104,14 @@ def test_tags_keep_primitives_and_write_nested_values_as_text(spark):
         "id": "a", "level": "3", "flag": "true", "names": '{"primary":"A"}', "list": "[1,2]", "@name": "A"}
 
 
+def test_helper_columns_are_no_tags(spark):
+    frame = spark.createDataFrame(
+        [("a", "Point", 3, 9, 5, 1, "f.parquet", 7)],
+        "id string, geom_type string, min_zoom int, max_zoom int, tags_zoom int, min_pixel int, filename string, level int")
+    assert tags.tag_map(frame).first().tags == {"id": "a", "level": "7"}
+    assert tags.flatten_tags(frame).columns == ["id", "level"]
+
+
 def boxed(spark, rows, more=""):
     return spark.createDataFrame(rows, f"id string, bbox {BOX}" + more)
 
