@@ -205,6 +205,43 @@ def property_values(df: DataFrame, key: str = "key", value: str = "value") -> Da
         *keep, "position", "row.*")
 
 
+# Objects in objects are followed this deep; what lies below stays JSON text.
+TREE_DEPTH = 8
+
+
+def property_tree(df: DataFrame, key: str = "key", value: str = "value", depth: int = TREE_DEPTH) -> DataFrame:
+    """Nested property texts down to their plain values, one row each in the order of the text.
+
+    ``path`` joins the members and list positions that lead to ``text`` by dots; it is null
+    for a text that is not nested. Members that are null, the text "null" or empty are left out.
+    """
+    entry = "struct<path:array<string>,text:string>"
+
+    def below(parent: Column) -> Column:
+        members = F.from_json(parent["text"], "map<string,string>")
+        items = F.from_json(parent["text"], "array<string>")
+
+        def at(name: Column, text: Column) -> Column:
+            return F.struct(F.concat(parent["path"], F.array(name)).alias("path"), text.alias("text"))
+
+        return (
+            F.when(parent["text"].rlike(r"^\s*\{") & (F.size(members) > 0), F.transform(
+                F.map_entries(members), lambda member: at(member["key"], member["value"])))
+            .when(parent["text"].rlike(r"^\s*\[") & (F.size(items) > 0), F.transform(
+                items, lambda item, n: at(n.cast("string"), item)))
+            .otherwise(F.array(parent)))
+
+    rows = df.withColumn("_rows", F.array(F.struct(
+        F.array().cast("array<string>").alias("path"), F.col(value).alias("text"))).cast(f"array<{entry}>"))
+    for _ in range(depth):
+        rows = rows.withColumn("_rows", F.flatten(F.transform("_rows", below)))
+    shown = F.filter("_rows", lambda row: row["text"].isNotNull() & ~row["text"].rlike(
+        r"^\s*(null|\[\s*\]|\{\s*\})\s*$"))
+    keep = [c for c in df.columns if c != value]
+    return rows.select(*keep, F.posexplode(shown).alias("position", "row")).select(
+        *keep, "position", F.when(F.size("row.path") > 0, F.array_join("row.path", ".")).alias("path"), "row.text")
+
+
 def url_flags(df: DataFrame, value: str = "value", values: str | None = None) -> DataFrame:
     """Add whether ``value`` is a web address, and whether all of a list ``values`` are."""
     df = df.withColumn("is_url", t.is_url(F.col(value)))

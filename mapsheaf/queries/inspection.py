@@ -143,6 +143,33 @@ def property_values(spark, sf_dir):
     return op.property_values(rows)
 
 
+@query("property_tree", sql(
+    """SELECT id, key, row_number() OVER (PARTITION BY rid, key ORDER BY slot) - 1 AS position, path, text FROM (
+      SELECT rid, id, 'names' AS key, unnest([0, 1, 2, 3]) AS slot,
+        unnest(['primary', CASE WHEN key % 2 = 0 THEN 'common.en' ELSE 'common.fr' END, 'rules.0.between.0', 'rules.0.between.1']) AS path,
+        unnest([name_primary, name_primary || CASE WHEN key % 2 = 0 THEN ' X' ELSE ' Y' END,
+          CASE WHEN key % 7 = 0 THEN '0.0' END, CASE WHEN key % 7 = 0 THEN '0.5' END]) AS text
+      FROM features WHERE name_primary IS NOT NULL
+      UNION ALL
+      SELECT rid, id, 'categories', unnest([0, 1]), unnest(['primary', 'alternate.0']), unnest([category, 'other'])
+      FROM features WHERE category IS NOT NULL
+      UNION ALL
+      SELECT rid, id, 'cartography', unnest([0, 1]), unnest(['min_zoom', 'max_zoom']),
+        unnest([CAST(draw_from AS VARCHAR), CAST(draw_from + 5 AS VARCHAR)])
+      FROM features WHERE draw_from IS NOT NULL
+      UNION ALL
+      SELECT rid, id, 'sources', nth * 3 + unnest([0, 1, 2]), nth || '.' || unnest(['property', 'dataset', 'record_id']),
+        unnest([property, dataset, record_id])
+      FROM (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY slot) - 1 AS nth FROM sources)
+      UNION ALL
+      SELECT rid, id, 'subtype', 0, NULL, subtype FROM features WHERE subtype IS NOT NULL)
+    WHERE text IS NOT NULL"""))
+def property_tree(spark, sf_dir):
+    nested = features(spark, sf_dir).select("id", "names", "categories", "cartography", "sources", "subtype")
+    rows = op.properties_of(nested, skip=("id", "@name")).select("id", F.inline("properties"))
+    return op.property_tree(rows)
+
+
 @query("url_flags",
        """WITH listed AS (
          SELECT page_id, url AS value, [url, CASE WHEN page_id % 3 = 0 THEN 'no address' ELSE url END] AS links FROM pages
