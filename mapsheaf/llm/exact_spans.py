@@ -13,7 +13,9 @@ is sorted by the difference-cover method and neighbours in that order are compar
 by byte. The last pass removes bytes.
 
 Surroundings that a block holds many times are sent once, with their earliest place, and
-a slice keeps one of each, so copies and common passages do not pile up in one task.
+a slice keeps one of each, so copies do not pile up in one task. An anchor that many blocks
+hold, say in a passage common to a third of all documents, is split: each of its windows goes
+to the slice of the window's own hash.
 
 A null text is empty. Rows without ``doc_id`` lose nothing and remove nothing; rows that
 repeat an id are one document, so a place in them is not earlier than the same place in
@@ -31,13 +33,16 @@ from pyspark.sql import functions as F
 
 from mapsheaf.llm import words
 from mapsheaf.llm.blocks import (
-    QUESTION, each_answered, each_block, each_slice, expand, pack, questions, read_sorted, slice_of, slices_for,
+    BLOCK_BYTES, QUESTION, each_answered, each_block, each_slice, expand, pack, questions, read_sorted, slice_of, slices_for,
     squeeze, unpack, write_sorted,
 )
 from mapsheaf.llm.suffixes import prefix_classes
 
-CHUNK = 1 << 20
-SLICE_ANCHORS = 1 << 18
+CHUNK = 1 << 19
+SLICE_ANCHORS = 1 << 17
+# An anchor in more blocks than this is split: each of its windows is sent by its own hash. That
+# moves some twenty times the bytes for such an anchor, so it is for those that would crowd a task.
+HOT_BLOCKS = 4096
 _LOW = np.uint64(0xFFFFFFFF)
 
 
@@ -50,21 +55,21 @@ class _Anchors:
         self.data = np.frombuffer(b"".join(texts), np.uint8)
         self.edges = np.cumsum([0, *map(len, texts)])
         known = np.array([n is not None for n in self.ids], bool)
-        parts = [self._chunk(start) for start in range(0, max(0, len(self.data) - length + 1), CHUNK)]
-        start, at, self_hash = (np.concatenate(x) if parts else np.empty(0, k) for x, k in zip(
-            zip(*parts, strict=True) if parts else ((), (), ()), (np.int64, np.int64, np.uint64), strict=True))
-        doc = np.searchsorted(self.edges, start, "right") - 1
-        whole = (start + length <= self.edges[doc + 1]) & known[doc] if len(start) else np.empty(0, bool)
-        start, at, self_hash, doc = start[whole], at[whole], self_hash[whole], doc[whole]
-        new = np.ones(len(start), bool)
-        new[1:] = (at[1:] != at[:-1]) | (doc[1:] != doc[:-1])
-        firsts = np.flatnonzero(new)
-        self.first = start[firsts]  # first window of each run
-        self.count = np.diff(np.append(firsts, len(start)))
-        self.at, self.hash, self.doc = at[firsts], self_hash[firsts], doc[firsts]
-
-    def _chunk(self, start: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Window starts from ``start`` on, the place of each one's anchor, and its hash."""
+        parts = [self._chunk(start, known) for start in range(0, max(0, len(self.data) - length + 1), CHUNK)]
+        kinds = (np.int64, np.int64, np.uint64, np.int64)
+        self.first, self.at, self.hash, self.doc = (
+            np.concatenate([part[n] for part in parts]) if parts else np.empty(0, kind) for n, kind in enumerate(kinds))
+        self.count = np.concatenate([part[4] for part in parts]) if parts else np.empty(0, np.int64)
+        # A run that goes on in the next chunk is one run.
+        new = np.ones(len(self.first), bool)
+        new[1:] = (self.at[1:] != self.at[:-1]) | (self.doc[1:] != self.doc[:-1])
+        starts = np.flatnonzero(new)
+        if len(starts):
+            self.count = np.add.reduceat(self.count, starts)
+        self.first, self.at, self.hash, self.doc = self.first[new], self.at[new], self.hash[new], self.doc[new]
+
+    def _chunk(self, start: int, known: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Runs of windows from ``start`` on: first window, anchor, its hash, document and length."""
         end = min(len(self.data), start + CHUNK + self.length - 1)
         places = np.arange(start, end - self.gram + 1)
         hashes = words.hashes(self.data, places, places + self.gram)
@@ -77,31 +82,66 @@ class _Anchors:
         if wide > span:
             least = np.minimum(least[:len(least) - (wide - span)], least[wide - span:])
         at = (least & _LOW).astype(np.int64)
+        first = places[:len(at)]
+        doc = np.searchsorted(self.edges, first, "right") - 1
+        whole = np.flatnonzero((first + self.length <= self.edges[doc + 1]) & known[doc])
+        first, at, doc = first[whole], at[whole], doc[whole]
+        new = np.ones(len(first), bool)
+        new[1:] = (at[1:] != at[:-1]) | (doc[1:] != doc[:-1])
+        runs = np.flatnonzero(new)
         # Anchors have low hashes; mixing spreads them over the slices.
-        return places[:len(at)], at + start, words.mix(hashes[at])
+        return (first[runs], at[runs] + start, words.mix(hashes[at[runs]]), doc[runs],
+                np.diff(np.append(runs, len(first))))
 
     def keys(self, slices: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         key = slice_of(self.hash, slices).astype(np.uint64) << np.uint64(32) | (self.hash & _LOW)
         return np.unique(key, return_inverse=True, return_counts=True)
 
-    def surroundings(self, slices: int, answers: dict[int, bytes]) -> tuple[np.ndarray, list[bytes], np.ndarray]:
-        """Runs whose anchor repeats, sorted by slice; what each covers, with its shape; whose first it is."""
+    def entries(self, slices: int, answers: dict[int, bytes]) -> _Entries:
+        """What may repeat elsewhere: whole runs, or single windows of anchors that many blocks hold."""
         key, which, _ = self.keys(slices)
-        bits = []
+        many, hot = [], []
         for number, size in zip(*np.unique(key >> np.uint64(32), return_counts=True), strict=True):
-            bits.append(np.unpackbits(np.frombuffer(answers[int(number)], np.uint8), count=int(size)))
-        runs = np.flatnonzero(np.concatenate(bits).astype(bool)[which]) if bits else np.empty(0, np.int64)
-        raw = self.data.tobytes()
-        texts = [bytes((a - s,)) + bytes((c - 1,)) + raw[s:s + c + self.length - 1] for s, c, a in zip(
-            self.first[runs].tolist(), self.count[runs].tolist(), self.at[runs].tolist(), strict=True)]
-        number = np.array([n or 0 for n in self.ids], np.int64)[self.doc[runs]]
-        offset = self.first[runs] - self.edges[self.doc[runs]]
-        order = np.lexsort((offset, number))
-        earliest: dict[bytes, int] = {}
-        owner = np.empty(len(runs), np.int64)
-        for n in order.tolist():
-            owner[n] = earliest.setdefault(texts[n], n)
-        return runs, texts, owner
+            bits = np.frombuffer(answers[int(number)], np.uint8).reshape(2, -1)
+            many.append(np.unpackbits(bits[0], count=int(size)))
+            hot.append(np.unpackbits(bits[1], count=int(size)))
+        runs = np.flatnonzero(np.concatenate(many).astype(bool)[which]) if many else np.empty(0, np.int64)
+        split = np.concatenate(hot).astype(bool)[which][runs] if hot else np.empty(0, bool)
+        pieces = np.where(split, self.count[runs], 1)
+        within = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        of, single = np.repeat(runs, pieces), np.repeat(split, pieces)
+        first, hashes = self.first[of] + within, self.hash[of]
+        alone = first[single]
+        hashes[single] = words.mix(words.hashes(self.data, alone, alone + self.length))
+        return _Entries(self, first, np.where(single, 1, self.count[of]), self.at[of], hashes, self.doc[of])
+
+
+class _Entries:
+    """Windows to be compared, with what they cover and the earliest entry of the block that covers the same."""
+
+    def __init__(self, own: _Anchors, first: np.ndarray, count: np.ndarray, at: np.ndarray, hashes: np.ndarray,
+                 doc: np.ndarray) -> None:
+        self.first, self.count, self.hash = first, count, hashes
+        raw = own.data.tobytes()
+        self.texts = [bytes((a - s, c - 1)) + raw[s:s + c + own.length - 1] for s, c, a in zip(
+            first.tolist(), count.tolist(), at.tolist(), strict=True)]
+        self.number = np.array([n or 0 for n in own.ids], np.int64)[doc]
+        self.offset = first - own.edges[doc]
+        self.owner = _owners(self.texts, self.number, self.offset)
+
+    def sent(self, slices: int) -> np.ndarray:
+        """The entries that are sent, sorted by slice: the earliest of each text in the block."""
+        sent = np.flatnonzero(self.owner == np.arange(len(self.owner)))
+        return sent[np.argsort(slice_of(self.hash[sent], slices), kind="stable")]
+
+
+def _owners(texts: list[bytes], number: np.ndarray, offset: np.ndarray) -> np.ndarray:
+    """For each text the equal one of the smallest place."""
+    earliest: dict[bytes, int] = {}
+    owner = np.empty(len(texts), np.int64)
+    for n in np.lexsort((offset, number)).tolist():
+        owner[n] = earliest.setdefault(texts[n], n)
+    return owner
 
 
 def _ask_anchors(block: int, payload: bytes, length: int, slices: int) -> pd.DataFrame:
@@ -115,7 +155,8 @@ def _ask_anchors(block: int, payload: bytes, length: int, slices: int) -> pd.Dat
     return questions(block, (key >> np.uint64(32)).astype(np.int32), write)
 
 
-def _repeated(parts: list[bytes]) -> Iterator[bytes]:
+def _repeated(parts: list[bytes], hot_blocks: int) -> Iterator[bytes]:
+    """Two bits for each key of each part: does it repeat, and do more blocks than ``hot_blocks`` hold it?"""
     cells, twice = [], []
     for part in parts:
         size = int.from_bytes(part[:4], "little")
@@ -123,30 +164,23 @@ def _repeated(parts: list[bytes]) -> Iterator[bytes]:
         twice.append(np.unpackbits(np.frombuffer(part[4 + size:], np.uint8), count=len(cells[-1])))
     _, which, counts = np.unique(np.concatenate(cells), return_inverse=True, return_counts=True)
     many = (counts + np.bincount(which, np.concatenate(twice)) > 1)[which]
-    for part in np.split(many, np.cumsum([len(c) for c in cells])[:-1]):
-        yield np.packbits(part).tobytes()
-
-
-def _sent(found: _Anchors, runs: np.ndarray, owner: np.ndarray, slices: int) -> np.ndarray:
-    """The runs that are sent, sorted by slice: the earliest of each surroundings in the block."""
-    sent = np.flatnonzero(owner == np.arange(len(owner)))
-    return sent[np.argsort(slice_of(found.hash[runs[sent]], slices), kind="stable")]
+    hot = (counts > hot_blocks)[which]
+    ends = np.cumsum([len(c) for c in cells])[:-1]
+    for one, other in zip(np.split(many, ends), np.split(hot, ends), strict=True):
+        yield np.packbits(one).tobytes() + np.packbits(other).tobytes()
 
 
 def _ask_windows(block: int, payload: bytes, answers: dict[int, bytes], length: int, slices: int) -> pd.DataFrame:
-    found = _Anchors(payload, length)
-    runs, texts, owner = found.surroundings(slices, answers)
-    sent = _sent(found, runs, owner, slices)
-    number = np.array([n or 0 for n in found.ids], np.int64)
+    found = _Anchors(payload, length).entries(slices, answers)
+    sent = found.sent(slices)
 
     def write(part: slice) -> bytes:
-        rows = runs[sent[part]]
-        numbers = np.stack([number[found.doc[rows]], found.first[rows] - found.edges[found.doc[rows]],
-                            found.hash[rows].view(np.int64)])
+        rows = sent[part]
+        numbers = np.stack([found.number[rows], found.offset[rows], found.hash[rows].view(np.int64)])
         columns = np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, 8).T)
-        return squeeze(len(rows).to_bytes(4, "little") + columns.tobytes() + b"".join([texts[n] for n in sent[part]]))
+        return squeeze(len(rows).to_bytes(4, "little") + columns.tobytes() + b"".join([found.texts[n] for n in rows]))
 
-    return questions(block, slice_of(found.hash[runs[sent]], slices), write)
+    return questions(block, slice_of(found.hash[sent], slices), write)
 
 
 def _earlier(parts: list[bytes], length: int) -> Iterator[bytes]:
@@ -164,11 +198,7 @@ def _earlier(parts: list[bytes], length: int) -> Iterator[bytes]:
             at = end
         counts.append(size)
     number, offset, anchor = np.concatenate(rows, axis=1)
-    order = np.lexsort((offset, number))
-    earliest: dict[bytes, int] = {}
-    owner = np.empty(len(texts), np.int64)
-    for n in order.tolist():
-        owner[n] = earliest.setdefault(texts[n], n)
+    owner = _owners(texts, number, offset)
     heads = owner == np.arange(len(texts))
     _, group = np.unique(anchor, return_inverse=True)
     kinds = np.bincount(group, heads)
@@ -215,30 +245,31 @@ def _sorted_classes(texts: list[bytes], number: np.ndarray, offset: np.ndarray,
     return np.split(gone, np.cumsum(windows)[:-1])
 
 
+def _sizes(numbers: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The slices that occur in sorted ``numbers``, and the sum of the counts of each."""
+    starts = np.flatnonzero(np.diff(numbers, prepend=-1))
+    return numbers[starts], np.add.reduceat(counts, starts) if len(starts) else starts
+
+
 def _remove(block: int, payload: bytes, answers: dict[int, bytes], length: int, slices: int) -> pd.DataFrame:
     found = _Anchors(payload, length)
-    runs, texts, owner = found.surroundings(slices, {n: a for n, a in answers.items() if n < slices})
-    sent = _sent(found, runs, owner, slices)
-    gone: dict[int, np.ndarray] = {}
-    numbers = slice_of(found.hash[runs[sent]], slices)
-    for part in np.unique(numbers):
-        rows = sent[numbers == part]
-        sizes = found.count[runs[rows]]
-        bits = np.unpackbits(np.frombuffer(answers[int(part) + slices], np.uint8), count=int(sizes.sum()))
-        gone.update(zip(rows.tolist(), np.split(bits.astype(bool), np.cumsum(sizes)[:-1]), strict=True))
-    place = np.stack([np.array([n or 0 for n in found.ids], np.int64)[found.doc[runs]],
-                      found.first[runs] - found.edges[found.doc[runs]]])
-    change = np.zeros(len(found.data) + 1, np.int64)
-    for n in range(len(runs)):
-        first = owner[n]
-        if first != n and (place[:, n] != place[:, first]).any():
-            begin = found.first[runs[n]]
-            change[begin] += 1
-            change[begin + found.count[runs[n]] - 1 + length] -= 1
-        else:
-            starts = found.first[runs[n]] + np.flatnonzero(gone[first])
-            np.add.at(change, starts, 1)
-            np.add.at(change, starts + length, -1)
+    entries = found.entries(slices, {n: a for n, a in answers.items() if n < slices})
+    sent, sizes, owner = entries.sent(slices), entries.count, entries.owner
+    numbers = slice_of(entries.hash[sent], slices)
+    parts = [np.unpackbits(np.frombuffer(answers[int(part) + slices], np.uint8), count=int(size))
+             for part, size in zip(*_sizes(numbers, sizes[sent]), strict=True)]
+    bits = np.concatenate(parts).astype(bool) if parts else np.empty(0, bool)
+    begin = np.zeros(len(sizes), np.int64)  # where the answered bits of an entry start
+    begin[sent] = np.cumsum(sizes[sent]) - sizes[sent]
+    later = (entries.number != entries.number[owner]) | (entries.offset != entries.offset[owner])
+    # All windows of a later copy go; of the others those that were answered so.
+    within = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    gone = np.repeat(later, sizes)
+    asked = np.flatnonzero(~gone)
+    gone[asked] = bits[(np.repeat(begin[owner], sizes) + within)[asked]]
+    starts = (np.repeat(entries.first, sizes) + within)[gone]
+    change = np.bincount(starts, minlength=len(found.data) + 1)
+    change -= np.bincount(starts + length, minlength=len(found.data) + 1)
     removed = np.cumsum(change[:-1]) > 0
     rows = []
     for n, (a, b) in enumerate(zip(found.edges[:-1], found.edges[1:], strict=True)):
@@ -250,16 +281,17 @@ def _remove(block: int, payload: bytes, answers: dict[int, bytes], length: int,
     return out
 
 
-def remove_repeated_bytes(docs: DataFrame, length: int = 100) -> DataFrame:
+def remove_repeated_bytes(docs: DataFrame, length: int = 100, block_bytes: int = BLOCK_BYTES,
+                          hot_blocks: int = HOT_BLOCKS) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` (binary) for every row of ``docs``."""
     if not 16 <= length <= 400:
         raise ValueError("length must be from 16 to 400 bytes")
-    blocks = pack(docs, "blocks")
+    blocks = pack(docs, "blocks", block_bytes)
     size = blocks.agg(F.sum("size")).first()[0] or 0
     # One anchor for about every quarter of the length.
     slices = slices_for(size * 4 // length, SLICE_ANCHORS)
     asked = each_block(blocks, lambda b, p: _ask_anchors(b, p, length, slices), QUESTION)
-    repeated = each_slice(asked, _repeated, "anchors")
+    repeated = each_slice(asked, lambda parts: _repeated(parts, hot_blocks), "anchors")
     asked = each_answered(blocks, repeated, lambda b, p, a: _ask_windows(b, p, a, length, slices), QUESTION)
     earlier = each_slice(asked, lambda parts: _earlier(parts, length), "windows")
     answers = repeated.union(earlier.select("block", (F.col("slice") + slices).cast("int"), "answer"))

@@ -4,7 +4,6 @@ from hashlib import sha256
 import numpy as np
 import pytest
 
-from mapsheaf.llm import blocks
 from mapsheaf.llm.exact_spans import remove_repeated_bytes
 from mapsheaf.llm.queries import QUERIES
 from mapsheaf.llm.suffixes import prefix_classes, ranks
@@ -36,9 +35,9 @@ def test_query_equals_brute_force(spark):
         assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == (n, gone, spans, sha256(kept).hexdigest())
 
 
-@pytest.mark.parametrize(("length", "bytes_"), [(16, 300), (20, 4 << 20), (100, 2000)])
-def test_shared_passages(spark, corpus, monkeypatch, length, bytes_):
-    monkeypatch.setattr(blocks, "BLOCK_BYTES", bytes_)
+@pytest.mark.parametrize(("length", "bytes_", "hot"), [(16, 300, 2), (20, 4 << 20, 32), (100, 2000, 3)])
+def test_shared_passages(spark, corpus, length, bytes_, hot):
+    # Small blocks, and anchors that are split as soon as a few of them hold one.
     rng = random.Random(length)
     common = "".join(rng.choices("abcdé ", k=3 * length))
     texts = [None, "", common, "a" * 5 * length, "ab" * 4 * length]
@@ -47,7 +46,7 @@ def test_shared_passages(spark, corpus, monkeypatch, length, bytes_):
         edges = ["".join(rng.choices("abcdefgh", k=rng.randrange(3 * length))) for _ in range(2)]
         texts.append(edges[0] + (common[cut[0]:cut[1]] if n % 2 else common) + edges[1])
     frame = spark.read.parquet(f"{corpus(texts)}/documents.parquet")
-    rows = remove_repeated_bytes(frame, length).collect()
+    rows = remove_repeated_bytes(frame, length, bytes_, hot).collect()
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in rows} == brute(
         dict(enumerate(texts)), length)
 
