@@ -29,10 +29,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-REMEMBERED = 600_000
+REMEMBERED = 300_000
 QUERY_PIECES = 20_000
 QUERY_BYTES = 1 << 18
-HISTORY_ROWS = 6_000_000
+HISTORY_ROWS = 3_000_000
 LONG = 128
 SLICE_CHARS = 1 << 21
 
@@ -87,10 +87,7 @@ WITH RECURSIVE state(piece, step, pos, tok) AS (
 {_LAST}
 """
 
-_DECODE = """
-SELECT piece, string_agg(hex(v.bytes), '' ORDER BY i.pos) AS bytes
-FROM ids i JOIN vocabulary v ON v.tok = i.tok GROUP BY piece ORDER BY piece
-"""
+_DECODE = "SELECT string_agg(hex(v.bytes), '' ORDER BY i.place) FROM ids i JOIN vocabulary v ON v.tok = i.tok"
 
 
 def load_ranks(path: str) -> bytes:
@@ -125,9 +122,11 @@ class Codec:
         risky = np.union1d(left[merged < left], right[merged < right])
         merges = pa.table({"pair": left << 32 | right, "merged": merged.astype(np.int32),
                            "alone": np.isin(merged, risky)})
+        self.width = np.zeros(max(self.ranks.values(), default=0) + 1, np.int64)
+        self.width[list(self.ranks.values())] = [len(token) for token in self.ranks]
         vocabulary = pa.table({"tok": pa.array(list(self.ranks.values()), pa.int32()),
                                "bytes": pa.array(list(self.ranks), pa.binary())})
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
         for name, rows in (("merges", merges), ("vocabulary", vocabulary)):
             self.db.register("given", rows)
             self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
@@ -136,17 +135,18 @@ class Codec:
 
     def forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.ids, self.id_at, self.id_count = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
-        self.bytes, self.byte_at, self.byte_count = np.empty(0, np.uint8), self.id_at, self.id_count
+        none = np.empty(0, np.int64)
+        self.ids, self.id_at, self.id_count = np.empty(0, np.int32), none, none
+        self.bytes, self.byte_at, self.byte_count = np.empty(0, np.uint8), none, none
 
-    def contract(self, pieces: list[bytes], query: str) -> list[np.ndarray]:
-        """The ids of each piece at the fixpoint."""
+    def contract(self, pieces: list[bytes], query: str) -> tuple[np.ndarray, np.ndarray]:
+        """Piece and id of every token at the fixpoint, in order within a piece."""
         lengths = np.array([len(p) for p in pieces], np.int64)
         piece = np.repeat(np.arange(len(pieces), dtype=np.int32), lengths)
         pos = np.arange(len(piece), dtype=np.int32) - np.repeat(np.cumsum(lengths) - lengths, lengths)
         seed = pa.table({"piece": piece, "pos": pos.astype(np.int32),
                          "tok": self.single[np.frombuffer(b"".join(pieces), np.uint8)]})
-        out: list[np.ndarray] = [np.empty(0, np.int32)] * len(pieces)
+        found = []
         while seed.num_rows:
             # All states of a recursion stay in memory, so a query makes a bounded number of steps.
             steps = max(1, HISTORY_ROWS // seed.num_rows)
@@ -154,26 +154,17 @@ class Codec:
             state = self.db.sql(query, params={"steps": steps}).to_arrow_table()
             self.db.unregister("seed")
             ended = state.column("step").to_numpy() < steps
-            piece, tok = state.column("piece").to_numpy(), state.column("tok").to_numpy()
-            at = np.flatnonzero(np.diff(piece[ended], prepend=-1))
-            for n, part in zip(piece[ended][at], np.split(tok[ended], at[1:]), strict=False):
-                out[n] = part
+            found.append((state.column("piece").to_numpy()[ended], state.column("tok").to_numpy()[ended]))
             seed = state.select(["piece", "pos", "tok"]).filter(pa.array(~ended))
-        return out
-
-    def decode(self, ids: list[np.ndarray]) -> list[bytes]:
-        """The bytes of each list of ids."""
-        lengths = np.array([len(p) for p in ids], np.int64)
-        values = np.concatenate(ids) if len(ids) else np.empty(0, np.int32)
-        rows = pa.table({"piece": np.repeat(np.arange(len(ids)), lengths), "tok": values,
-                         "pos": np.arange(len(values))})
-        self.db.register("ids", rows)
-        found = self.db.execute(_DECODE).fetchall()
+        return (np.concatenate([f[0] for f in found]) if found else piece,
+                np.concatenate([f[1] for f in found]) if found else piece)
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        """The bytes that ids stand for, by an ordered aggregation."""
+        self.db.register("ids", pa.table({"place": np.arange(len(ids)), "tok": ids}))
+        text = self.db.execute(_DECODE).fetchall()[0][0]
         self.db.unregister("ids")
-        out = [b""] * len(ids)
-        for n, text in found:
-            out[n] = bytes.fromhex(text)
-        return out
+        return bytes.fromhex(text or "")
 
     def _groups(self, pieces: list[str]) -> Iterator[tuple[list[str], str]]:
         group, size = [], 0
@@ -192,21 +183,23 @@ class Codec:
         new = [p for p in pieces if p not in self.known]
         for group, query in self._groups(new):
             raw = [p.encode() for p in group]
-            ids: list[np.ndarray | None] = [
-                np.array([self.ranks[r]], np.int32) if r in self.ranks else None for r in raw]
-            open_ = [n for n, found in enumerate(ids) if found is None]
-            for n, found in zip(open_, self.contract([raw[n] for n in open_], query), strict=True):
-                ids[n] = found
-            decoded = self.decode(ids)
-            for name, parts in (("id", ids), ("byte", [np.frombuffer(d, np.uint8) for d in decoded])):
-                pool = getattr(self, f"{name}s")
-                counts = np.array([len(p) for p in parts], np.int64)
-                setattr(self, f"{name}_at", np.concatenate(
-                    [getattr(self, f"{name}_at"), len(pool) + np.cumsum(counts) - counts]))
-                setattr(self, f"{name}_count", np.concatenate([getattr(self, f"{name}_count"), counts]))
-                setattr(self, f"{name}s", np.concatenate([pool, *parts]))
-            for piece in group:
-                self.known[piece] = len(self.known)
+            whole = [self.ranks.get(r, -1) for r in raw]
+            open_ = np.array([n for n, rank in enumerate(whole) if rank < 0], np.int64)
+            piece, tok = self.contract([raw[n] for n in open_], query)
+            ready = np.array([n for n, rank in enumerate(whole) if rank >= 0], np.int64)
+            piece = np.concatenate([open_[piece], ready])
+            tok = np.concatenate([tok, np.array(whole, np.int32)[ready]]).astype(np.int32)
+            order = np.argsort(piece, kind="stable")
+            piece, tok = piece[order], tok[order]
+            counts = np.bincount(piece, minlength=len(group))
+            widths = np.bincount(piece, self.width[tok], len(group)).astype(np.int64)
+            self.id_at = np.concatenate([self.id_at, len(self.ids) + np.cumsum(counts) - counts])
+            self.byte_at = np.concatenate([self.byte_at, len(self.bytes) + np.cumsum(widths) - widths])
+            self.id_count = np.concatenate([self.id_count, counts])
+            self.byte_count = np.concatenate([self.byte_count, widths])
+            self.ids = np.concatenate([self.ids, tok])
+            self.bytes = np.concatenate([self.bytes, np.frombuffer(self.decode(tok), np.uint8)])
+            self.known.update(zip(group, range(len(self.known), len(self.known) + len(group)), strict=True))
 
     def cut(self, text: str) -> Iterator[list[str]]:
         """The pieces of a text, a bounded list at a time."""
