@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mapsheaf.llm import bpe, decontaminate, langid, secrets
-from mapsheaf.llm.common import materialize, table
+from mapsheaf.llm.common import materialize, table, without
 from mapsheaf.llm.queries import BPE_RANKS
 from mapsheaf.llm.simhash import simhash_groups
 from mapsheaf.session import ship_package
@@ -36,10 +36,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Of repeated rows with that id one stays. Rows without an id are kept.
     """
     ship_package(spark)
-    groups = simhash_groups(docs, shingle=3, max_bits=2)
-    kept = groups.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi")
-    return named.dropDuplicates(["doc_id"]).select(docs.columns).union(docs.where("doc_id is null"))
+    groups = simhash_groups(docs, shingle=3, max_bits=2).where("doc_id is not null")
+    counted = groups.groupBy("doc_id").agg(
+        F.count("*").alias("rows"), (F.min("component_id") < F.col("doc_id")).alias("gone"))
+    marked = materialize(counted.where("gone or rows > 1"), "marked")
+    single = without(docs, F.col("doc_id"), marked, "doc_id")
+    repeated = marked.where("not gone").select("doc_id")
+    return single.union(
+        docs.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns))
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

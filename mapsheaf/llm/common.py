@@ -28,6 +28,22 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Keys are broadcast up to this many, counted first; more are joined by a shuffle.
+BROADCAST_KEYS = 1_000_000
+
+
+def without(df: DataFrame, column: Column, keys: DataFrame, key: str) -> DataFrame:
+    """The rows of ``df`` whose ``column`` is none of ``keys``, a table that is written already.
+
+    Few keys go to the rows, so that whole texts are not shuffled.
+    """
+    keys = keys.select(F.col(key).alias("__key"))
+    if keys.count() <= BROADCAST_KEYS:
+        keys = F.broadcast(keys)
+    return df.withColumn("__own_key", column).join(
+        keys, F.col("__own_key") == F.col("__key"), "left_anti").select(df.columns)
+
+
 def hash_fold(column: Column, folds: int) -> Column:
     """crc32 of the value as text, modulo ``folds``; null when the value is null."""
     return F.crc32(column.cast("string")) % folds

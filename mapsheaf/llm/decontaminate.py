@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mapsheaf.llm.common import materialize
+from mapsheaf.llm.common import materialize, without
 
 # Together the masks hit every window of 13 tokens with up to 2 changed.
 MASKS = ("11101011", "110100111")
@@ -28,6 +28,8 @@ TOKEN = r"[\p{L}\p{N}]+"
 # Seeds of the items are broadcast up to this many; each is a few dozen bytes.
 BROADCAST_SEEDS = 1_000_000
 BROADCAST_TOKENS = 2_000_000
+# Hits too, some sixty bytes each: then texts without one are not shuffled.
+BROADCAST_HITS = 500_000
 
 
 def token_hashes(text: Column) -> Column:
@@ -73,6 +75,8 @@ def _matches(docs: DataFrame, items: DataFrame) -> DataFrame:
     hits = materialize(hits, "hits")
     by_text = hits.groupBy("key").agg(
         F.collect_list(F.struct("item_id", "length", "diagonal")).alias("hits"))
+    if hits.count() <= BROADCAST_HITS:
+        by_text = F.broadcast(by_text)
     aligned = (
         texts.join(by_text, "key").select("key", "hits", token_hashes(F.col("text")).alias("hashes"))
         .select("key", "hashes", F.explode("hits").alias("hit"))
@@ -113,8 +117,6 @@ def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose text overlaps no item."""
-    keys = _matches(docs, items).select(F.col("key").alias("__overlap_key")).distinct()
-    keys = materialize(keys, "overlapping")
+    keys = materialize(_matches(docs, items).select("key").distinct(), "overlapping")
     own = F.coalesce(_text_key(F.col("text").cast("string")), F.lit(b""))
-    return docs.withColumn("__own_key", own).join(
-        keys, F.col("__own_key") == F.col("__overlap_key"), "left_anti").select(docs.columns)
+    return without(docs, own, keys, "key")

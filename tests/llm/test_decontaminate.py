@@ -48,16 +48,16 @@ def test_masks_hit_every_window():
                        for mask in decontaminate.MASKS for p in range(13 - len(mask) + 1))
 
 
-def test_planted_passages(spark):
+def test_planted_passages(spark, monkeypatch):
     docs, items = planted(random.Random(7))
     frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(3)
     tests = spark.createDataFrame([*items.items(), (90, None), (91, ""), (None, "x")], "item_id long, text string")
     expected = brute(docs, items)
     assert expected
     for limit in (decontaminate.BROADCAST_SEEDS, 0):
-        decontaminate.BROADCAST_SEEDS, before = limit, decontaminate.BROADCAST_SEEDS
+        monkeypatch.setattr(decontaminate, "BROADCAST_SEEDS", limit)
+        monkeypatch.setattr(decontaminate, "BROADCAST_HITS", limit)
         rows = decontaminate.overlaps(frame, tests).collect()
-        decontaminate.BROADCAST_SEEDS = before
         assert {(r.doc_id, r.item_id): (r.matched, r.aligned, r.doc_start) for r in rows} == expected
     kept = {r.doc_id for r in decontaminate.keep_clean(frame, tests).collect()}
     assert kept == set(docs) - {d for d, _ in expected}
