@@ -3,7 +3,8 @@
 Three patterns give the base spans. Further tokens are taken as secrets when a Markov
 chain trained on random strings explains their characters better than one trained on
 ordinary identifiers: the sum of log-likelihood ratios of neighbouring characters must
-reach ``LOG_ODDS``. Both chains are learned from labelled samples.
+reach ``LOG_ODDS``. Both chains are learned from labelled samples. Tokens have 12 characters
+or more; those of digits only are scored from ``NUMBER`` characters on.
 
 All of it is built-in functions: matches come from extracting, their places from the
 lengths of what splitting leaves between them. A null text is an empty one. Places count
@@ -24,7 +25,9 @@ KINDS = ("assign", "access", "hex", "random")
 ASSIGN = (r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 8)
 ACCESS = (r"AKIA[A-Z0-9]{12,}", 0, 16)
 HEX = (r"[0-9a-f]{32,}", 0, 32)
-TOKEN = (r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}", 0, 20)
+TOKEN = (r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{12,}", 0, 12)
+# Plain numbers of fewer characters are not scored: order, card and telephone numbers look random.
+NUMBER = 20
 IDENTIFIER = r"(?<![A-Za-z0-9_])[A-Za-z_][A-Za-z0-9_]{7,}"
 ALPHABET = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz+/_.=-"
 
@@ -144,7 +147,8 @@ def with_spans(docs: DataFrame, ratios: list[float], prefix: str = "__") -> Data
     for n, kind in enumerate((ASSIGN, ACCESS, HEX, TOKEN)):
         found = found.withColumn(f"{prefix}{n}", _found(F.col(text), kind, n))
     found = found.withColumn(base, F.array_sort(F.concat(*(_plain(F.col(f"{prefix}{n}")) for n in range(3)))))
-    random = F.filter(f"{prefix}3", lambda s: ~F.exists(
+    random = F.filter(f"{prefix}3", lambda s: (
+        (F.length(s["value"]) >= NUMBER) | s["value"].rlike("[^0-9]")) & ~F.exists(
         base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])) & (log_odds(s["value"], ratios) >= LOG_ODDS))
     found = found.withColumn(spans, F.array_sort(F.concat(F.col(base), _plain(random))))
     return found.drop(text, *(f"{prefix}{n}" for n in range(4)))

@@ -72,6 +72,21 @@ def test_markov_chains_tell_random_from_ordinary(spark):
     assert all(odds[n] >= secrets.LOG_ODDS for n in range(100, 200))
 
 
+def test_short_random_tokens(spark):
+    rng = random.Random(9)
+    letters = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    ratios = secrets.train(secrets.sample_values(docs))
+    keys = ["".join(rng.choices(letters, k=k)) for k in (12, 14, 16, 19) for _ in range(25)]
+    numbers = ["".join(rng.choices("0123456789", k=k)) for k in (12, 16, 19) for _ in range(5)]
+    rows = [(n, f"and the {value} of it") for n, value in enumerate(keys + numbers)]
+    found = secrets.with_spans(spark.createDataFrame(rows, "doc_id long, text string"), ratios)
+    spans = {r.doc_id: [tuple(s) for s in r["__spans"]] for r in found.collect()}
+    hit = [n for n, key in enumerate(keys) if spans[n] == [(8, 3, 8 + len(key))]]
+    assert len(hit) >= 90 and set(range(50, 100)) <= set(hit)
+    assert not any(spans[n] for n in range(len(keys), len(rows)))
+
+
 def test_odd_rows(odd_docs, no_docs):
     assert secrets.scan(odd_docs).count() == odd_docs.count()
     assert secrets.keep_clean(odd_docs).columns == odd_docs.columns
