@@ -2,7 +2,8 @@
 
 1. language ID: documents whose language is not recognised go
 2. SimHash near-dedup: of each group the document with the smallest id stays
-3. benchmark decontamination: documents that overlap an item of ``benchmark`` go
+3. benchmark decontamination: documents that overlap an item of ``benchmark`` go, also those
+   that hold one of ``SHORT_ITEM`` to 12 tokens word for word
 4. secret scans: documents that hold a secret go
 5. byte-level BPE: the texts' token ids, and what they decode to
 
@@ -24,6 +25,10 @@ from mapsheaf.llm.simhash import simhash_groups
 from mapsheaf.session import ship_package
 
 
+# The least tokens of a benchmark item that counts when it occurs whole.
+SHORT_ITEM = 5
+
+
 def recognised_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; learned from the folds 0 and 2 of three."""
     ship_package(spark)
@@ -48,7 +53,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that overlap no item of the benchmark."""
-    return decontaminate.keep_clean(docs, table(spark, sf_dir, "benchmark"))
+    return decontaminate.keep_clean(docs, table(spark, sf_dir, "benchmark"), least=SHORT_ITEM)
 
 
 def secret_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

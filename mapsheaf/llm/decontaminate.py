@@ -8,7 +8,8 @@ item: an overlap is a run of ``WINDOW`` aligned tokens of which at least ``MATCH
 equal. Every such run contains a hit of one of the masks, so none is lost.
 
 Only built-in functions are used. Equal texts are compared once. Null texts and texts
-with fewer than ``WINDOW`` tokens overlap nothing, and shorter items are no evidence.
+with fewer than ``WINDOW`` tokens overlap nothing, and shorter items are no evidence, but
+that ``keep_clean`` also matches items of ``least`` tokens and more, exactly and whole.
 Rows without ``doc_id`` are judged by ``keep_clean`` but do not appear in ``overlaps``.
 Repeated rows and items, null items and extra columns do no harm.
 """
@@ -115,8 +116,30 @@ def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
         F.col("best.aligned").cast("long").alias("aligned"), (-F.col("best.from")).cast("long").alias("doc_start"))
 
 
-def keep_clean(docs: DataFrame, items: DataFrame) -> DataFrame:
+def _whole(docs: DataFrame, items: DataFrame, least: int) -> DataFrame | None:
+    """``key`` of texts that hold an item of ``least`` to ``WINDOW`` - 1 tokens word for word."""
+    short = materialize(
+        items.select(token_hashes(F.col("text").cast("string")).alias("part"))
+        .where(f"size(part) >= {least} and size(part) < {WINDOW}").distinct(), "short")
+    lengths = sorted(r[0] for r in short.select(F.size("part")).distinct().collect())
+    if not lengths:
+        return None
+    text, hashes = F.col("text").cast("string"), F.col("hashes")
+
+    def parts(n: int) -> Column:
+        return F.when(F.size(hashes) >= n, F.transform(
+            F.sequence(F.lit(1), F.size(hashes) - n + 1), lambda i: F.slice(hashes, i, F.lit(n)))).otherwise(
+            F.array().cast("array<array<bigint>>"))
+
+    found = docs.where("text is not null").select(_text_key(text).alias("key"), token_hashes(text).alias("hashes")).select(
+        "key", F.explode(F.concat(*map(parts, lengths))).alias("part"))
+    return found.join(F.broadcast(short) if short.count() <= BROADCAST_SEEDS else short, "part", "left_semi").select("key")
+
+
+def keep_clean(docs: DataFrame, items: DataFrame, least: int = WINDOW) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose text overlaps no item."""
-    keys = materialize(_matches(docs, items).select("key").distinct(), "overlapping")
+    keys = _matches(docs, items).select("key")
+    whole = _whole(docs, items, least)
+    keys = materialize((keys if whole is None else keys.union(whole)).distinct(), "overlapping")
     own = F.coalesce(_text_key(F.col("text").cast("string")), F.lit(b""))
     return without(docs, own, keys, "key")

@@ -1,6 +1,7 @@
 import random
 import re
 
+import corpus_pipeline
 from mapsheaf.llm import decontaminate
 from mapsheaf.llm.queries import QUERIES, SQL
 
@@ -82,3 +83,13 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert decontaminate.overlaps(no_docs, items).count() == 0
     assert decontaminate.overlaps(odd_docs, items.where("false")).count() == 0
     assert decontaminate.keep_clean(odd_docs, items.where("false")).count() == odd_docs.count()
+
+
+def test_short_items_word_for_word(spark, tmp_path):
+    items = [(1, "What is the capital of Peru?"), (2, "one two three four"), (3, " ".join(f"q{n}" for n in range(12))), (4, None)]
+    docs = {0: "Q: what IS the capital, of peru", 1: "what is the capital of Chile", 2: "one two three four five", 3: None,
+            4: "x " + " ".join(f"q{n}" for n in range(12)), 5: "", 6: " ".join(f"q{n}" for n in range(11))}
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    kept = dict(corpus_pipeline.STAGES)["benchmark_decontamination"](spark, frame, str(tmp_path))
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 3, 5, 6]
