@@ -15,6 +15,7 @@ nothing to learn from, both chains are uniform and add no span.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,21 +37,32 @@ SMOOTHING = 0.5
 SAMPLE_DOCS = 20_000
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _prefix_sums(steps: Column) -> Column:
-    """The sum of all steps before each one; blocks keep long arrays from quadratic time."""
-    size = F.size(steps)
-    block = F.ceil(F.sqrt(size)).cast("int")
+    """The sum of all steps before each one; blocks keep long arrays from quadratic time.
 
+    Steps and block sums are bound: an expression named in a lambda would be evaluated
+    anew for each element.
+    """
     def total(part: Column) -> Column:
         return F.aggregate(part, F.lit(0), lambda a, x: a + x)
 
-    blocks = F.transform(
-        F.sequence(F.lit(0), F.floor((size - 1) / block).cast("int")),
-        lambda b: total(F.slice(steps, b * block + 1, block)))
-    return F.transform(
-        F.sequence(F.lit(0), size - 1),
-        lambda i: total(F.slice(blocks, F.lit(1), F.floor(i / block).cast("int")))
-        + total(F.slice(steps, F.floor(i / block).cast("int") * block + 1, i % block)))
+    def sums(steps: Column) -> Column:
+        size = F.size(steps)
+        block = F.ceil(F.sqrt(size)).cast("int")
+        blocks = F.transform(
+            F.sequence(F.lit(0), F.floor((size - 1) / block).cast("int")),
+            lambda b: total(F.slice(steps, b * block + 1, block)))
+        return _bound(blocks, lambda blocks: F.transform(
+            F.sequence(F.lit(0), size - 1),
+            lambda i: total(F.slice(blocks, F.lit(1), F.floor(i / block).cast("int")))
+            + total(F.slice(steps, F.floor(i / block).cast("int") * block + 1, i % block))))
+
+    return _bound(steps, sums)
 
 
 def _found(text: Column, kind: tuple[str, int, int], number: int) -> Column:

@@ -1,5 +1,6 @@
 import random
 import re
+import time
 from hashlib import sha256
 
 import pytest
@@ -99,3 +100,30 @@ def test_prefix_sums(spark, count):
     steps = list(range(1, count + 1))
     got = spark.range(1).select(secrets._prefix_sums(F.array(*map(F.lit, steps)))).first()[0]
     assert got == [sum(steps[:n]) for n in range(count)]
+
+
+def test_text_of_many_matches(spark, corpus):
+    rng = random.Random(11)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=12)) for _ in range(20_000)]
+    texts = [" ".join(words), " ".join(f"token={w}" for w in words[:5_000]), None]
+    began = time.monotonic()
+    rows = {r.doc_id: r for r in QUERIES["op2_secret_scan"](spark, corpus(texts)).collect()}
+    assert time.monotonic() - began < 60
+    for n, text in enumerate(texts):
+        check(rows[n], text)
+
+
+def test_planted_random_strings_are_spans_of_the_query(spark, tmp_path):
+    rng = random.Random(12)
+    letters = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    keys = {n: "".join(rng.choices(letters, k=24)) for n in range(0, 1000, 25)}
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    table = spark.createDataFrame(list(keys.items()), "doc_id long, key string")
+    planted = docs.join(table, "doc_id", "left").withColumn(
+        "text", F.when(F.col("key").isNotNull(), F.concat(F.lit("use "), "key", F.lit(" now "), "text")).otherwise(F.col("text")))
+    planted.drop("key").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r.doc_id: r for r in QUERIES["op2_secret_scan"](spark, str(tmp_path)).collect()}
+    # Those that look like identifiers are also learned as such, so not all reach the odds.
+    found = [n for n in keys if rows[n].spans.startswith("random:4:28")]
+    assert len(found) >= 0.8 * len(keys)
+    assert sum(r.n_random for r in rows.values()) <= len(keys) + 5
