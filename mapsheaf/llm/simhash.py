@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mapsheaf.llm.common import components, materialize
+from mapsheaf.llm.common import components, materialize, without
 
 BITS = 64
 
@@ -46,15 +46,16 @@ def text_fingerprint(text: str | None, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """``doc_id, fingerprint`` (a long) of every whole text."""
+    """The columns of ``docs`` but ``text``, and the ``fingerprint`` (a long) of every whole text."""
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            prints = [text_fingerprint(text.as_py(), shingle) for text in part.column(1)]
+            prints = [text_fingerprint(text.as_py(), shingle) for text in part.column(part.num_columns - 1)]
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(prints, pa.int64())], ["doc_id", "fingerprint"])
+                [*part.columns[:-1], pa.array(prints, pa.int64())], [*part.schema.names[:-1], "fingerprint"])
 
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
-    return narrow.mapInArrow(batches, "doc_id long, fingerprint long")
+    rest = [c for c in docs.columns if c != "text"]
+    schema = docs.select(*rest, F.lit(0).cast("long").alias("fingerprint")).schema
+    return docs.select(*rest, F.col("text").cast("string")).mapInArrow(batches, schema)
 
 
 def _segments(max_bits: int) -> list[tuple[int, int]]:
@@ -110,20 +111,53 @@ def links(classes: DataFrame, max_bits: int) -> DataFrame:
             .select("low", "high"))
 
 
-def simhash_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
-    """``doc_id, fingerprint, component_id``: the smallest ``doc_id`` reachable by links.
+def _grouped(docs: DataFrame, shingle: int, max_bits: int) -> DataFrame:
+    """``doc_id, row_key, fingerprint, component_id, keeper`` for each row of ``docs`` (``doc_id, row_key, text``).
 
-    ``fingerprint`` is 16 hexadecimal digits. One row for each row of ``docs``.
+    Classes are linked by their fingerprints, so one whose rows all lack an id joins its
+    neighbours too. ``keeper`` is the key of the component's first row by id (nulls last) and key.
     """
     prints = materialize(fingerprints(docs, shingle), "fingerprints")
-    classes = materialize(
-        prints.groupBy("fingerprint").agg(F.min("doc_id").alias("doc_id")), "classes")
+    first = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "row_key")
+    classes = materialize(prints.groupBy("fingerprint").agg(F.min(first).alias("first")), "classes")
     if max_bits:
-        found = components(links(classes, max_bits), "low", "high")
-        classes = classes.join(found, F.col("doc_id") == F.col("node"), "left").select(
-            "fingerprint", F.coalesce("component", "doc_id").alias("component_id"))
-    else:
-        classes = classes.withColumnRenamed("doc_id", "component_id")
+        nodes = classes.select("fingerprint", F.col("fingerprint").alias("doc_id"))
+        found = components(links(nodes, max_bits), "low", "high")
+        joined = found.join(classes, F.col("node") == F.col("fingerprint")).select("fingerprint", "component", "first")
+        least = joined.groupBy("component").agg(F.min("first").alias("least"))
+        linked = joined.join(least, "component").select("fingerprint", "least")
+        classes = classes.join(linked, "fingerprint", "left").select(
+            "fingerprint", F.coalesce("least", "first").alias("first"))
     return prints.join(classes, "fingerprint").select(
-        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
-        "component_id")
+        "doc_id", "row_key", "fingerprint", F.col("first.doc_id").alias("component_id"),
+        F.col("first.row_key").alias("keeper"))
+
+
+def simhash_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
+    """``doc_id, fingerprint, component_id``: the smallest ``doc_id`` reachable by links.
+
+    ``fingerprint`` is 16 hexadecimal digits. One row for each row of ``docs``.
+    """
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(0).alias("row_key"), "text")
+    return _grouped(narrow, shingle, max_bits).select(
+        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
+    """One row of each component: the first by id (nulls last), then by the digest of its text.
+
+    Rows are told apart by id and text, so rows that share an id but not a text are judged
+    apart; of rows with the same id and text one stays. A null text is an empty one.
+    """
+    row_key = F.unhex(F.md5(F.concat(
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"),
+        F.coalesce(F.col("text").cast("string"), F.lit(""))).cast("binary")))
+    grouped = _grouped(docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), row_key.alias("row_key"), "text"), shingle, max_bits)
+    counted = grouped.groupBy("row_key", "keeper").agg(F.count("*").alias("rows"))
+    gone = F.col("row_key") != F.col("keeper")
+    marked = materialize(counted.where(gone | (F.col("rows") > 1)).withColumn("gone", gone), "marked")
+    single = without(docs, row_key, marked, "row_key")
+    repeated = marked.where("not gone").select(F.col("row_key").alias("__row_key"))
+    again = docs.withColumn("__row_key", row_key).join(repeated, "__row_key", "left_semi")
+    return single.union(again.dropDuplicates(["__row_key"]).select(docs.columns))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from mapsheaf.llm.common import components
 from mapsheaf.llm.queries import QUERIES
-from mapsheaf.llm.simhash import links, simhash_groups
+from mapsheaf.llm.simhash import keep_one, links, simhash_groups
 
 
 def brute_print(text):
@@ -82,3 +82,27 @@ def test_components_of_a_long_path(spark):
     path = spark.range(200).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     got = components(path, "a", "b").collect()
     assert {r.node: r.component for r in got} == {n: 0 for n in range(201)}
+
+
+def test_links_through_rows_without_id(spark, monkeypatch):
+    prints = spark.createDataFrame([(1, 0, 0), (None, 0, 3), (2, 0, 15)], "doc_id long, row_key int, fingerprint long")
+    monkeypatch.setattr("mapsheaf.llm.simhash.fingerprints", lambda docs, shingle: prints)
+    rows = simhash_groups(spark.createDataFrame([], "doc_id long, text string"), 3, 2).collect()
+    assert {(r.doc_id, r.component_id) for r in rows} == {(1, 1), (None, 1), (2, 1)}
+
+
+def test_keep_one_judges_rows(spark):
+    texts = {k: " ".join(f"{k}{n * n}" for n in range(40)) for k in "ABCD"}
+    rows = [(1, "A"), (2, "A"), (2, "B"), (None, "A"), (None, "A"), (5, "C"), (5, "D")]
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame([(n, texts[t], t) for n, t in order], "doc_id long, text string, row_key string")
+        kept = keep_one(docs.repartition(3))
+        assert kept.columns == docs.columns
+        assert sorted((r.doc_id, r.row_key) for r in kept.collect()) == [(1, "A"), (2, "B"), (5, "C"), (5, "D")]
+
+
+def test_keep_one_odd_rows(odd_docs, no_docs):
+    kept = keep_one(odd_docs)
+    assert kept.columns == odd_docs.columns and keep_one(no_docs).count() == 0
+    groups = {r.component_id for r in simhash_groups(odd_docs).collect()}
+    assert len(kept.collect()) == len(groups)
