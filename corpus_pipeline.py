@@ -8,8 +8,8 @@
 5. byte-level BPE: the texts' token ids, and what they decode to
 
 Every stage is written as Parquet and read again by the next. All but the last return the
-columns of ``documents``. Null, empty and blank texts go in the first stage; rows without
-``doc_id`` are never near-duplicates; repeated rows of one id are one document.
+columns of ``documents``. Null, empty and blank texts go in the first stage. Near-duplicates
+are judged row by row, also without ``doc_id``; rows that share an id but not a text are two documents.
 """
 
 from __future__ import annotations
@@ -18,10 +18,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mapsheaf.llm import bpe, decontaminate, langid, secrets
-from mapsheaf.llm.common import materialize, table, without
+from mapsheaf.llm import bpe, decontaminate, langid, secrets, simhash
+from mapsheaf.llm.common import materialize, table
 from mapsheaf.llm.queries import BPE_RANKS
-from mapsheaf.llm.simhash import simhash_groups
 from mapsheaf.session import ship_package
 
 
@@ -36,19 +35,12 @@ def recognised_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group: the one with the smallest id.
+    """One document of each SimHash group: the one with the smallest id, rows without id last.
 
-    Of repeated rows with that id one stays. Rows without an id are kept.
+    Rows that share an id but not a text are judged apart; of equal rows one stays.
     """
     ship_package(spark)
-    groups = simhash_groups(docs, shingle=3, max_bits=2).where("doc_id is not null")
-    counted = groups.groupBy("doc_id").agg(
-        F.count("*").alias("rows"), (F.min("component_id") < F.col("doc_id")).alias("gone"))
-    marked = materialize(counted.where("gone or rows > 1"), "marked")
-    single = without(docs, F.col("doc_id"), marked, "doc_id")
-    repeated = marked.where("not gone").select("doc_id")
-    return single.union(
-        docs.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns))
+    return simhash.keep_one(docs, shingle=3, max_bits=2)
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
