@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mapsheaf.llm import bpe, decontaminate, langid, lattice, secrets, sharding
+from mapsheaf.llm.collocations import collocations
 from mapsheaf.llm.common import table
 from mapsheaf.llm.embeddings import embedding_groups
 from mapsheaf.llm.exact_spans import remove_repeated_bytes
@@ -69,6 +70,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"), least=100, longest=5, top=2000)
+
+
 QUERIES: dict[str, Run] = {
     "op1_sharding": op1_sharding,
     "op2_secret_scan": op2_secret_scan,
@@ -80,6 +85,7 @@ QUERIES: dict[str, Run] = {
     "op8_decontamination": op8_decontamination,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_substring_dedup": op10_substring_dedup,
+    "op12_collocations": op12_collocations,
 }
 
 SQL: dict[str, str] = {
@@ -136,4 +142,27 @@ SQL: dict[str, str] = {
                  FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
         SELECT doc_id, len(w)::BIGINT AS n_words, len(w) - coalesce(c, 0) AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
         FROM d LEFT JOIN kept USING (doc_id)""",
+    "op12_collocations": r"""
+        WITH piece AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                           '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+        split AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM piece),
+        total AS (SELECT lang, sum(len(w))::BIGINT AS n FROM split GROUP BY lang),
+        gram AS (SELECT lang, w[i:i + k - 1] AS words, count(*) AS f
+                 FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM split), range(1, 6) AS size(k)
+                 WHERE i + k - 1 <= len(w) GROUP BY ALL HAVING count(*) >= 100),
+        cut AS (SELECT g.lang, g.words, g.f AS a, k, x.f AS l, y.f AS r, n,
+                       ((1000::HUGEINT * g.f * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+                FROM (SELECT *, unnest(range(1, len(words))) AS k FROM gram) g
+                JOIN gram x ON x.lang = g.lang AND x.words = g.words[1:k]
+                JOIN gram y ON y.lang = g.lang AND y.words = g.words[k + 1:]
+                JOIN total ON total.lang = g.lang),
+        best AS (SELECT lang, words, min(row(score, k, a, l, r, n)) AS c FROM cut GROUP BY ALL),
+        inside AS (SELECT lang, words[i:i + k - 1] AS words, max(f) AS longer
+                   FROM (SELECT *, unnest(range(1, len(words))) AS i FROM gram), range(2, 5) AS size(k)
+                   WHERE k < len(words) AND i + k - 1 <= len(words) GROUP BY ALL),
+        kept AS (SELECT lang, array_to_string(words, ' ') AS phrase, c[3] AS a, c[4] AS l, c[5] AS r, c[6] AS n, c[1] AS score
+                 FROM best LEFT JOIN inside USING (lang, words) WHERE longer IS NULL OR 100 * longer < 100 * c[3])
+        SELECT lang, rank, phrase, a, l, r, n, score FROM (SELECT *, row_number() OVER (
+            PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept) WHERE rank <= 2000""",
 }
