@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from mapsheaf.llm.common import materialize
-from mapsheaf.llm.words import mix
+from mapsheaf.llm.words import mix, runs
 
 # Text bytes taken at once; longer texts are cut where a piece ends.
 CHUNK = 4 << 20
@@ -58,13 +58,8 @@ class _Words:
     def __init__(self, parts: list[tuple[str, bytes]]):
         data = _LOWER[np.frombuffer(b"\n".join(text for _, text in parts) + b"\n", np.uint8)]
         kind = _KIND[data]
-        inside = kind == 0
-        edges = np.flatnonzero(np.diff(inside, prepend=False))
-        starts, ends = edges[::2], edges[1::2]
-        offsets = np.zeros(len(starts) + 1, np.int32)
-        np.cumsum(ends - starts, out=offsets[1:])
-        held = pa.Array.from_buffers(
-            pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])]).dictionary_encode()
+        starts, held = runs(data, kind == 0)
+        held = held.dictionary_encode()
         langs = sorted({lang for lang, _ in parts})
         number = {lang: n for n, lang in enumerate(langs)}
         first = np.cumsum([0, *(len(text) + 1 for _, text in parts[:-1])])

@@ -13,6 +13,7 @@ from mapsheaf.llm.collocations import collocations
 from mapsheaf.llm.common import table
 from mapsheaf.llm.embeddings import embedding_groups
 from mapsheaf.llm.exact_spans import remove_repeated_bytes
+from mapsheaf.llm.licenses import find_licenses, summary
 from mapsheaf.llm.simhash import simhash_groups
 from mapsheaf.llm.substrings import remove_repeats
 
@@ -74,6 +75,10 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"), least=100, longest=5, top=2000)
 
 
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summary(find_licenses(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Run] = {
     "op1_sharding": op1_sharding,
     "op2_secret_scan": op2_secret_scan,
@@ -86,6 +91,7 @@ QUERIES: dict[str, Run] = {
     "op9_byte_bpe": op9_byte_bpe,
     "op10_substring_dedup": op10_substring_dedup,
     "op12_collocations": op12_collocations,
+    "op13_license_scan": op13_license_scan,
 }
 
 SQL: dict[str, str] = {

@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 
 CHUNK = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
@@ -59,3 +60,13 @@ def split(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     starts, ends = edges[::2], edges[1::2]
     firsts = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])]) if texts else np.empty(0, np.int64)
     return data, starts, ends, np.searchsorted(firsts, starts, "right") - 1
+
+
+def runs(data: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """Starts of the runs of bytes that are ``inside``, and the runs themselves."""
+    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    starts, ends = edges[::2], edges[1::2]
+    offsets = np.zeros(len(starts) + 1, np.int32)
+    np.cumsum(ends - starts, out=offsets[1:])
+    return starts, pa.Array.from_buffers(
+        pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])])
