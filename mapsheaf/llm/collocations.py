@@ -5,10 +5,10 @@ piece, as many as the longest phrase has, padded at the end of the piece. Only t
 windows are counted; ``ROLLUP`` over their columns sums them to all shorter prefixes,
 which are the counts of all phrases at once.
 
-A window need not reach further than a phrase can. Two passes before the windows count
-words, and neighbouring words by hash, and mark those that reach the least count in
-bitmaps of fixed size; a window is padded from its first rare word or rare neighbour on.
-Bitmaps have no false negatives: two words in one bit leave a window longer than needed,
+A window need not reach further than a phrase can. Passes before the windows count words, and
+runs of ``PRUNED`` words at most by hash, and mark those that reach the least count in
+bitmaps of fixed size; a window is padded where its words, or a run of them, are rare.
+Bitmaps have no false negatives: two runs in one bit leave a window longer than needed,
 nothing else, as counts are taken by the words themselves. So what is sent to the tasks
 is bounded whatever the corpus holds, and no phrase is lost.
 
@@ -31,15 +31,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from mapsheaf.llm.common import materialize
-from mapsheaf.llm.words import mix, runs
+from mapsheaf.llm.words import hashes, mix, runs
 
 # Text bytes taken at once; longer texts are cut where a piece ends.
 CHUNK = 4 << 20
-# Bits of the bitmaps of words and of neighbours, as a power of two: 2 MB and 8 MB.
-WORD_BITS, NEIGHBOUR_BITS = 24, 26
+# Bits of the bitmaps of words and of each length of runs, as a power of two: 2 MB and 8 MB.
+WORD_BITS, RUN_BITS = 24, 26
+# Runs are marked up to this many words.
+PRUNED = 3
 # Word totals of languages are broadcast up to this many values of ``lang``.
 LANGUAGES = 100_000
-SEED = 42
 PAD = ""
 
 # What parts words, and what parts pieces.
@@ -70,30 +71,51 @@ class _Words:
             lang * size + held.indices.to_numpy(), return_inverse=True, return_counts=True)
         self.at, self.counts = at, counts
         self.lang = pa.array(langs, pa.string()).take(pa.array(keys // size))
+        self.seeds = _seeds(langs)[keys // size]
         self.word = held.dictionary.take(pa.array(keys % size)).cast(pa.string())
         piece = np.cumsum(kind == 2, dtype=np.int32)[starts]
         # Whether the next word is in the same piece.
         self.followed = np.append(piece[1:] == piece[:-1], False)[:len(starts)]
 
     def hashes(self) -> np.ndarray:
-        """XXH64 of language and word, as Spark's ``xxhash64`` gives it."""
-        seeds = {lang: xxhash.xxh64_intdigest(lang, SEED) for lang in set(self.lang.to_pylist())}
-        return np.array([xxhash.xxh64_intdigest(word, seeds[lang]) for lang, word in zip(
-            self.lang.to_pylist(), self.word.to_pylist(), strict=True)], np.uint64)
+        """A hash of language and word at each place."""
+        return _word_hashes(self.word, self.seeds)[self.at]
 
-    def frequent(self, words: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Whether the word at each place may be frequent, and whether the next one of its piece too."""
-        often = _marked(words, hashes, WORD_BITS)[self.at]
-        return often, often & np.append(often[1:], False)[:len(often)] & self.followed
+    def runs(self, bitmaps: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Of runs of 1, 2, ... words: their hashes, and whether each may be frequent.
 
+        A run may be so if both runs within it, of a word less, may be, and its bit is set. For the
+        run after the last bitmap no bit is known yet.
+        """
+        words = self.hashes()
+        hashes, often = words, np.ones(len(words), bool)
+        for size, bitmap in enumerate([*bitmaps, None], 1):
+            if size > 1:
+                hashes = mix(hashes * np.uint64(0x9E3779B97F4A7C15) + _shifted(words, size - 1))
+                often = often & _shifted(often, 1) & (self.followed if size == 2 else True)
+            if bitmap is not None:
+                often = often & _marked(bitmap, hashes)
+            yield hashes, often
 
-def _neighbours(hashes: np.ndarray) -> np.ndarray:
-    """A hash of each word and the one after it; nothing follows the last."""
-    return mix(hashes * np.uint64(0x9E3779B97F4A7C15) + np.append(hashes[1:], np.uint64(0))[:len(hashes)])
 
+def _shifted(values: np.ndarray, places: int) -> np.ndarray:
+    """The value so many places on; nothing follows the last."""
+    return np.append(values[places:], np.zeros(min(places, len(values)), values.dtype))
 
-def _marked(bitmap: np.ndarray, hashes: np.ndarray, bits: int) -> np.ndarray:
-    at = hashes & np.uint64((1 << bits) - 1)
+
+def _seeds(langs: list[str]) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(lang) for lang in langs], np.uint64)
+
+
+def _word_hashes(words: pa.Array, seeds: np.ndarray) -> np.ndarray:
+    words = words.cast(pa.binary())
+    ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset:words.offset + len(words) + 1].astype(np.int64)
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)
+    return mix(hashes(data, ends[:-1], ends[1:]) ^ seeds)
+
+
+def _marked(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    at = hashes & np.uint64(len(bitmap) * 64 - 1)
     return (bitmap[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) != 0
 
 
@@ -139,37 +161,45 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return _each_chunk(docs, count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
-def frequent_neighbours(docs: DataFrame, words: Broadcast, least: int) -> DataFrame:
-    """``hash`` of two neighbouring words that may occur ``least`` times."""
+def frequent_words(counts: DataFrame, least: int) -> DataFrame:
+    """``hash`` of each word that occurs ``least`` times."""
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            hashed = _word_hashes(part.column(1), _seeds(part.column(0).to_pylist()))
+            yield pa.RecordBatch.from_arrays([pa.array(hashed.view(np.int64))], ["hash"])
+
+    return counts.where(F.col("n") >= least).select("lang", "word").mapInArrow(batches, "hash long")
+
+
+def frequent_runs(docs: DataFrame, bitmaps: Broadcast, least: int) -> DataFrame:
+    """``hash`` of the runs, one word longer than the last bitmap's, that may occur ``least`` times."""
     def count(found: _Words) -> pa.RecordBatch:
-        hashes = found.hashes()
-        _, linked = found.frequent(words.value, hashes)
-        pairs, counts = np.unique(_neighbours(hashes[found.at])[linked], return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(pairs.view(np.int64)), pa.array(counts)], ["hash", "n"])
+        *_, (hashes, often) = found.runs(bitmaps.value)
+        runs, counts = np.unique(hashes[often], return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(runs.view(np.int64)), pa.array(counts)], ["hash", "n"])
 
-    pairs = _each_chunk(docs, count, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
-    return pairs.where(F.col("n") >= least).select("hash")
+    counted = _each_chunk(docs, count, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+    return counted.where(F.col("n") >= least).select("hash")
 
 
 def _columns(longest: int) -> list[str]:
     return [f"w{n}" for n in range(1, longest + 1)]
 
 
-def windows(docs: DataFrame, words: Broadcast, neighbours: Broadcast, longest: int) -> DataFrame:
+def windows(docs: DataFrame, bitmaps: Broadcast, longest: int) -> DataFrame:
     """``lang, w1, ..., n``: how often each padded window of ``longest`` words occurs."""
     names = _columns(longest)
 
     def count(found: _Words) -> pa.RecordBatch:
-        hashes = found.hashes()
-        often, linked = found.frequent(words.value, hashes)
-        linked &= _marked(neighbours.value, _neighbours(hashes[found.at]), NEIGHBOUR_BITS)
-        size = len(hashes) + 1
-        opening = np.flatnonzero(often)
+        marks = [often for _, often in found.runs(bitmaps.value)][:len(bitmaps.value)]
+        size, last = len(found.word) + 1, len(found.at) - 1
+        opening = np.flatnonzero(marks[0])
         # Lead columns: numbers of words, 0 as padding; windows get numbers column by column.
         columns = [found.at[opening] + 1]
-        reach, window, last = np.ones(len(opening), bool), columns[0], len(often) - 1
+        reach, window = np.ones(len(opening), bool), columns[0]
         for lead in range(1, longest):
-            reach = reach & linked[np.minimum(opening + lead - 1, last)]
+            run = min(lead + 1, len(marks))  # the longest known run that ends with this word
+            reach = reach & marks[run - 1][np.minimum(opening + lead + 1 - run, last)]
             following = np.where(reach, found.at[np.minimum(opening + lead, last)] + 1, 0)
             columns.append(following)
             window = np.unique(window * size + following, return_inverse=True)[1]
@@ -208,11 +238,11 @@ def collocations(docs: DataFrame, least: int = 100, longest: int = 5, top: int =
     context = docs.sparkSession.sparkContext
     counts = materialize(word_counts(docs), "word-counts")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("n"))
-    words = context.broadcast(_bitmap(
-        counts.where(F.col("n") >= least).select(F.xxhash64("lang", "word").alias("hash")), WORD_BITS))
-    neighbours = context.broadcast(_bitmap(frequent_neighbours(docs, words, least), NEIGHBOUR_BITS))
+    bitmaps = [_bitmap(frequent_words(counts, least), WORD_BITS)]
+    for _ in range(1, min(PRUNED, longest)):
+        bitmaps.append(_bitmap(frequent_runs(docs, context.broadcast(bitmaps), least), RUN_BITS))
     phrases = materialize(
-        phrase_counts(windows(docs, words, neighbours, longest), longest, least)
+        phrase_counts(windows(docs, context.broadcast(bitmaps), longest), longest, least)
         .withColumn("phrase", F.array_join("words", " ")), "phrases")
     candidates = phrases.where(F.size("words") > 1)
 
