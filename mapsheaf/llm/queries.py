@@ -16,6 +16,7 @@ from mapsheaf.llm.exact_spans import remove_repeated_bytes
 from mapsheaf.llm.licenses import find_licenses, summary
 from mapsheaf.llm.simhash import simhash_groups
 from mapsheaf.llm.substrings import remove_repeats
+from mapsheaf.llm.tries import prefix_trie
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -71,6 +72,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"), least=100, longest=5, top=2000)
 
@@ -90,6 +95,7 @@ QUERIES: dict[str, Run] = {
     "op8_decontamination": op8_decontamination,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_collocations": op12_collocations,
     "op13_license_scan": op13_license_scan,
 }
@@ -148,6 +154,34 @@ SQL: dict[str, str] = {
                  FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
         SELECT doc_id, len(w)::BIGINT AS n_words, len(w) - coalesce(c, 0) AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
         FROM d LEFT JOIN kept USING (doc_id)""",
+    "op11_prefix_trie": r"""
+        WITH turns AS (SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST,
+                           md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS own
+                       FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+        crc AS (SELECT i, list_reduce(list_prepend(i::BIGINT, range(8)),
+                    lambda x, n: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) AS v FROM range(256) AS t(i)),
+        digits AS (SELECT conv_id, 1 AS at, conv_id::VARCHAR AS d FROM turns),
+        tab AS (SELECT list(v ORDER BY i) AS t FROM crc),
+        hashed AS (SELECT conv_id, xor(list_reduce(list_prepend(4294967295::BIGINT,
+                       list_transform(string_split(conv_id::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT)),
+                       lambda x, b: xor(x >> 8, t[(xor(x, b) & 255) + 1])), 4294967295) % 9 AS h FROM turns, tab),
+        rebuilt AS (SELECT c.conv_id AS c, coalesce(b.own[1:h], []) || coalesce(c.own[h + 1:], []) AS seq
+                    FROM turns c JOIN hashed USING (conv_id) LEFT JOIN turns b ON b.conv_id = c.conv_id - c.conv_id % 5),
+        pre AS (SELECT c, d, seq[1:d] AS node, len(seq) AS n, CASE WHEN d > 0 THEN strlen(seq[d].t) ELSE 0 END AS size
+                FROM (SELECT *, unnest(range(0, len(seq) + 1)) AS d FROM rebuilt)),
+        node AS (SELECT d, node, min(c) AS conv_id, count(*) AS n_convs, any_value(size) AS size,
+                        bool_or(n > d) AS inner_node, sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c)
+                            FILTER (n = d), '')) AS ends_sha256 FROM pre GROUP BY d, node),
+        up AS (SELECT a.d, a.conv_id, p.conv_id AS parent, a.node FROM node a JOIN node p ON p.d = a.d - 1 AND p.node = a.node[1:a.d - 1]),
+        kids AS (SELECT d - 1 AS d, parent AS conv_id, count(*) AS n FROM up GROUP BY ALL),
+        below AS (SELECT anc.d, anc.conv_id, count(*) FILTER (NOT x.inner_node) AS leaves,
+                         sum((x.n_convs - 1) * x.size)::BIGINT AS saved
+                  FROM node x JOIN pre ON pre.c = x.conv_id AND pre.d <= x.d
+                  JOIN node anc ON anc.d = pre.d AND anc.node = pre.node GROUP BY ALL)
+        SELECT a.conv_id, a.d AS depth, up.parent AS parent_conv_id, a.n_convs, coalesce(kids.n, 0) AS n_children,
+               leaves AS n_leaves, saved AS saved_tokens, a.ends_sha256
+        FROM node a JOIN below ON below.d = a.d AND below.conv_id = a.conv_id
+        LEFT JOIN up ON up.d = a.d AND up.conv_id = a.conv_id LEFT JOIN kids ON kids.d = a.d AND kids.conv_id = a.conv_id""",
     "op12_collocations": r"""
         WITH piece AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
                            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
