@@ -34,7 +34,7 @@ from mapsheaf.llm.common import materialize
 from mapsheaf.llm.words import hashes, mix, runs
 
 # Text bytes taken at once; longer texts are cut where a piece ends.
-CHUNK = 4 << 20
+CHUNK = 8 << 20
 # Bits of the bitmaps of words and of each length of runs, as a power of two: 2 MB and 8 MB.
 WORD_BITS, RUN_BITS = 24, 26
 # Runs are marked up to this many words.
@@ -187,13 +187,14 @@ def _columns(longest: int) -> list[str]:
 
 
 def windows(docs: DataFrame, bitmaps: Broadcast, longest: int) -> DataFrame:
-    """``lang, w1, ..., n``: how often each padded window of ``longest`` words occurs."""
+    """``lang, w1, ..., n``: how often each padded window of ``longest`` words, two of them at least, occurs."""
     names = _columns(longest)
 
     def count(found: _Words) -> pa.RecordBatch:
         marks = [often for _, often in found.runs(bitmaps.value)][:len(bitmaps.value)]
         size, last = len(found.word) + 1, len(found.at) - 1
-        opening = np.flatnonzero(marks[0])
+        # Words that stand alone are counted already.
+        opening = np.flatnonzero(marks[1])
         # Lead columns: numbers of words, 0 as padding; windows get numbers column by column.
         columns = [found.at[opening] + 1]
         reach, window = np.ones(len(opening), bool), columns[0]
@@ -214,13 +215,16 @@ def windows(docs: DataFrame, bitmaps: Broadcast, longest: int) -> DataFrame:
 
 
 def phrase_counts(counted: DataFrame, longest: int, least: int) -> DataFrame:
-    """``lang, words, f`` of all phrases that occur ``least`` times: the windows summed to all prefixes."""
+    """``lang, words, f`` of all phrases of two words or more that occur ``least`` times.
+
+    The windows are summed to all their prefixes.
+    """
     names = _columns(longest)
     rolled = counted.rollup("lang", *names).agg(F.sum("n").alias("f"), F.grouping_id().alias("summed"))
-    # Prefix of k words: the last longest - k columns are summed, and its last word is no padding.
+    # Prefix of k words, two at least: the last longest - k columns are summed, and its last word is no padding.
     length = reduce(
         lambda rest, k: F.when((F.col("summed") == (1 << (longest - k)) - 1) & (F.col(f"w{k}") != PAD), k).otherwise(rest),
-        range(1, longest + 1), F.lit(0))
+        range(2, longest + 1), F.lit(0))
     return rolled.withColumn("k", length).where((F.col("k") > 0) & (F.col("f") >= least)).select(
         "lang", F.slice(F.array(*names), F.lit(1), F.col("k")).alias("words"), "f")
 
@@ -239,11 +243,11 @@ def collocations(docs: DataFrame, least: int = 100, longest: int = 5, top: int =
     counts = materialize(word_counts(docs), "word-counts")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("n"))
     bitmaps = [_bitmap(frequent_words(counts, least), WORD_BITS)]
-    for _ in range(1, min(PRUNED, longest)):
+    for _ in range(1, max(2, min(PRUNED, longest))):
         bitmaps.append(_bitmap(frequent_runs(docs, context.broadcast(bitmaps), least), RUN_BITS))
-    phrases = materialize(
-        phrase_counts(windows(docs, context.broadcast(bitmaps), longest), longest, least)
-        .withColumn("phrase", F.array_join("words", " ")), "phrases")
+    longer = phrase_counts(windows(docs, context.broadcast(bitmaps), longest), longest, least)
+    single = counts.where(F.col("n") >= least).select("lang", F.array("word").alias("words"), F.col("n").alias("f"))
+    phrases = materialize(longer.union(single).withColumn("phrase", F.array_join("words", " ")), "phrases")
     candidates = phrases.where(F.size("words") > 1)
 
     def part(start: Column, size: Column) -> Column:
