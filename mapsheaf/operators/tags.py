@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mapsheaf.functions.mercator import pixel_size
+from mapsheaf.functions.mercator import extent_pixels, pixel_size
 from mapsheaf.functions.text import json_text
 
 # Fixed value: a feature this many pixels long keeps all its tags.
@@ -15,7 +15,7 @@ TAG_PIXELS = 16
 # Columns of the engine that place a feature rather than describe it; none is an attribute.
 PLACING = (
     "theme", "type", "bbox", "geometry", "geom_type", "z", "x", "y", "min_zoom", "max_zoom",
-    "tags_zoom", "min_pixel", "layer", "layer_kind", "tags", "filename", "feature_id",
+    "tags_zoom", "min_pixel", "layer", "layer_kind", "tags", "filename", "feature_id", "extent",
 )
 
 # Tags shown at every zoom, whatever the feature's size.
@@ -134,10 +134,20 @@ def tag_map(df: DataFrame, skip: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
+def _pixels(df: DataFrame, zoom) -> Column:
+    """Size at ``zoom``: of the shape if its ``extent`` is known, else of the box."""
+    if "extent" not in df.columns:
+        return pixel_size(zoom)
+    return F.coalesce(extent_pixels(zoom), pixel_size(zoom))
+
+
 def attribute_visibility(df: DataFrame, zoom, pixels: float = TAG_PIXELS) -> DataFrame:
-    """Empty ``tags`` of features too small at ``zoom`` to show them yet, but for those always shown."""
+    """Empty ``tags`` of features too small at ``zoom`` to show them yet, but for those always shown.
+
+    Size is that of the shape where ``extent`` is stored, else of the box.
+    """
     zoom = zoom if isinstance(zoom, Column) else F.lit(zoom)
-    shown = (pixel_size(zoom) >= pixels) | (zoom >= F.col("tags_zoom"))
+    shown = (_pixels(df, zoom) >= pixels) | (zoom >= F.col("tags_zoom"))
     none = F.map_filter(F.col("tags"), lambda key, value: key.isin(*ALWAYS_SHOWN))
     return df.withColumn("tags", F.when(F.coalesce(shown, F.lit(False)), F.col("tags")).otherwise(none))
 
@@ -145,7 +155,7 @@ def attribute_visibility(df: DataFrame, zoom, pixels: float = TAG_PIXELS) -> Dat
 def min_pixel_filter(df: DataFrame, zoom, limit: float = 1.0) -> DataFrame:
     """Drop lines and areas shorter than ``min_pixel``, or ``limit`` where that is null.
 
-    Points have no size and stay.
+    Points have no size and stay. Size is that of the shape where ``extent`` is stored, else of the box.
     """
     needed = F.coalesce(F.col("min_pixel").cast("double"), F.lit(float(limit)))
-    return df.where((F.col("geom_type") == "Point") | (pixel_size(zoom) >= needed))
+    return df.where((F.col("geom_type") == "Point") | (_pixels(df, zoom) >= needed))

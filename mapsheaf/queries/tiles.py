@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import struct
+
+import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from mapsheaf.operators import cover as op_cover
 from mapsheaf.operators import tags as tag
 from mapsheaf.operators import tiling
 from mapsheaf.plans import profiles
@@ -151,13 +156,31 @@ def _pixels(zoom: str) -> str:
             f"* 256 * pow(2.0, {zoom}))")
 
 
-# Tiles of a feature at a zoom are a rectangle, so SQL adds them up without listing them.
-TILED = f"""ranged AS (
-  SELECT theme, type, key, z,
-    {_tile('((xmin + 180) / 360)', 'z')} AS x0, {_tile('((xmax + 180) / 360)', 'z')} AS x1,
+# Every 97th feature that has a width lies across 180 degrees here.
+CROSSING = "key % 97 = 0 AND xmax > xmin"
+ACROSS = f"""across AS (SELECT * REPLACE (CASE WHEN {CROSSING} THEN 180 - (xmax - xmin) / 2 ELSE xmin END AS xmin,
+    CASE WHEN {CROSSING} THEN (xmax - xmin) / 2 - 180 ELSE xmax END AS xmax) FROM zoomed)"""
+
+
+def across(df):
+    """The same features in Spark."""
+    wide = F.col("bbox.xmax") - F.col("bbox.xmin")
+    moved = F.struct((180 - wide / 2).alias("xmin"), (wide / 2 - 180).alias("xmax"), F.col("bbox.ymin"), F.col("bbox.ymax"))
+    return df.withColumn("bbox", F.when((F.col("key") % 97 == 0) & (wide > 0), moved).otherwise(F.col("bbox")))
+
+
+# Tiles of a feature at a zoom are one rectangle or two, so SQL adds them up without listing them.
+TILED = f"""runs AS (
+  SELECT theme, type, key, z, xmin > xmax AS crosses, CAST(pow(2, z) - 1 AS INTEGER) AS edge,
+    {_tile('((xmin + 180) / 360)', 'z')} AS west, {_tile('((xmax + 180) / 360)', 'z')} AS east,
     {_tile(_y('ymax'), 'z')} AS y0, {_tile(_y('ymin'), 'z')} AS y1
-  FROM zoomed, generate_series(0, 14) AS steps(z)
+  FROM across, generate_series(0, 14) AS steps(z)
   WHERE z >= coalesce(min_zoom, 0) AND z <= max_zoom),
+ranged AS (
+  SELECT theme, type, key, z, west AS x0, east AS x1, y0, y1 FROM runs WHERE NOT crosses
+  UNION ALL SELECT theme, type, key, z, west, edge, y0, y1 FROM runs WHERE crosses AND west > east + 1
+  UNION ALL SELECT theme, type, key, z, 0, east, y0, y1 FROM runs WHERE crosses AND west > east + 1
+  UNION ALL SELECT theme, type, key, z, 0, edge, y0, y1 FROM runs WHERE crosses AND west <= east + 1),
 sized AS (SELECT *, CAST(x1 - x0 + 1 AS BIGINT) AS nx, CAST(y1 - y0 + 1 AS BIGINT) AS ny FROM ranged),
 tiled AS (
   SELECT theme, type, z, CAST(sum(nx * ny) AS BIGINT) AS tiles,
@@ -172,10 +195,85 @@ def tile_sums(tiles):
         F.count("*").alias("tiles"), F.sum("x").alias("x_sum"), F.sum("y").alias("y_sum"), F.sum("key").alias("key_sum"))
 
 
-@query("tile_assign", sql("SELECT * FROM tiled", ZOOMED, TILED))
+@query("tile_assign", sql("SELECT * FROM tiled", ZOOMED, ACROSS, TILED))
 def tile_assign(spark, sf_dir):
     rows = zoomed(spark, sf_dir).select("id", "theme", "type", "key", "bbox", "min_zoom", "max_zoom")
-    return tile_sums(tiling.tile_assign(rows, 0, 14))
+    return tile_sums(tiling.tile_assign(across(rows), 0, 14))
+
+
+# Shapes that are not their boxes: lines and the long sides of triangles run from corner to corner.
+@F.pandas_udf(T.BinaryType())
+def _slanted(kind: pd.Series, w: pd.Series, s: pd.Series, e: pd.Series, n: pd.Series) -> pd.Series:
+    def one(kind, w, s, e, n):
+        if kind == "Point":
+            return struct.pack("<BI2d", 1, 1, w, s)
+        if kind == "LineString":
+            return struct.pack("<BII4d", 1, 2, 2, w, s, e, n)
+        return struct.pack("<BIII8d", 1, 3, 1, 4, w, s, e, s, e, n, w, s)
+
+    return pd.Series([one(*row) for row in zip(kind, w, s, e, n, strict=True)], dtype=object)
+
+
+def slanted(df):
+    sides = [F.col(f"bbox.{side}") for side in ("xmin", "ymin", "xmax", "ymax")]
+    return df.withColumn("geometry", _slanted("geom_type", *sides))
+
+
+COVERED_TO = 11
+# In each row of tiles, from where the slanted side passes to its other end or to the eastern side.
+_PASS = "x_from + ({} - y_from) / CASE WHEN y_to = y_from THEN 1 ELSE y_to - y_from END * (x_to - x_from)"
+COVERED = f"""world AS (
+  SELECT theme, type, key, z, geom_type = 'Polygon' AS area, pow(2.0, z) AS n,
+    (xmin + 180) / 360 * pow(2.0, z) AS w, (xmax + 180) / 360 * pow(2.0, z) AS e,
+    {_y('ymin')} * pow(2.0, z) AS s, {_y('ymax')} * pow(2.0, z) AS t, geom_type = 'Point' AS point
+  FROM zoomed, generate_series(0, {COVERED_TO}) AS steps(z)
+  WHERE z >= coalesce(min_zoom, 0) AND z <= max_zoom),
+sides AS (
+  SELECT *, CASE WHEN area THEN e ELSE w END AS x_from, CASE WHEN area THEN t ELSE s END AS y_from,
+    CASE WHEN area THEN w WHEN point THEN w ELSE e END AS x_to, CASE WHEN area THEN s WHEN point THEN s ELSE t END AS y_to,
+    unnest(range(CAST(floor(CASE WHEN point THEN s ELSE t END) AS BIGINT), CAST(floor(s) AS BIGINT) + 1)) AS r FROM world),
+passed AS (
+  SELECT *, CASE WHEN y_from = y_to THEN x_from ELSE {_PASS.format('greatest(least(y_from, y_to), r)')} END AS a,
+    CASE WHEN y_from = y_to THEN x_to ELSE {_PASS.format('least(greatest(y_from, y_to), r + 1)')} END AS b FROM sides),
+spans AS (
+  SELECT theme, type, key, z, CAST(greatest(0, least(n - 1, r)) AS BIGINT) AS y,
+    CAST(greatest(0, least(n - 1, floor(CASE WHEN area AND r = floor(s) THEN least(a, b, w) ELSE least(a, b) END))) AS BIGINT) AS lo,
+    CAST(greatest(0, least(n - 1, floor(CASE WHEN area THEN greatest(a, b, e) ELSE greatest(a, b) END))) AS BIGINT) AS hi
+  FROM passed)"""
+
+
+@query("tile_cover", sql(
+    """SELECT theme, type, z, CAST(sum(hi - lo + 1) AS BIGINT) AS tiles, CAST(sum((lo + hi) * (hi - lo + 1)) AS BIGINT) // 2 AS x_sum,
+      CAST(sum(y * (hi - lo + 1)) AS BIGINT) AS y_sum, CAST(sum(key * (hi - lo + 1)) AS BIGINT) AS key_sum
+    FROM spans GROUP BY ALL""", ZOOMED, COVERED))
+def tile_cover(spark, sf_dir):
+    rows = zoomed(spark, sf_dir).select("id", "theme", "type", "key", "geom_type", "bbox", "min_zoom", "max_zoom")
+    return tile_sums(op_cover.tile_cover(slanted(rows), 0, COVERED_TO))
+
+
+# Length of a line, root of half the box for a triangle.
+_EXTENT = (f"CASE geom_type WHEN 'LineString' THEN sqrt(pow((xmax + 180) / 360 - (xmin + 180) / 360, 2) + pow({_y('ymin')} - {_y('ymax')}, 2))"
+           f" WHEN 'Polygon' THEN sqrt(((xmax + 180) / 360 - (xmin + 180) / 360) * ({_y('ymin')} - {_y('ymax')}) / 2) ELSE 0 END")
+
+
+@query("min_pixel_by_shape", sql("\nUNION ALL\n".join(
+    f"""SELECT id, {z} AS zoom FROM zoomed
+    WHERE geom_type = 'Point' OR {_EXTENT} * 256 * pow(2.0, {z}) >= coalesce(min_pixel, 1)""" for z in (3, 8, 13)), ZOOMED))
+def min_pixel_by_shape(spark, sf_dir):
+    rows = op_cover.with_extent(slanted(zoomed(spark, sf_dir).select("id", "bbox", "geom_type", "min_pixel")))
+    zooms = F.explode(F.array(*map(F.lit, (3, 8, 13)))).alias("zoom")
+    return tag.min_pixel_filter(rows.select("id", "bbox", "geom_type", "min_pixel", "extent", zooms), F.col("zoom")).select("id", "zoom")
+
+
+@query("attribute_visibility_by_shape", sql("\nUNION ALL\n".join(
+    f"""SELECT id, {z} AS zoom, CASE WHEN {_EXTENT} * 256 * pow(2.0, {z}) >= 16 OR {z} >= tags_zoom THEN
+      CASE WHEN subtype IS NULL THEN 0 ELSE 1 END + CASE WHEN class IS NULL THEN 0 ELSE 1 END
+      ELSE 0 END AS tag_count FROM zoomed""" for z in (5, 9, 13)), ZOOMED))
+def attribute_visibility_by_shape(spark, sf_dir):
+    rows = op_cover.with_extent(slanted(zoomed(spark, sf_dir).select(
+        "id", "geom_type", "bbox", "tags_zoom", "subtype", "class"))).drop("geometry", "geom_type")
+    tagged = tag.tag_map(rows, skip=("id",)).withColumn("zoom", F.explode(F.array(*map(F.lit, (5, 9, 13)))))
+    return tag.attribute_visibility(tagged, F.col("zoom")).select("id", "zoom", F.size("tags").alias("tag_count"))
 
 
 @query("attribute_visibility", sql("\nUNION ALL\n".join(
@@ -202,13 +300,19 @@ def min_pixel_filter(spark, sf_dir):
     return tag.min_pixel_filter(rows, F.col("zoom")).select("id", "zoom")
 
 
+# Every 97th place has a box across 180 degrees.
+_MIDDLE = "CASE WHEN key % 97 = 0 THEN (179.75 + -179.25) / 2 - 180 ELSE (xmin + xmax) / 2 END"
+
+
 @query("place_density", sql("\nUNION ALL\n".join(
-    f"""SELECT {z} AS z, {_tile('(((xmin + xmax) / 2 + 180) / 360)', str(z))} AS x,
+    f"""SELECT {z} AS z, {_tile(f'(({_MIDDLE} + 180) / 360)', str(z))} AS x,
       {_tile(_y('(ymin + ymax) / 2'), str(z))} AS y, count(*) AS places,
       1 + 2 * (CAST({z} AS DOUBLE) / 9) AS intensity, 2 + 4 * (CAST({z} AS DOUBLE) / 9) AS radius
     FROM features WHERE theme = 'places' GROUP BY ALL""" for z in range(9))))
 def place_density(spark, sf_dir):
     places = features(spark, sf_dir, "places")
+    wide = F.struct(F.lit(179.75).alias("xmin"), F.lit(-179.25).alias("xmax"), F.col("bbox.ymin"), F.col("bbox.ymax"))
+    places = places.withColumn("bbox", F.when(F.col("key") % 97 == 0, wide).otherwise(F.col("bbox")))
     columns = ["z", "x", "y", "places", "intensity", "radius"]
     return tiling.place_density(places, *range(9)).select(*columns)
 
@@ -240,12 +344,12 @@ def tile_layer_stats(spark, sf_dir):
     return tiling.tile_layer_stats(rows, 0, 14)
 
 
-@query("tile_table", sql("SELECT * FROM tiled", ZOOMED, TILED))
+@query("tile_table", sql("SELECT * FROM tiled", ZOOMED, ACROSS, TILED))
 def tile_table(spark, sf_dir):
     # The stored tables of all themes, read back and added up.
     out = new_dir(spark, "tiles")
     for theme in profiles.PROFILES:
         rows = profiles.theme_profile(features(spark, sf_dir, theme), theme).select(
             "id", "theme", "type", "key", "bbox", "min_zoom", "max_zoom")
-        write_tile_table(tiling.tile_assign(rows, 0, 14).drop("bbox", "min_zoom", "max_zoom"), out, theme)
+        write_tile_table(tiling.tile_assign(across(rows), 0, 14).drop("bbox", "min_zoom", "max_zoom"), out, theme)
     return tile_sums(spark.read.option("basePath", out).parquet(*(f"{out}/theme={t}" for t in profiles.PROFILES)))

@@ -168,6 +168,18 @@ def test_tiles_of_narrow_and_wide_features(spark, spread):
     assert found == expected and "late" not in {key[0] for key in found}
 
 
+def test_a_box_across_180_degrees_is_two(spark):
+    frame = boxed(spark, [("fiji", (170.0, -170.0, 1.0, 1.0)), ("wide", (10.0, 9.0, 1.0, 1.0))])
+    found = Counter((r.id, r.z, r.x) for r in tiling.tile_assign(frame, 0, 4).collect())
+    assert set(found.values()) == {1}
+    assert {k[2] for k in found if k[:2] == ("fiji", 4)} == {0, 15}
+    assert {k[2] for k in found if k[:2] == ("wide", 4)} == set(range(16))
+    place = spark.createDataFrame(
+        [("place", "Point", (179.75, -179.25, 1.0, 1.0)), ("place", "Point", (179.25, -179.75, 1.0, 1.0))],
+        f"type string, geom_type string, bbox {BOX}")
+    assert sorted(r.x for r in tiling.place_density(place, 8).collect()) == [0, 255]
+
+
 def test_a_wide_feature_is_shared_by_tasks(spark):
     frame = boxed(spark, [("world", (-180.0, 180.0, -90.0, 90.0))]).coalesce(1)
     tiles = tiling.tile_assign(frame, 0, 7, 64).withColumn("task", F.spark_partition_id())
