@@ -16,7 +16,7 @@ from mapsheaf.queries.fixture import VIEW_SQL, features, sql, table, views
 from mapsheaf.queries.registry import query
 from mapsheaf.session import new_dir
 from mapsheaf.sources import catalog as op
-from mapsheaf.sources import export, release
+from mapsheaf.sources import export, footers, release
 
 # Columns written for each theme, so that files of a release differ in schema.
 RELEASE_COLUMNS = {
@@ -109,14 +109,13 @@ def file_manifest(spark, sf_dir):
         "bbox.ymax", "features")
 
 
-@query("file_manifest_scanned", sql(
-    """SELECT theme, type, min(xmin) AS xmin, min(ymin) AS ymin, max(xmax) AS xmax, max(ymax) AS ymax,
-      count(*) AS features, TRUE AS numbered FROM features GROUP BY theme, type"""))
-def file_manifest_scanned(spark, sf_dir):
+_BY_TYPE = """SELECT theme, type, min(xmin) AS xmin, min(ymin) AS ymin, max(xmax) AS xmax, max(ymax) AS ymax,
+      count(*) AS features, TRUE AS numbered FROM features GROUP BY theme, type"""
+
+
+def _by_type(files):
     # Which files there are depends on the writer; what they hold together, and that
     # their numbers run from 0 without gaps, does not.
-    root = release_root(spark, sf_dir)
-    files = op.file_manifest(release.scan_release(spark, root), root)
     whole = files.agg(
         ((F.min("file_no") == 0) & (F.max("file_no") + 1 == F.count("*"))
          & (F.count_distinct("file_no") == F.count("*"))).alias("numbered")).scalar()
@@ -125,6 +124,17 @@ def file_manifest_scanned(spark, sf_dir):
         F.max("bbox.ymax").alias("ymax"), F.sum("features").alias("features")).withColumn("numbered", whole)
 
 
+@query("file_manifest_scanned", sql(_BY_TYPE))
+def file_manifest_scanned(spark, sf_dir):
+    root = release_root(spark, sf_dir)
+    return _by_type(op.file_manifest(release.scan_release(spark, root), root))
+
+
+@query("file_manifest_footers", sql(_BY_TYPE))
+def file_manifest_footers(spark, sf_dir):
+    return _by_type(footers.footer_manifest(spark, release_root(spark, sf_dir)))
+
+
 @query("download_catalog", sql(
     """SELECT view_id AS request_id, type, file_no, rel_path FROM views JOIN manifest
       ON xmin < e AND xmax > w AND ymin < n AND ymax > s""", VIEW_SQL, _MANIFEST_SQL))

@@ -13,19 +13,19 @@ from mapsheaf.operators.joins import box_join, numbered
 from mapsheaf.sources.release import scan_files
 
 
-def file_manifest(features: DataFrame, root: str) -> DataFrame:
-    """One row per file of a scanned release with the box its features really cover.
-
-    Reads the box columns only. Files are numbered over all themes in path order,
-    and the number is part of the id.
-    """
-    files = features.groupBy("theme", "type", "filename").agg(
+def files_of(features: DataFrame) -> DataFrame:
+    """One row per file of a scanned release: rows, and the box they really cover."""
+    return features.groupBy("theme", "type", "filename").agg(
         F.struct(
             F.min("bbox.xmin").alias("xmin"), F.max("bbox.xmax").alias("xmax"),
             F.min("bbox.ymin").alias("ymin"), F.max("bbox.ymax").alias("ymax"),
         ).alias("bbox"),
         F.count("*").alias("features"),
     )
+
+
+def manifest_of(files: DataFrame, root: str) -> DataFrame:
+    """Files numbered over all themes in path order; the number is part of the id."""
     tail = F.concat(
         F.lit("theme="), F.col("theme"), F.lit("/type="), F.col("type"), F.lit("/"),
         F.substring_index("filename", "/", -1))
@@ -36,6 +36,15 @@ def file_manifest(features: DataFrame, root: str) -> DataFrame:
         "bbox", "features")
 
 
+def file_manifest(features: DataFrame, root: str) -> DataFrame:
+    """One row per file of a scanned release with the box its features really cover.
+
+    Reads the box columns only; ``footer_manifest`` reads footers instead. Files are numbered
+    over all themes in path order, and the number is part of the id.
+    """
+    return manifest_of(files_of(features), root)
+
+
 def release_catalog(tiles: DataFrame, releases: DataFrame) -> DataFrame:
     """Release and theme rows for the themes that have tiles; the newest release is latest.
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from mapsheaf.functions.curve import place_on_curve
 from mapsheaf.functions.predicates import meets_box
 from mapsheaf.model import TYPE_THEME, theme_types
 
@@ -53,18 +54,21 @@ def scan_files(spark: SparkSession, root: str, paths: list[str],
 
 
 def clip_release(spark: SparkSession, root: str, out: str, theme: str, bbox=None,
-                 cluster: bool = False, schema: StructType | str | None = None) -> None:
+                 cluster: bool = False, schema: StructType | str | None = None,
+                 row_group_bytes: int | None = None) -> None:
     """Write the features of ``theme`` that meet ``bbox`` as a release below ``out``.
 
     Without a box everything is copied. Types without rows leave no folder. With
-    ``cluster`` the rows are ordered by place first, which costs a shuffle of the
-    clipped rows and lets later boxes skip most row groups.
+    ``cluster`` the rows are ordered along a Hilbert curve first, which costs a shuffle of
+    the clipped rows and lets later boxes skip most row groups; the smaller those are
+    (``row_group_bytes``), the closer their boxes.
     """
     theme_types(theme)
     df = scan_release(spark, root, theme, schema=schema).drop("filename", "theme")
     if bbox is not None:
         df = df.where(meets_box(bbox))
     if cluster:
-        cell = [F.floor("bbox.ymin"), F.floor("bbox.xmin")]
-        df = df.repartitionByRange("type", *cell, "id").sortWithinPartitions("type", *cell, "id")
-    df.write.mode("overwrite").partitionBy("type").parquet(f"{out}/theme={theme}")
+        order = ["type", place_on_curve(), "id"]
+        df = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    writer = df.write if row_group_bytes is None else df.write.option("parquet.block.size", row_group_bytes)
+    writer.mode("overwrite").partitionBy("type").parquet(f"{out}/theme={theme}")
