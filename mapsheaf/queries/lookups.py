@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from mapsheaf.model import LOOKUP_TYPE_ORDER
+from mapsheaf.operators import indexes
 from mapsheaf.operators import lookup as op
 from mapsheaf.queries.fixture import box, features, sql, table, values_sql, rules_sql
 from mapsheaf.queries.registry import query
+from mapsheaf.queries.catalog import release_root
+from mapsheaf.session import new_dir
+from mapsheaf.sources.release import scan_release
 
 _ORDER_SQL = values_sql("type_order", ["type", "place"], [(t, n) for n, t in enumerate(LOOKUP_TYPE_ORDER)])
 
@@ -42,6 +46,27 @@ def feature_lookup(spark, sf_dir):
     return found.select("id", "type", "subtype")
 
 
+_indexes: dict[tuple[str, str, str], str] = {}
+
+
+def _index(spark, sf_dir, name, write):
+    """Where an index lies; written once per session and input."""
+    known = (spark.sparkContext.applicationId, sf_dir, name)
+    if known not in _indexes:
+        out = new_dir(spark, name)
+        write(out)
+        _indexes[known] = out
+    return _indexes[known]
+
+
+@query("feature_lookup_indexed", sql(
+    "SELECT id, type, subtype FROM features WHERE id IN (SELECT id FROM ids)", _IDS_SQL))
+def feature_lookup_indexed(spark, sf_dir):
+    root = release_root(spark, sf_dir)
+    index = _index(spark, sf_dir, "ids", lambda out: indexes.write_id_index(scan_release(spark, root), out))
+    return indexes.indexed_lookup(spark, root, index, requested_ids(spark, sf_dir)).select("id", "type", "subtype")
+
+
 # A link per order: with and without position, layers, mode and a feature that exists.
 _LINK = """'https://maps.example.org/?' ||
   CASE o_orderkey % 3 WHEN 0 THEN 'mode=inspect&' ELSE '' END ||
@@ -115,6 +140,34 @@ def name_search_country(spark, sf_dir):
     return op.name_search(rows, name_queries(spark, sf_dir), "country").select(*_RESULT)
 
 
+# A query per customer: one or two words of a name, some with a letter changed, lost or added.
+_FUZZY = """CASE c_custkey % 7 WHEN 0 THEN 'Raod' WHEN 1 THEN 'roed' WHEN 2 THEN 'rod ' || CAST(c_custkey % 90 AS STRING)
+  WHEN 3 THEN CAST(c_custkey % 300 AS STRING) || ' ROAD' WHEN 4 THEN 'smalll' WHEN 5 THEN 'bue' ELSE 'r' || CAST(c_custkey % 9 AS STRING) END"""
+
+_FUZZY_SQL = f"""queries AS (SELECT c_custkey AS query_id, {_FUZZY} AS text FROM customer),
+asked AS (SELECT text, unnest(list_distinct(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+'))) AS w FROM (SELECT DISTINCT text FROM queries)),
+names AS (SELECT DISTINCT label FROM features WHERE label IS NOT NULL),
+held AS (SELECT label, unnest(list_distinct(regexp_extract_all(lower(label), '[\\p{{L}}\\p{{N}}]+'))) AS word FROM names),
+words AS (SELECT DISTINCT word FROM held),
+near AS (SELECT w, word, levenshtein(w, word) AS d FROM (SELECT DISTINCT w FROM asked), words
+  WHERE levenshtein(w, word) <= CASE WHEN length(w) > 1 THEN 1 ELSE 0 END),
+matched AS (SELECT text, label, w, min(d) AS d FROM asked JOIN near USING (w) JOIN held USING (word) GROUP BY ALL),
+whole AS (SELECT text, label, sum(d) AS errors FROM matched JOIN (SELECT text, count(*) AS n FROM asked GROUP BY text) USING (text)
+  GROUP BY text, label HAVING count(*) = max(n)),
+best AS (SELECT text, id, label, errors, row_number() OVER (PARTITION BY text ORDER BY errors, lower(label), label, id) AS position
+  FROM whole JOIN features USING (label))"""
+
+
+@query("name_search_indexed", sql(
+    """SELECT query_id, text, position, id, label AS name, CAST(errors AS INTEGER) AS errors
+    FROM queries JOIN best USING (text) WHERE position <= 6""", _FUZZY_SQL))
+def name_search_indexed(spark, sf_dir):
+    rows = features(spark, sf_dir).select("id", "theme", "type", "subtype", "names")
+    index = _index(spark, sf_dir, "names", lambda out: indexes.write_name_index(rows, out))
+    asked = table(spark, sf_dir, "customer").selectExpr("c_custkey AS query_id", f"{_FUZZY} AS text")
+    return indexes.indexed_search(spark, index, asked).select("query_id", "text", "position", "id", "name", "errors")
+
+
 _BIG = "(abs(xmax - xmin) > 0.001 AND abs(ymax - ymin) > 0.001)"
 _POINT = "(lon IS NOT NULL AND lat IS NOT NULL)"
 _HITS_SQL = """hits AS (
