@@ -192,4 +192,7 @@ def scan(docs: DataFrame) -> DataFrame:
 def keep_clean(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose text holds no secret."""
     found = with_spans(docs, train(sample_values(docs)), "__secret_")
-    return found.where(F.size("__secret_spans") == 0).select(docs.columns)
+    # The number comes out of a generator: a filter is not moved below that, where Spark would put
+    # the expressions of all spans in its place, to be worked out anew wherever they are named.
+    counted = found.select(*(F.col(f"`{c}`") for c in docs.columns), F.explode(F.array(F.size("__secret_spans"))).alias("__secret_n"))
+    return counted.where("__secret_n = 0").select(docs.columns)
