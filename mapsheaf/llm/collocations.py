@@ -34,7 +34,7 @@ from mapsheaf.llm.common import materialize
 from mapsheaf.llm.words import hashes, mix, runs
 
 # Text bytes taken at once; longer texts are cut where a piece ends.
-CHUNK = 8 << 20
+CHUNK = 4 << 20
 # Bits of the bitmaps of words and of each length of runs, as a power of two: 2 MB and 8 MB.
 WORD_BITS, RUN_BITS = 24, 26
 # Runs are marked up to this many words.
