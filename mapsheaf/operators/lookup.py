@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mapsheaf.model import LOOKUP_TYPE_ORDER
-from mapsheaf.operators.joins import salted_join
 from mapsheaf.operators.tags import feature_label
 from mapsheaf.plans.rules import default_items
 
@@ -87,7 +86,7 @@ def view_link_restore(links: DataFrame, features: DataFrame) -> DataFrame:
     """Shared links with the state they carry and the feature they point at, if it exists.
 
     ``links`` has ``link_id`` and ``url``. Features are looked up once per distinct
-    target; a target many links share is dealt out when it is joined back.
+    target; a target many links share is split by the adaptive skew join.
     """
     keys = ["theme", "type", "id"]
     parsed = parse_links(links)
@@ -99,7 +98,7 @@ def view_link_restore(links: DataFrame, features: DataFrame) -> DataFrame:
             F.struct(*columns), F.struct("bbox.xmin", "bbox.ymin")).alias("feature"))
     )
     # Links without a target need no join; their equal, empty keys would meet in one task.
-    aimed = salted_join(pointing, found, keys, "left", F.col("link_id"))
+    aimed = pointing.join(found, keys, "left")
     return aimed.unionByName(parsed.where(F.col("id").isNull()), allowMissingColumns=True)
 
 
@@ -114,7 +113,7 @@ def _prefix_results(features: DataFrame, queries: DataFrame, results: int) -> Da
     folded = F.lower("name")
     prefixes = named.withColumn("_lengths", lengths).withColumn("prefix", F.explode(F.transform(
         F.filter("_lengths", lambda n: n <= F.length(folded)), lambda n: F.left(folded, n)))).drop("_lengths")
-    asked = salted_join(prefixes, texts, ["prefix"], "left_semi", F.col("id"))
+    asked = prefixes.join(texts, "prefix", "left_semi")
     # Spark keeps the best rows of a prefix in every task before it shuffles them,
     # so a prefix shared by most names costs no more than any other.
     best = Window.partitionBy("prefix").orderBy(folded, "name", "id")

@@ -15,6 +15,7 @@ from mapsheaf.plans import profiles
 from mapsheaf.queries.fixture import features, sql
 from mapsheaf.queries.registry import query
 from mapsheaf.session import new_dir
+from mapsheaf.sources import versions
 from mapsheaf.sources.release import union_types
 from mapsheaf.sources.tiles import tile_table as write_tile_table
 
@@ -353,3 +354,30 @@ def tile_table(spark, sf_dir):
             "id", "theme", "type", "key", "bbox", "min_zoom", "max_zoom")
         write_tile_table(tiling.tile_assign(across(rows), 0, 14).drop("bbox", "min_zoom", "max_zoom"), out, theme)
     return tile_sums(spark.read.option("basePath", out).parquet(*(f"{out}/theme={t}" for t in profiles.PROFILES)))
+
+
+@query("tile_update", sql("SELECT * FROM tiled", ZOOMED, ACROSS, TILED.replace(
+    "generate_series(0, 14)", f"generate_series(0, {COVERED_TO})")))
+def tile_update(spark, sf_dir):
+    # The release before: some features lay elsewhere, some are gone since, some are new now.
+    # Its tiles are brought to the present ones by the blocks that changed.
+    out, key = new_dir(spark, "tile-versions"), F.col("key")
+
+    def assign(rows):
+        return tiling.tile_assign(rows, 0, COVERED_TO).select("type", "id", "key", "z", "x", "y")
+
+    found = []
+    for theme in profiles.PROFILES:
+        now = across(profiles.theme_profile(features(spark, sf_dir, theme), theme).select(
+            "id", "theme", "type", "key", "bbox", "min_zoom", "max_zoom"))
+        moved = F.struct((F.col("bbox.xmin") / 2).alias("xmin"), (F.col("bbox.xmin") / 2).alias("xmax"),
+                         F.col("bbox.ymin"), F.col("bbox.ymax"))
+        then = now.where(key % 211 != 0).withColumn("bbox", F.when(key % 199 == 0, moved).otherwise(F.col("bbox")))
+        gone = now.where(key % 223 == 0).withColumn("id", F.concat("id", F.lit(".gone")))
+        versions.build_tiles(spark, out, theme, then.union(gone), assign, depth=2)
+        versions.update_tiles(spark, out, theme, then.union(gone), now, assign)
+        tiles = versions.read_tiles(spark, out, theme)
+        # A theme that begins at higher zooms has no tiles yet.
+        if tiles is not None:
+            found.append(tiles.withColumn("theme", F.lit(theme)))
+    return tile_sums(union_types(found))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,11 @@ from pyspark.sql import functions as F
 from mapsheaf.functions.predicates import meets_box
 from mapsheaf.model import THEME_TYPES, Box
 from mapsheaf.operators.joins import box_join, numbered
-from mapsheaf.sources.release import scan_files
+from mapsheaf.session import reliable_checkpoint
+from mapsheaf.sources.release import scan_files, scan_release
+
+# Files that are named one by one for a scan; for more, folders are listed and rows matched by file.
+LISTED_FILES = 100_000
 
 
 def files_of(features: DataFrame) -> DataFrame:
@@ -89,3 +94,46 @@ def download_extract(spark: SparkSession, manifest: DataFrame, root: str, bbox,
     chosen = download_catalog(manifest, requests).select("rel_path").collect()
     found = scan_files(spark, root, [f"{root.rstrip('/')}/{row.rel_path}" for row in chosen])
     return None if found is None else found.where(meets_box(box))
+
+
+def view_files(manifest: DataFrame, views: DataFrame, choices: DataFrame | None = None,
+               hint: str | None = None) -> DataFrame:
+    """``view_id, box, rel_path`` for every file whose box meets a view's; touching is enough.
+
+    With ``choices`` (``view_id, types``) only files of the view's own types. Works on files
+    and views alone, so a release of any size costs what its manifest costs.
+    """
+    files = manifest.select("type", "rel_path", "bbox")
+    asked = views.select("view_id", "box")
+    if choices is None:
+        pairs = box_join(files, asked, hint=hint)
+    else:
+        pairs = box_join(files, asked.join(choices.select("view_id", "types"), "view_id"),
+                         condition=F.array_contains("types", F.col("type")), hint=hint)
+    return pairs.select("view_id", "box", "rel_path")
+
+
+def extract_views(spark: SparkSession, manifest: DataFrame, root: str, views: DataFrame,
+                  choices: DataFrame | None = None, schema=None, hint: str | None = None,
+                  listed_files: int = LISTED_FILES) -> DataFrame | None:
+    """``view_extract`` over a release on disk that reads each file some view needs once, and no other.
+
+    Files and views are matched first; the matches are written down, as they decide both what is
+    read and what is joined. Rows then meet only the views of their own file. Up to
+    ``listed_files`` files are named by the driver; beyond that, counted first, the folders of the
+    types needed are listed by Spark and rows of other files fall out in the join. None if no file meets a view.
+    """
+    asked = reliable_checkpoint(view_files(manifest, views, choices, hint))
+    chosen = asked.select("rel_path").distinct()
+    path = root.rstrip("/")
+    if chosen.count() <= listed_files:
+        rows = scan_files(spark, root, [f"{path}/{row.rel_path}" for row in chosen.collect()], schema)
+    else:
+        # At most one folder for each type of a release.
+        folders = chosen.select(F.substring_index("rel_path", "/", 2).alias("folder")).distinct().collect()
+        rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), (
+            scan_release(spark, root, *(part.split("=", 1)[1] for part in row.folder.split("/")), schema) for row in folders))
+    if rows is None:
+        return None
+    placed = rows.withColumn("rel_path", F.concat_ws("/", F.slice(F.split("filename", "/"), -3, 3)))
+    return box_join(placed, asked, on=("rel_path",), hint=hint).drop("rel_path")
