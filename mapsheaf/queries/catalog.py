@@ -17,6 +17,7 @@ from mapsheaf.queries.registry import query
 from mapsheaf.session import new_dir
 from mapsheaf.sources import catalog as op
 from mapsheaf.sources import export, footers, release
+from mapsheaf.streaming import releases as stream
 
 # Columns written for each theme, so that files of a release differ in schema.
 RELEASE_COLUMNS = {
@@ -179,6 +180,37 @@ def latest_release(spark, sf_dir):
     return op.latest_release(catalog, seen)
 
 
+@query("release_stream", f"""WITH {_RELEASE_SQL}
+  SELECT release, theme, latest, orders, total, segments FROM catalog JOIN (
+    SELECT strftime(o_orderdate, '%Y-%m') AS release, count(*) AS orders, CAST(sum(o_orderkey) AS BIGINT) AS total,
+      count(DISTINCT o_orderpriority) AS segments,
+      CASE o_custkey % 7 {' '.join(f"WHEN {n} THEN '{theme}'" for n, theme in enumerate(_THEMES))} END AS theme
+    FROM orders GROUP BY ALL) USING (release, theme)""")
+def release_stream(spark, sf_dir):
+    # Months of orders as releases; those before 1996 are announced first, the rest later, some twice.
+    root, out = new_dir(spark, "releases"), new_dir(spark, "built")
+    months = F.date_format("o_orderdate", "yyyy-MM")
+    themes = F.array(*map(F.lit, _THEMES))
+    rows = table(spark, sf_dir, "orders").select(
+        months.alias("release"), F.get(themes, (F.col("o_custkey") % 7).cast("int")).alias("theme"),
+        "o_orderkey", "o_orderpriority")
+    rows.repartition("release").write.partitionBy("release", "theme").parquet(f"{root}/data")
+    catalog = op.release_catalog(*release_tables(spark, sf_dir)).select(
+        "release", "theme", F.concat(F.lit("release="), "release", F.lit("/theme="), "theme").alias("path"))
+
+    def build(found):
+        return found.groupBy("release", "theme").agg(
+            F.count("*").alias("orders"), F.sum("o_orderkey").alias("total"),
+            F.count_distinct("o_orderpriority").alias("segments"))
+
+    for part in (catalog.where("release < '1996'"), catalog.where("release >= '1995-07'")):
+        part.coalesce(1).write.mode("append").json(f"{root}/announced")
+        stream.build_releases(spark, f"{root}/announced", f"{root}/data", f"{out}/built", f"{out}/checkpoint", build)
+    built = stream.built_tables(spark, f"{out}/built")
+    return built.join(stream.built(spark, f"{out}/built").drop("batch"), ["release", "theme"]).select(
+        "release", "theme", "latest", "orders", "total", "segments")
+
+
 _PLAIN = "regexp_replace(CAST({} AS VARCHAR), '\\.0$', '')".format
 
 

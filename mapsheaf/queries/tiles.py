@@ -364,20 +364,13 @@ def tile_update(spark, sf_dir):
     out, key = new_dir(spark, "tile-versions"), F.col("key")
 
     def assign(rows):
-        return tiling.tile_assign(rows, 0, COVERED_TO).select("type", "id", "key", "z", "x", "y")
-
-    found = []
-    for theme in profiles.PROFILES:
-        now = across(profiles.theme_profile(features(spark, sf_dir, theme), theme).select(
-            "id", "theme", "type", "key", "bbox", "min_zoom", "max_zoom"))
-        moved = F.struct((F.col("bbox.xmin") / 2).alias("xmin"), (F.col("bbox.xmin") / 2).alias("xmax"),
-                         F.col("bbox.ymin"), F.col("bbox.ymax"))
-        then = now.where(key % 211 != 0).withColumn("bbox", F.when(key % 199 == 0, moved).otherwise(F.col("bbox")))
-        gone = now.where(key % 223 == 0).withColumn("id", F.concat("id", F.lit(".gone")))
-        versions.build_tiles(spark, out, theme, then.union(gone), assign, depth=2)
-        versions.update_tiles(spark, out, theme, then.union(gone), now, assign)
-        tiles = versions.read_tiles(spark, out, theme)
-        # A theme that begins at higher zooms has no tiles yet.
-        if tiles is not None:
-            found.append(tiles.withColumn("theme", F.lit(theme)))
-    return tile_sums(union_types(found))
+        return tiling.tile_assign(rows, 0, COVERED_TO).select("theme", "type", "id", "key", "z", "x", "y")
+
+    now = across(zoomed(spark, sf_dir).select("id", "theme", "type", "key", "bbox", "min_zoom", "max_zoom"))
+    moved = F.struct((F.col("bbox.xmin") / 2).alias("xmin"), (F.col("bbox.xmin") / 2).alias("xmax"),
+                     F.col("bbox.ymin"), F.col("bbox.ymax"))
+    then = now.where(key % 211 != 0).withColumn("bbox", F.when(key % 199 == 0, moved).otherwise(F.col("bbox")))
+    then = then.union(now.where(key % 223 == 0).withColumn("id", F.concat("id", F.lit(".gone"))))
+    versions.build_tiles(spark, out, "all", then, assign, depth=2)
+    versions.update_tiles(spark, out, "all", then, now, assign)
+    return tile_sums(versions.read_tiles(spark, out, "all"))
