@@ -16,7 +16,7 @@ from mapsheaf.queries.fixture import VIEW_SQL, features, sql, table, views
 from mapsheaf.queries.registry import query
 from mapsheaf.session import new_dir
 from mapsheaf.sources import catalog as op
-from mapsheaf.sources import export, footers, release
+from mapsheaf.sources import export, footers, geojson, release
 from mapsheaf.streaming import releases as stream
 
 # Columns written for each theme, so that files of a release differ in schema.
@@ -255,6 +255,23 @@ def export_geojson(spark, sf_dir):
     return spark.read.text(out).select("type", "value")
 
 
+@query("export_collections", sql(
+    f"""SELECT type, id, CASE WHEN geom_type = 'Polygon' AND key % 5 = 0 THEN 'MultiPolygon' ELSE geom_type END AS kind,
+      subtype, 'FeatureCollection' AS document FROM features WHERE {_CLIP}"""))
+def export_collections(spark, sf_dir):
+    # Whole documents, parsed as such.
+    out = new_dir(spark, "collections")
+    sides = [F.col(f"bbox.{side}") for side in ("xmin", "ymin", "xmax", "ymax")]
+    rows = features(spark, sf_dir).select(
+        "theme", "type", "id", "subtype", "bbox", _wkb("geom_type", F.col("key") % 5 == 0, *sides).alias("geometry"))
+    geojson.export_collections(rows, REGION, [t for types in THEME_TYPES.values() for t in types], out, features_per_file=10_000)
+    shape = "type string, features array<struct<geometry: struct<type: string>, properties: struct<id: string, subtype: string>>>"
+    parsed = spark.read.option("wholetext", True).text(out).select("type", F.from_json("value", shape).alias("d"))
+    return parsed.select("type", F.col("d.type").alias("document"), F.explode("d.features").alias("f")).select(
+        "type", F.col("f.properties.id").alias("id"), F.col("f.geometry.type").alias("kind"),
+        F.col("f.properties.subtype").alias("subtype"), "document")
+
+
 @query("export_summary", sql(
     f"""SELECT view_id, {" || ',' || ".join(_PLAIN(side) for side in "wsen")} AS bbox_text, '2024-09-18' AS release,
       string_agg(DISTINCT type, ',' ORDER BY type) AS layers, count(DISTINCT type) AS layer_count, count(*) AS features
