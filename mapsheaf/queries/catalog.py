@@ -266,7 +266,7 @@ def export_collections(spark, sf_dir):
         "theme", "type", "id", "subtype", "bbox", _wkb("geom_type", F.col("key") % 5 == 0, *sides).alias("geometry"))
     geojson.export_collections(rows, REGION, [t for types in THEME_TYPES.values() for t in types], out, features_per_file=10_000)
     shape = "type string, features array<struct<geometry: struct<type: string>, properties: struct<id: string, subtype: string>>>"
-    parsed = spark.read.option("wholetext", True).text(out).select("type", F.from_json("value", shape).alias("d"))
+    parsed = spark.read.text(out, wholetext=True).select("type", F.from_json("value", shape).alias("d"))
     return parsed.select("type", F.col("d.type").alias("document"), F.explode("d.features").alias("f")).select(
         "type", F.col("f.properties.id").alias("id"), F.col("f.geometry.type").alias("kind"),
         F.col("f.properties.subtype").alias("subtype"), "document")
