@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mapsheaf.functions import text as t
 from mapsheaf.functions.style import interpolate
 from mapsheaf.model import THEME_TYPES
 from mapsheaf.operators.tags import _tag_columns
+from mapsheaf.session import reliable_checkpoint
 
 # Title without a name, longest list shown in line, record pages.
 DEFAULT_TITLE = "Inspector Panel"
@@ -205,6 +206,9 @@ def property_values(df: DataFrame, key: str = "key", value: str = "value") -> Da
         *keep, "position", "row.*")
 
 
+# Rounds of a recursive query: nested deeper is an error, not a cut.
+WALK_ROUNDS = 1_000
+
 # Objects in objects are followed this deep; what lies below stays JSON text.
 TREE_DEPTH = 8
 
@@ -242,6 +246,34 @@ def property_tree(df: DataFrame, key: str = "key", value: str = "value", depth:
         *keep, "position", F.when(F.size("row.path") > 0, F.array_join("row.path", ".")).alias("path"), "row.text")
 
 
+def property_walk(df: DataFrame, key: str = "key", value: str = "value") -> DataFrame:
+    """``property_tree`` by a recursive query, which goes on until no nested value is left.
+
+    Rows are written down first, as their numbers hold parts and order together. Text nested more than
+    ``WALK_ROUNDS`` deep is an error. Spark's limit of a recursion's rows, a million, is lifted for the session.
+    """
+    df.sparkSession.conf.set("spark.sql.cteRecursionRowLimit", -1)
+    start = reliable_checkpoint(df.withColumn("_row", F.monotonically_increasing_id()))
+    children = r"""CASE WHEN text RLIKE '^\\s*\\x7B' THEN map_entries(from_json(text, 'map<string,string>'))
+      WHEN text RLIKE '^\\s*\\[' THEN transform(from_json(text, 'array<string>'),
+        (item, n) -> named_struct('key', CAST(n AS string), 'value', item)) END"""
+    found = df.sparkSession.sql(f"""
+      WITH RECURSIVE walk(_row, place, path, text) MAX RECURSION LEVEL {WALK_ROUNDS} AS (
+        SELECT _row, CAST(array() AS array<int>), CAST(array() AS array<string>), `{value}` FROM {{start}}
+        UNION ALL
+        SELECT _row, concat(place, array(n)), concat(path, array(child.key)), child.value
+        FROM walk LATERAL VIEW posexplode({children}) AS n, child)
+      SELECT _row, place, path, text FROM walk
+      WHERE text IS NOT NULL AND coalesce(size({children}), 0) <= 0""", start=start)
+    shown = found.where(~F.col("text").rlike(r"^\s*(null|\[\s*\]|\{\s*\})\s*$"))
+    # The parts of one property value, never more than its text holds.
+    within = Window.partitionBy("_row").orderBy("place")
+    parts = shown.select(
+        "_row", (F.row_number().over(within) - 1).alias("position"),
+        F.when(F.size("path") > 0, F.array_join("path", ".")).alias("path"), "text")
+    return start.drop(value).join(parts, "_row").drop("_row")
+
+
 def url_flags(df: DataFrame, value: str = "value", values: str | None = None) -> DataFrame:
     """Add whether ``value`` is a web address, and whether all of a list ``values`` are."""
     df = df.withColumn("is_url", t.is_url(F.col(value)))

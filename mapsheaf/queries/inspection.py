@@ -8,7 +8,7 @@ from mapsheaf.functions import style
 from mapsheaf.operators import inspector as op
 from mapsheaf.operators import tags as tag
 from mapsheaf.queries.fixture import features, sql, table
-from mapsheaf.queries.registry import query
+from mapsheaf.queries.registry import REGISTRY, query
 from mapsheaf.sources.release import union_types
 
 
@@ -170,6 +170,14 @@ def property_tree(spark, sf_dir):
     return op.property_tree(rows)
 
 
+@query("property_walk", REGISTRY["property_tree"].sql)
+def property_walk(spark, sf_dir):
+    # The same rows by a recursive query.
+    nested = features(spark, sf_dir).select("id", "names", "categories", "cartography", "sources", "subtype")
+    rows = op.properties_of(nested, skip=("id", "@name")).select("id", F.inline("properties"))
+    return op.property_walk(rows)
+
+
 @query("url_flags",
        """WITH listed AS (
          SELECT page_id, url AS value, [url, CASE WHEN page_id % 3 = 0 THEN 'no address' ELSE url END] AS links FROM pages

@@ -1,5 +1,6 @@
 """Inspector, lookups, clicks and audits."""
 
+import json
 import random
 from collections import Counter
 
@@ -270,3 +271,28 @@ def test_coverage(spark):
     issues = spark.createDataFrame([("error", "a"), ("error", "b"), ("warn", "c")], "severity string, check string")
     counts = {(r.severity, r.check): r.issues for r in audit.audit_counts(issues).collect()}
     assert counts[None, None] == 3 and counts["error", None] == 2
+
+
+def leaves(value, path=()):
+    """Plain values of parsed JSON with the way to them, in order."""
+    if isinstance(value, dict):
+        for name, below in value.items():
+            yield from leaves(below, (*path, name))
+    elif isinstance(value, list):
+        for n, below in enumerate(value):
+            yield from leaves(below, (*path, str(n)))
+    elif value is not None:
+        yield ".".join(path) or None, value if isinstance(value, str) else json.dumps(value)
+
+
+def test_property_walk_goes_to_the_end(spark):
+    deep = "x"
+    for n in range(25):
+        deep = {"k": deep, "n": n} if n % 2 else [n, deep]
+    values = [deep, {"z": 1, "a": {"c": [], "b": [None, 2.5], "e": {}}, "m": True}, {"z": 1, "a": [[["y"]]]}, [], "plain"]
+    rows = [(n, "key", v if isinstance(v, str) else json.dumps(v)) for n, v in enumerate([*values, values[1]])]
+    frame = spark.createDataFrame([*rows, (9, "key", None)], "id int, key string, value string")
+    found = {}
+    for r in sorted(inspector.property_walk(frame).collect(), key=lambda r: (r.id, r.position)):
+        found.setdefault(r.id, []).append((r.path, r.text))
+    assert found == {n: listed for n, v in enumerate([*values, values[1]]) if (listed := list(leaves(v)))}
