@@ -19,10 +19,15 @@ LISTED_FILES = 100_000
 
 
 def files_of(features: DataFrame) -> DataFrame:
-    """One row per file of a scanned release: rows, and the box they really cover."""
+    """One row per file of a scanned release: rows, and the box they really cover.
+
+    A file with a feature across 180 degrees (west beyond east) reaches around the world.
+    """
+    crosses = F.col("bbox.xmin") > F.col("bbox.xmax")
     return features.groupBy("theme", "type", "filename").agg(
         F.struct(
-            F.min("bbox.xmin").alias("xmin"), F.max("bbox.xmax").alias("xmax"),
+            F.min(F.when(crosses, -180.0).otherwise(F.col("bbox.xmin"))).alias("xmin"),
+            F.max(F.when(crosses, 180.0).otherwise(F.col("bbox.xmax"))).alias("xmax"),
             F.min("bbox.ymin").alias("ymin"), F.max("bbox.ymax").alias("ymax"),
         ).alias("bbox"),
         F.count("*").alias("features"),

@@ -133,3 +133,13 @@ def test_extracts_of_views_read_the_files_their_manifest_names(spark, root, list
 def test_views_without_files(spark, root):
     manifest = catalog.file_manifest(release.scan_release(spark, root), root)
     assert catalog.extract_views(spark, manifest, root, spark.createDataFrame(VIEWS[3:5], f"view_id int, box {BOX}")) is None
+
+
+def test_files_with_features_across_180_degrees(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [("land", "fiji", (179.0, -179.0, -18.0, -17.0)), ("land", "home", (10.0, 11.0, -18.0, -17.0))], f"type string, id string, bbox {BOX}")
+    rows.coalesce(1).write.partitionBy("type").parquet(f"{tmp_path}/r/theme=base")
+    whole = release.scan_release(spark, f"{tmp_path}/r")
+    views = spark.createDataFrame([(1, (179.2, 179.4, -20.0, 0.0)), (2, (-179.4, -179.2, -20.0, 0.0)), (3, (50.0, 60.0, -20.0, 0.0))], f"view_id int, box {BOX}")
+    found = catalog.extract_views(spark, catalog.file_manifest(whole, f"{tmp_path}/r"), f"{tmp_path}/r", views)
+    assert sorted((r.view_id, r.id) for r in found.collect()) == [(1, "fiji"), (2, "fiji")]
