@@ -23,11 +23,14 @@ class Test:
     """A condition on a feature's attributes and the zoom, and what it mentions.
 
     ``mentions`` lists attribute, operator and literal values, so that audits can read
-    the rules as data.
+    the rules as data. ``fact`` is the one mention that says all a test asks, if there is
+    one; ``parts`` are the tests that all must hold.
     """
 
     build: Callable[[Attributes, object], Column]
     mentions: tuple[tuple[str, str, tuple], ...] = ()
+    fact: tuple[str, str, tuple] | None = None
+    parts: tuple[Test, ...] = ()
 
     def __call__(self, col: Attributes, zoom) -> Column:
         return self.build(col, zoom)
@@ -68,24 +71,28 @@ class Rule:
 
 # -- tests ---------------------------------------------------------------
 
+def _factual(build, *fact) -> Test:
+    return Test(build, (fact,), fact)
+
+
 def kind(geometry: str) -> Test:
-    return Test(lambda col, zoom: p.is_kind(geometry, col("geom_type")), (("geom_type", "is", (geometry,)),))
+    return _factual(lambda col, zoom: p.is_kind(geometry, col("geom_type")), "geom_type", "is", (geometry,))
 
 
 def among(attribute: str, *values) -> Test:
-    return Test(lambda col, zoom: p.one_of(col(attribute), values), ((attribute, "in", values),))
+    return _factual(lambda col, zoom: p.one_of(col(attribute), values), attribute, "in", values)
 
 
 def outside(attribute: str, *values) -> Test:
-    return Test(lambda col, zoom: p.none_of(col(attribute), values), ((attribute, "not in", values),))
+    return _factual(lambda col, zoom: p.none_of(col(attribute), values), attribute, "not in", values)
 
 
 def present(attribute: str) -> Test:
-    return Test(lambda col, zoom: col(attribute).isNotNull(), ((attribute, "present", ()),))
+    return _factual(lambda col, zoom: col(attribute).isNotNull(), attribute, "present", ())
 
 
 def absent(attribute: str) -> Test:
-    return Test(lambda col, zoom: col(attribute).isNull(), ((attribute, "absent", ()),))
+    return _factual(lambda col, zoom: col(attribute).isNull(), attribute, "absent", ())
 
 
 def stepped(name: str) -> Test:
@@ -98,7 +105,8 @@ def every(*tests: Test) -> Test:
         for other in tests[1:]:
             result = result & other(col, zoom)
         return result
-    return Test(test, tuple(mention for one in tests for mention in one.mentions))
+    return Test(test, tuple(mention for one in tests for mention in one.mentions),
+                parts=tuple(part for one in tests for part in one.parts or (one,)))
 
 
 POINT, LINE, AREA = kind("Point"), kind("LineString"), kind("Polygon")
@@ -255,15 +263,17 @@ def _confidence_text() -> str:
     return "|".join([str(first)] + [f"{zoom}:{value}" for zoom, value in later])
 
 
+_CONFIDENT = Test(lambda col, zoom: p.confident(zoom, col("confidence")), (("confidence", "at least", ()),))
+
+
 def _place_group(name: str, item: str, icon: str) -> Rule:
     if name in CATEGORY_WORDS:
         in_group = Test(
             lambda col, zoom: p.holds(col("category").contains(name)), (("category", "contains", (name,)),))
     else:
         in_group = among("category", *PLACE_CATEGORIES[name])
-    confident = Test(lambda col, zoom: p.confident(zoom, col("confidence")), (("confidence", "at least", ()),))
     return Rule(f"places-place-categories-{name}-symbol", "place", "symbol", item,
-                "places-categories", every(POINT, confident, in_group), 14,
+                "places-categories", every(POINT, _CONFIDENT, in_group), 14,
                 icon=icon, confidence=_confidence_text())
 
 
