@@ -38,7 +38,8 @@ from mapsheaf.llm.blocks import (
 )
 from mapsheaf.llm.suffixes import prefix_classes
 
-CHUNK = 1 << 19
+# Places whose grams are hashed at a time; arrays of this size stay in a processor's cache.
+CHUNK = 1 << 16
 SLICE_ANCHORS = 1 << 17
 # An anchor in more blocks than this is split: each of its windows is sent by its own hash. That
 # moves some twenty times the bytes for such an anchor, so it is for those that would crowd a task.
@@ -83,7 +84,10 @@ class _Anchors:
             least = np.minimum(least[:len(least) - (wide - span)], least[wide - span:])
         at = (least & _LOW).astype(np.int64)
         first = places[:len(at)]
-        doc = np.searchsorted(self.edges, first, "right") - 1
+        # Places rise by one, so documents come in runs.
+        low, high = np.searchsorted(self.edges, [start, start + len(first) - 1], "right") - 1
+        ends = np.minimum(self.edges[low + 1:high + 2], start + len(first))
+        doc = np.repeat(np.arange(low, high + 1), np.diff(ends, prepend=start))
         whole = np.flatnonzero((first + self.length <= self.edges[doc + 1]) & known[doc])
         first, at, doc = first[whole], at[whole], doc[whole]
         new = np.ones(len(first), bool)
