@@ -73,7 +73,7 @@ class _Anchors:
         """Runs of windows from ``start`` on: first window, anchor, its hash, document and length."""
         end = min(len(self.data), start + CHUNK + self.length - 1)
         places = np.arange(start, end - self.gram + 1)
-        hashes = words.hashes(self.data, places, places + self.gram)
+        hashes = words.rolling(self.data[start:end], self.gram)
         # The hash's upper half, then the place: the first of equal grams counts.
         least = (hashes & ~_LOW) | np.arange(len(places), dtype=np.uint64)
         span, wide = 1, self.length - self.gram + 1
@@ -87,8 +87,10 @@ class _Anchors:
         # Places rise by one, so documents come in runs.
         low, high = np.searchsorted(self.edges, [start, start + len(first) - 1], "right") - 1
         ends = np.minimum(self.edges[low + 1:high + 2], start + len(first))
-        doc = np.repeat(np.arange(low, high + 1), np.diff(ends, prepend=start))
-        whole = np.flatnonzero((first + self.length <= self.edges[doc + 1]) & known[doc])
+        sizes = np.diff(ends, prepend=start)
+        doc = np.repeat(np.arange(low, high + 1), sizes)
+        last = np.where(known[low:high + 1], self.edges[low + 1:high + 2] - self.length, -1)
+        whole = np.flatnonzero(first <= np.repeat(last, sizes))
         first, at, doc = first[whole], at[whole], doc[whole]
         new = np.ones(len(first), bool)
         new[1:] = (at[1:] != at[:-1]) | (doc[1:] != doc[:-1])

@@ -13,7 +13,15 @@ import numpy as np
 
 def _named(keys: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
     """Order of rows of keys (the first is the most significant), and a dense rank from 1 of each row."""
-    order = np.lexsort(keys[::-1])
+    widths = [int(key.max()).bit_length() if len(key) else 0 for key in keys]
+    if sum(widths) < 64:
+        # Keys that fit into one whole number are sorted as one.
+        joined = np.zeros(len(keys[0]), np.int64)
+        for key, width in zip(keys, widths, strict=True):
+            joined = joined << width | key.astype(np.int64)
+        keys, order = (joined,), np.argsort(joined)
+    else:
+        order = np.lexsort(keys[::-1])
     new = np.zeros(len(order), bool)
     new[:1] = True
     for key in keys:

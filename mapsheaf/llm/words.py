@@ -52,6 +52,14 @@ def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
     return out
 
 
+def rolling(data: np.ndarray, size: int) -> np.ndarray:
+    """The hash of the ``size`` bytes from each place of ``data``, as ``hashes`` has it."""
+    prefix = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(len(data))[:len(data)], out=prefix[1:])
+    wide = prefix[size:] - prefix[:-size]
+    return mix(wide * powers(len(data), pow(_BASE, -1, 1 << 64))[:len(wide)] + np.uint64(size))
+
+
 def split(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The texts in a row with a blank after each; start, end and document of every word."""
     data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
