@@ -71,7 +71,8 @@ class RuleIndex:
                     named.setdefault(attribute, {}).update(dict.fromkeys(values))
                 if (left := _residual(rule)) and left not in self.residuals:
                     self.residuals.append(left)
-            self.named[type_] = {attribute: tuple(values) for attribute, values in sorted(named.items())}
+            self.named[type_] = {attribute: tuple(values) for attribute, values in named.items()}
+        self.attributes = sorted({attribute for named in self.named.values() for attribute in named})
 
     def _entry(self, rule: Rule) -> tuple:
         left = _residual(rule)
@@ -86,20 +87,24 @@ class RuleIndex:
             for values in product(*((*v, _OTHER, _MISSING) for v in named.values())):
                 met = [self._entry(rule) for rule in rules if _settled(rule, dict(zip(named, values, strict=True)))]
                 if met:
-                    rows.append((_SEPARATOR.join([type_, *map(_text, values)]), met))
+                    texts = dict(zip(named, map(_text, values), strict=True))
+                    rows.append((_SEPARATOR.join([type_, *(texts.get(a, "") for a in self.attributes)]), met))
         return spark.createDataFrame(rows, f"`@rule_key` string, `@candidates` {_HITS}")
 
+    def _part(self, attribute: str, value: Column) -> Column:
+        """What the key holds of one attribute: nothing for types whose rules do not ask for it."""
+        type_, value = F.col("type"), value.cast("string")
+        asking = {t: named[attribute] for t, named in self.named.items() if attribute in named}
+        known = [t + _SEPARATOR + _text(v) for t, values in asking.items() for v in values]
+        part = F.when(~type_.isin(*asking), "").when(value.isNull(), _MISSING)
+        if known:
+            part = part.when(F.concat(type_, F.lit(_SEPARATOR), value).isin(*known), value)
+        return part.otherwise(_OTHER)
+
     def key(self, attributes) -> Column:
         """The key of a feature; null for types without open rules."""
-        chosen = F
-        for type_, named in self.named.items():
-            parts = [
-                F.when(attributes(a).isNull(), _MISSING)
-                .when(attributes(a).isin(*values), attributes(a).cast("string")).otherwise(_OTHER)
-                if values else F.when(attributes(a).isNull(), _MISSING).otherwise(_OTHER)
-                for a, values in named.items()]
-            chosen = chosen.when(F.col("type") == type_, F.concat_ws(_SEPARATOR, F.lit(type_), *parts))
-        return chosen if self.named else F.lit(None).cast("string")
+        parts = [self._part(attribute, attributes(attribute)) for attribute in self.attributes]
+        return F.when(F.col("type").isin(*self.rules), F.concat_ws(_SEPARATOR, F.col("type"), *parts))
 
     def open(self, entry: Column) -> Column:
         """Whether the window of a listed rule is open; numeric zooms are settled in the index."""
