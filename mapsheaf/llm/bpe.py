@@ -267,6 +267,8 @@ def encode_decode(docs: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
                         None, _offsets(decoded), pa.py_buffer(np.concatenate(decoded))])],
                     ["doc_id", "ids", "decoded"])
                 start = end
+                # Workers are kept between tasks; what the tables of this batch held goes back to the system.
+                pa.default_memory_pool().release_unused()
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return narrow.mapInArrow(batches, "doc_id long, ids array<int>, decoded binary")
