@@ -4,6 +4,7 @@ from hashlib import sha256
 import numpy as np
 import pytest
 
+from mapsheaf.llm import suffixes, words
 from mapsheaf.llm.exact_spans import remove_repeated_bytes
 from mapsheaf.llm.queries import QUERIES
 from mapsheaf.llm.suffixes import prefix_classes, ranks
@@ -84,3 +85,23 @@ def test_classes_of_prefixes():
         kinds = {}
         assert all(kinds.setdefault(bytes(text[n:n + 100]), found[n]) == found[n] for n in starts)
         assert len(kinds) == len(set(found.tolist()))
+
+
+def test_rolling_hashes_are_those_of_the_words():
+    rng = np.random.default_rng(5)
+    for size, length in ((1, 1), (50, 50), (51, 50), (3000, 16), (200_000, 50)):
+        data = rng.integers(0, 256, size, np.uint8)
+        starts = np.arange(size - length + 1)
+        assert (words.rolling(data, length) == words.hashes(data, starts, starts + length)).all()
+
+
+def test_names_are_the_same_whether_or_not_keys_fit_one_number():
+    rng = np.random.default_rng(6)
+    keys = tuple(rng.integers(0, 5, 400) for _ in range(3))
+    wide = tuple(key << 40 for key in keys)
+    order, rank = suffixes._named(keys)
+    assert (rank == suffixes._named(wide)[1]).all()
+    rows = sorted(set(zip(*map(np.ndarray.tolist, keys), strict=True)))
+    assert [rows.index(row) + 1 for row in zip(*map(np.ndarray.tolist, keys), strict=True)] == rank.tolist()
+    assert (np.diff(rank[order]) >= 0).all()
+    assert suffixes._named((np.empty(0, np.int64),))[1].tolist() == []
