@@ -185,7 +185,7 @@ def _ask(block: int, payload: bytes, folds: int, held_out: int, slices: int) ->
     out = questions(block, own.slice, write)
     # The ends of the training texts, as a question of their own to slice -1.
     ends = pd.DataFrame({"slice": np.int32([-1]), "block": np.int64([block]),
-                         "question": [int(learned.sum()).to_bytes(8, "little")]})
+                         "question": [int(learned.sum()).to_bytes(8, "big")]})
     return pd.concat([out, ends])
 
 
@@ -221,7 +221,7 @@ def score(docs: DataFrame, pieces: list[bytes], start: np.ndarray, folds: int =
     learned = by_slice.applyInPandas(learn, "piece int, used double").groupBy("piece").agg(
         F.sum(F.round(F.col("used").cast("decimal(38,6)"), 6)).alias("used")).collect()
     used = {r.piece: float(r.used) for r in learned}
-    ends = asked.where("slice = -1").agg(F.sum(F.conv(F.hex(F.reverse("question")), 16, 10).cast("long"))).first()[0] or 0
+    ends = asked.where("slice = -1").agg(F.sum(F.conv(F.hex("question"), 16, 10).cast("long"))).first()[0] or 0
     train_tokens = int(used.pop(-1, 0)) + ends
     distinct = int(used.pop(-2, 0)) + (ends > 0)
     weights = PRIOR * np.exp(start)

@@ -84,3 +84,15 @@ def test_odd_rows(odd_docs, no_docs):
     assert len(rows) == odd_docs.count()
     assert all(math.isfinite(r.score) and math.isfinite(r.base_score) for r in rows)
     assert lattice.score(no_docs, PIECES, START).count() == 0
+
+
+def test_training_texts_are_counted_whatever_their_number(spark):
+    # The number of a block's training texts has bytes beyond 127.
+    for size, training in ((216, 195), (260, 236)):
+        rows = [(n, "the cat") for n in range(size)]
+        assert sum(crc32(str(n).encode()) % 10 != 0 for n, _ in rows) == training
+        docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+        found = lattice.score(docs, PIECES, START).collect()
+        tokens, known, total, score = brute_base(dict(rows))[0]
+        assert {(r.n_tokens, r.n_known, r.train_tokens) for r in found} == {(tokens, known, total)}
+        assert found[0].base_score == pytest.approx(score, rel=1e-9)
