@@ -4,7 +4,9 @@ The pieces and their scores come from an existing vocabulary; it is not trained
 word (lower-cased, with a blank before it) is a lattice of pieces. Its probability is the
 sum over every path, by a forward recursion in log space. The weights start from the
 vocabulary's scores; one forward-backward pass over all training words replaces them by
-expected counts, smoothed with the start. A text is its words and one end.
+expected counts, smoothed with the start. A word that occurs in training takes its share
+of the training words; what Witten and Bell leave for others (distinct words over all and
+distinct ones) is spread by the lattice over every word. A text is its words and one end.
 
 Beside it stands a word model with added tenths: log10((c + 0.1) / (N + 0.1 (V + 1))) of
 each word and the end.
@@ -222,18 +224,23 @@ def score(docs: DataFrame, pieces: list[bytes], start: np.ndarray, folds: int =
         F.sum(F.round(F.col("used").cast("decimal(38,6)"), 6)).alias("used")).collect()
     used = {r.piece: float(r.used) for r in learned}
     ends = asked.where("slice = -1").agg(F.sum(F.conv(F.hex("question"), 16, 10).cast("long"))).first()[0] or 0
-    train_tokens = int(used.pop(-1, 0)) + ends
-    distinct = int(used.pop(-2, 0)) + (ends > 0)
+    train_words, types = int(used.pop(-1, 0)), int(used.pop(-2, 0))
+    train_tokens, distinct = train_words + ends, types + (ends > 0)
     weights = PRIOR * np.exp(start)
     for piece, count in used.items():
         weights[piece] += count
     weights = np.log(weights / weights.sum())
     end_share = (ends + 1) / (train_tokens + 2)
+    fresh = max(types, 1)  # the lattice's weight against the words' counts
 
     def answer(frame: pd.DataFrame) -> pd.DataFrame:
         parts = [_read(q) for q in frame["question"]]
         total = _added_up(parts)
-        likely = dict(zip(total, Lattice(pieces, weights).log_probability([b" " + w for w in total]), strict=True))
+        cuts = Lattice(pieces, weights).log_probability([b" " + w for w in total])
+        with np.errstate(divide="ignore"):
+            seen = np.log(np.array(list(total.values()), np.float64))
+        mixed = np.logaddexp(seen, math.log(fresh) + cuts) - math.log(train_words + fresh)
+        likely = dict(zip(total, mixed, strict=True))
         return pd.DataFrame({"block": frame["block"], "slice": frame["slice"], "answer": [
             np.array([[total[w] for w in names], [likely[w] for w in names]]).tobytes() for names, _ in parts]})
 
