@@ -306,3 +306,13 @@ def test_geometry_that_is_empty_or_damaged(spark):
     assert {r.n: r.text for r in frame.collect()} == {
         0: '{"type":"Point","coordinates":[1.5,2]}', 1: '{"type":"Point","coordinates":[]}', 2: None, 3: None, 4: None,
         5: None, 6: '{"type":"LineString","coordinates":[[0,1],[2.25,3]]}', 7: None}
+
+
+def test_boxes_are_not_broadcast_by_their_size_before_they_have_cells(spark):
+    box = F.struct((F.col("id") / 10).alias("xmin"), (F.col("id") / 10 + 1).alias("xmax"),
+                   F.lit(1.0).alias("ymin"), F.lit(2.0).alias("ymax"))
+    frame = spark.range(100)
+    pairs = joins.box_join(frame.select("id", box.alias("bbox")), frame.select(F.col("id").alias("view_id"), box.alias("box")))
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert pairs.count() == sum(abs(a - b) <= 10 for a in range(100) for b in range(100))
