@@ -215,3 +215,15 @@ def test_layer_kind(spark):
     kinds = tags.geometry_layer_kind(frame.withColumn("type", F.lit("water"))).collect()
     assert [(k.layer, k.layer_kind) for k in kinds] == [
         ("water", "point"), ("water", "polygon"), ("water", "polygon"), ("water", "line")]
+
+
+def test_features_on_few_tiles_are_dealt_out_as_one_row(spark):
+    box = F.struct((F.col("id") / 100).alias("xmin"), (F.col("id") / 100 + 0.001).alias("xmax"),
+                   F.lit(1.0).alias("ymin"), F.lit(1.001).alias("ymax"))
+    frame = spark.range(0, 1000, 1, 3).select(F.col("id").cast("string").alias("id"), box.alias("bbox"))
+    wide = spark.range(1).select(F.lit("wide").alias("id"), F.struct(*(F.lit(v).alias(c) for c, v in (
+        ("xmin", 0.0), ("xmax", 90.0), ("ymin", 0.0), ("ymax", 40.0)))).alias("bbox"))
+    tiles = tiling.tile_assign(frame.union(wide), 5, 7).withColumn("part", F.spark_partition_id())
+    parts = tiles.groupBy("id").agg(F.count_distinct("part").alias("parts"))
+    assert max(r.parts for r in parts.where("id <> 'wide'").collect()) == 1
+    assert parts.where("id = 'wide'").first().parts > 1
