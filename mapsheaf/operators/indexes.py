@@ -40,13 +40,13 @@ def indexed_files(spark: SparkSession, index: str, ids: DataFrame, buckets: int
 
 
 def indexed_lookup(spark: SparkSession, root: str, index: str, ids: DataFrame,
-                   buckets: int = ID_BUCKETS, schema=None) -> DataFrame | None:
+                   buckets: int = ID_BUCKETS, schema=None, columns: list[str] | None = None) -> DataFrame | None:
     """``feature_lookup`` that reads only the files of a release in which the index finds the ids.
 
     The driver holds the names of those files, as any scan of them does; None if there are none.
     """
     found = scan_files(spark, root, [r.filename for r in indexed_files(spark, index, ids, buckets).collect()], schema)
-    return None if found is None else feature_lookup(found, ids)
+    return None if found is None else feature_lookup(found, ids, columns)
 
 
 def _words(text: Column) -> Column:

@@ -26,17 +26,20 @@ def _type_rank() -> Column:
     return F.when(place > 0, place).otherwise(len(LOOKUP_TYPE_ORDER) + 1)
 
 
-def feature_lookup(features: DataFrame, ids: DataFrame) -> DataFrame:
+def feature_lookup(features: DataFrame, ids: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """The feature of each id; where types share an id, the first in the fixed type order.
 
     Ids are made distinct before the join and hits reduced per id by a minimum, so
-    neither repeated requests nor repeated features pile up in one task.
+    neither repeated requests nor repeated features pile up in one task. Only the id, ``columns``
+    (all, if not given) and what ranks the hits are shuffled.
     """
     wanted = ids.select("id").distinct()
-    columns = [c for c in features.columns if c != "id"]
-    rank = F.struct(_type_rank().alias("rank"), F.col("bbox.xmin"), F.col("bbox.ymin"))
+    columns = [c for c in columns or features.columns if c != "id"]
+    rank = F.struct("_rank", "_west", "_south")
+    ranked = features.select("id", *columns, _type_rank().cast("tinyint").alias("_rank"),
+                             F.col("bbox.xmin").alias("_west"), F.col("bbox.ymin").alias("_south"))
     return (
-        features.join(wanted, "id")
+        ranked.join(wanted, "id")
         .groupBy("id").agg(F.min_by(F.struct(*columns), rank).alias("_found"))
         .select("id", "_found.*")
     )

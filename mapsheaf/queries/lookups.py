@@ -42,7 +42,7 @@ def feature_lookup(spark, sf_dir):
     rows = features(spark, sf_dir).select("id", "type", "subtype", "bbox")
     copies = features(spark, sf_dir, "transportation", "base").select(
         "id", F.lit("division_area").alias("type"), F.lit("copy").alias("subtype"), "bbox")
-    found = op.feature_lookup(rows.unionByName(copies), requested_ids(spark, sf_dir))
+    found = op.feature_lookup(rows.unionByName(copies), requested_ids(spark, sf_dir), ["type", "subtype"])
     return found.select("id", "type", "subtype")
 
 
@@ -64,7 +64,8 @@ def _index(spark, sf_dir, name, write):
 def feature_lookup_indexed(spark, sf_dir):
     root = release_root(spark, sf_dir)
     index = _index(spark, sf_dir, "ids", lambda out: indexes.write_id_index(scan_release(spark, root), out))
-    return indexes.indexed_lookup(spark, root, index, requested_ids(spark, sf_dir)).select("id", "type", "subtype")
+    return indexes.indexed_lookup(
+        spark, root, index, requested_ids(spark, sf_dir), columns=["type", "subtype"]).select("id", "type", "subtype")
 
 
 # A link per order: with and without position, layers, mode and a feature that exists.

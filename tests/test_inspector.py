@@ -296,3 +296,17 @@ def test_property_walk_goes_to_the_end(spark):
     for r in sorted(inspector.property_walk(frame).collect(), key=lambda r: (r.id, r.position)):
         found.setdefault(r.id, []).append((r.path, r.text))
     assert found == {n: listed for n, v in enumerate([*values, values[1]]) if (listed := list(leaves(v)))}
+
+
+def test_feature_lookup_shuffles_only_the_columns_asked_for(spark):
+    box = "struct<xmin:double,xmax:double,ymin:double,ymax:double>"
+    features = spark.createDataFrame(
+        [("a", "division_area", "s", "long text", (2.0, 3.0, 1.0, 2.0)), ("a", "division_area", "t", "long text", (1.0, 3.0, 1.0, 2.0)),
+         ("b", "place", None, "long text", (1.0, 1.0, 1.0, 1.0))], f"id string, type string, subtype string, names string, bbox {box}")
+    ids = spark.createDataFrame([("a",), ("b",), ("a",), (None,)], "id string")
+    found = lookup.feature_lookup(features, ids, ["type", "subtype"])
+    assert {tuple(r) for r in found.collect()} == {("a", "division_area", "t"), ("b", "place", None)}
+    assert found.columns == ["id", "type", "subtype"]
+    assert lookup.feature_lookup(features, ids).columns == features.columns
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "names" not in plan.split("LogicalRDD")[0]
