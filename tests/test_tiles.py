@@ -227,3 +227,19 @@ def test_features_on_few_tiles_are_dealt_out_as_one_row(spark):
     parts = tiles.groupBy("id").agg(F.count_distinct("part").alias("parts"))
     assert max(r.parts for r in parts.where("id <> 'wide'").collect()) == 1
     assert parts.where("id = 'wide'").first().parts > 1
+
+
+@pytest.mark.parametrize("depth", [0, 2, 5])
+def test_tiles_by_place_are_the_same_and_none_is_shuffled(spark, depth, capsys):
+    boxes = [("world", (-180.0, 180.0, -90.0, 90.0)), ("crosses", (179.0, -179.0, 10.0, 12.0)), ("half", (10.0, -10.0, -5.0, 5.0)),
+             ("point", (10.0, 10.0, 10.0, 10.0)), ("wide", (-100.0, -97.0, 30.0, 40.0)), (None, (0.0, 0.1, 0.0, 0.1))]
+    frame = boxed(spark, boxes).withColumn("min_zoom", F.when(F.col("id") == "wide", 3))
+    wanted = Counter(tuple(r) for r in tiling.tile_assign(frame, 1, 8).select("id", "z", "x", "y").collect())
+    found = tiling.tile_assign(frame, 1, 8, by_place=depth)
+    assert found.columns == tiling.tile_assign(frame, 1, 8).columns
+    assert Counter(tuple(r) for r in found.select("id", "z", "x", "y").collect()) == wanted
+    found.explain()
+    plan = capsys.readouterr().out.splitlines()
+    # Tiles are the outermost rows: they come of exploding what was shuffled and sorted.
+    tiles = next(n for n, line in enumerate(plan) if "Generate explode" in line and "[y#" in line)
+    assert not any("Exchange" in line or "Sort" in line for line in plan[:tiles])

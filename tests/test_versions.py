@@ -143,3 +143,21 @@ def test_files_with_features_across_180_degrees(spark, tmp_path):
     views = spark.createDataFrame([(1, (179.2, 179.4, -20.0, 0.0)), (2, (-179.4, -179.2, -20.0, 0.0)), (3, (50.0, 60.0, -20.0, 0.0))], f"view_id int, box {BOX}")
     found = catalog.extract_views(spark, catalog.file_manifest(whole, f"{tmp_path}/r"), f"{tmp_path}/r", views)
     assert sorted((r.view_id, r.id) for r in found.collect()) == [(1, "fiji"), (2, "fiji")]
+
+
+def test_arranged_tiles_are_written_and_kept_without_a_shuffle(spark, tmp_path, monkeypatch):
+    out = str(tmp_path / "tiles")
+
+    def placed(rows):
+        return tile_assign(rows, 0, 6, by_place=2).select("type", "id", "name", "z", "x", "y")
+
+    plans, write = [], versions.write_in_order
+    monkeypatch.setattr(versions, "write_in_order", lambda df, *rest: (
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString()), write(df, *rest)))
+    old = features(spark, *OLD)
+    new = features(spark, ("land", "a", "A2", -100.0, 40.0), OLD[1], OLD[3], OLD[4], ("land", "d", "D", -101.0, 41.0))
+    assert versions.build_tiles(spark, out, "base", old, placed, 2, arranged=True) == 0
+    assert versions.update_tiles(spark, out, "base", old, new, placed, arranged=True) == 1
+    assert stored(spark, out) == full(new)
+    # Features are dealt out once, before they have tiles, and stored tiles stay where they are.
+    assert [plan.count("Repartition") for plan in plans] == [1, 1]
