@@ -86,10 +86,12 @@ def similar_words(grams: DataFrame, words: DataFrame, errors: int) -> DataFrame:
     """``asked, word, carried, errors``: the indexed words at most so many edits from each of ``words`` (``asked``).
 
     An edit changes three trigrams at most, so words that near share all but ``3 * errors`` of the
-    asked word's; of a word of two letters and one edit, still the one at its start or end.
+    asked word's; of a word of two letters and one edit, still the one at its start or end. An edit changes
+    the length by one at most.
     """
     asked = words.select("asked", F.explode(_grams(F.col("asked"))).alias("gram"), F.size(_grams(F.col("asked"))).alias("own"))
-    near = grams.join(asked, "gram").groupBy("asked", "word", "carried", "own").agg(F.count("*").alias("shared"))
+    alike = F.abs(F.length("asked") - F.length("word")) <= errors
+    near = grams.join(asked, "gram").where(alike).groupBy("asked", "word", "carried", "own").agg(F.count("*").alias("shared"))
     distance = F.levenshtein("asked", "word", errors)
     return near.where(F.col("shared") >= F.col("own") - 3 * errors).withColumn("errors", distance).where(
         F.col("errors") >= 0).select("asked", "word", "carried", "errors")
@@ -101,8 +103,9 @@ def indexed_search(spark: SparkSession, index: str, queries: DataFrame, errors:
 
     ``queries`` has ``query_id`` and ``text``. Every word of a query must be like some word of the name,
     wherever that stands. Fewest wrong letters come first, then names and ids in order. Words of one letter
-    are taken as they are. A query of one word needs only the leaders of the words like it; of several, the
-    postings of the word that fewest names carry are read, and the other words compared.
+    are taken as they are. A query of one word needs only the leaders of the words like it. For several, the
+    distinct names that hold a word like the one fewest names carry are compared with the other words,
+    and only of the best names the first features are looked up.
     """
     grams, postings, leaders = (spark.read.parquet(f"{index}/{t}") for t in ("grams", "postings", "leaders"))
     texts = queries.where(F.length("text") >= SHORTEST_QUERY).select("text").distinct().withColumn("asked_words", _words(F.col("text")))
@@ -116,9 +119,7 @@ def indexed_search(spark: SparkSession, index: str, queries: DataFrame, errors:
         F.min_by("asked", F.struct("carried", "asked")).alias("asked"), F.count("*").alias("known"))
     lead = lead.where(F.col("known") == F.size("asked_words")).join(near.drop("carried"), "asked")
     single = F.size("asked_words") == 1
-    carried = ["word", "id", "theme", "type", "subtype", "name", "words"]
-    hits = lead.where(single).join(leaders.select(carried), "word").unionByName(
-        lead.where(~single).join(postings.select(carried), "word"))
+    feature = ["id", "theme", "type", "subtype", "name"]
 
     def fewest(asked: Column) -> Column:
         """Wrong letters of the word of the name most like it; null if none is like it."""
@@ -126,9 +127,25 @@ def indexed_search(spark: SparkSession, index: str, queries: DataFrame, errors:
         return F.array_min(F.filter(
             F.transform("words", lambda word: F.levenshtein(asked, word)), lambda n: n <= allowed))
 
-    hits = hits.withColumn("each", F.transform("asked_words", fewest)).where(~F.exists("each", F.isnull)).withColumn(
-        "errors", F.aggregate("each", F.lit(0), lambda total, n: total + n))
-    features = hits.groupBy("text", "id", "theme", "type", "subtype", "name").agg(F.min("errors").alias("errors"))
+    def judged(hits: DataFrame) -> DataFrame:
+        return hits.withColumn("each", F.transform("asked_words", fewest)).where(~F.exists("each", F.isnull)).withColumn(
+            "errors", F.aggregate("each", F.lit(0), lambda total, n: total + n))
+
+    first = judged(lead.where(single).join(leaders.select("word", "words", *feature), "word")).select("text", *feature, "errors")
+
+    # A name that many features carry is compared once; the best features carry the best names.
+    several = lead.where(~single)
+    names = postings.join(several.select("word").distinct(), "word", "left_semi").select("word", "name", "words").distinct()
+    named = judged(several.join(names, "word")).groupBy("text", "name").agg(
+        F.min("errors").alias("errors"), F.min("word").alias("word"))
+    leading = Window.partitionBy("text").orderBy("errors", F.lower("name"), "name")
+    named = named.withColumn("place", F.row_number().over(leading)).where(F.col("place") <= results).drop("place")
+    carriers = postings.join(named.select("word", "name").distinct(), ["word", "name"], "left_semi").select(feature).distinct()
+    by_id = Window.partitionBy("name").orderBy("id")
+    carriers = carriers.withColumn("place", F.row_number().over(by_id)).where(F.col("place") <= results).drop("place")
+    others = named.join(carriers, "name").select("text", *feature, "errors")
+
+    features = first.unionByName(others).groupBy("text", *feature).agg(F.min("errors").alias("errors"))
     best = Window.partitionBy("text").orderBy("errors", F.lower("name"), "name", "id")
     found = features.withColumn("position", F.row_number().over(best)).where(F.col("position") <= results)
     return queries.select("query_id", "text").join(found, "text")
