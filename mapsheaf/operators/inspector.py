@@ -9,7 +9,6 @@ from mapsheaf.functions import text as t
 from mapsheaf.functions.style import interpolate
 from mapsheaf.model import THEME_TYPES
 from mapsheaf.operators.tags import _tag_columns
-from mapsheaf.session import reliable_checkpoint
 
 # Title without a name, longest list shown in line, record pages.
 DEFAULT_TITLE = "Inspector Panel"
@@ -213,65 +212,75 @@ WALK_ROUNDS = 1_000
 TREE_DEPTH = 8
 
 
-def property_tree(df: DataFrame, key: str = "key", value: str = "value", depth: int = TREE_DEPTH) -> DataFrame:
-    """Nested property texts down to their plain values, one row each in the order of the text.
+# An entry of a nested text: where it stands, what it is, and whether it may hold entries of its own.
+_ENTRIES = "array<struct<path:array<string>,text:string,open:boolean>>"
 
-    ``path`` joins the members and list positions that lead to ``text`` by dots; it is null
-    for a text that is not nested. Members that are null, the text "null" or empty are left out.
-    """
-    entry = "struct<path:array<string>,text:string>"
 
-    def below(parent: Column) -> Column:
-        members = F.from_json(parent["text"], "map<string,string>")
-        items = F.from_json(parent["text"], "array<string>")
+def _opens(text: str) -> str:
+    """Whether a text may be an object or a list, by its first character."""
+    return rf"coalesce(left(trim(LEADING ' \t\n\u000B\u000C\r' FROM {text}), 1) IN ('\u007B', '['), false)"
 
-        def at(name: Column, text: Column) -> Column:
-            return F.struct(F.concat(parent["path"], F.array(name)).alias("path"), text.alias("text"))
 
-        return (
-            F.when(parent["text"].rlike(r"^\s*\{") & (F.size(members) > 0), F.transform(
-                F.map_entries(members), lambda member: at(member["key"], member["value"])))
-            .when(parent["text"].rlike(r"^\s*\[") & (F.size(items) > 0), F.transform(
-                items, lambda item, n: at(n.cast("string"), item)))
-            .otherwise(F.array(parent)))
+def _entry(name: str, text: str) -> str:
+    return f"named_struct('path', concat(p.path, array({name})), 'text', {text}, 'open', {_opens(text)})"
 
-    rows = df.withColumn("_rows", F.array(F.struct(
-        F.array().cast("array<string>").alias("path"), F.col(value).alias("text"))).cast(f"array<{entry}>"))
-    for _ in range(depth):
-        rows = rows.withColumn("_rows", F.flatten(F.transform("_rows", below)))
+
+# A level of entries opened; each is parsed once. What cannot be opened is closed.
+_BELOW = f"""CAST(flatten(transform(_rows, p -> CASE WHEN p.open THEN coalesce(
+  CASE WHEN p.text RLIKE '^\\\\s*\\\\x7B' THEN transform(array(from_json(p.text, 'map<string,string>')), m ->
+    CASE WHEN size(m) > 0 THEN transform(map_entries(m), e -> {_entry("e.key", "e.value")}) END)[0]
+  ELSE transform(array(from_json(p.text, 'array<string>')), m ->
+    CASE WHEN size(m) > 0 THEN transform(m, (item, n) -> {_entry("CAST(n AS string)", "item")}) END)[0] END,
+  array(named_struct('path', p.path, 'text', p.text, 'open', false))) ELSE array(p) END)) AS {_ENTRIES})"""
+_SOME_OPEN = "exists(_rows, p -> p.open)"
+
+
+def _entries(df: DataFrame, value: str) -> DataFrame:
+    """``df`` with ``_rows`` in place of a text: the text itself as the only entry."""
+    first = f"CAST(array(named_struct('path', array(), 'text', `{value}`, 'open', {_opens(f'`{value}`')})) AS {_ENTRIES})"
+    return df.select(*(F.col(f"`{c}`") for c in df.columns if c != value), F.expr(first).alias("_rows"))
+
+
+def _listed(rows: DataFrame) -> DataFrame:
+    """A row for each entry that is neither null, the text "null" nor empty."""
     shown = F.filter("_rows", lambda row: row["text"].isNotNull() & ~row["text"].rlike(
         r"^\s*(null|\[\s*\]|\{\s*\})\s*$"))
-    keep = [c for c in df.columns if c != value]
+    keep = [F.col(f"`{c}`") for c in rows.columns if c != "_rows"]
     return rows.select(*keep, F.posexplode(shown).alias("position", "row")).select(
         *keep, "position", F.when(F.size("row.path") > 0, F.array_join("row.path", ".")).alias("path"), "row.text")
 
 
+def property_tree(df: DataFrame, key: str = "key", value: str = "value", depth: int = TREE_DEPTH) -> DataFrame:
+    """Nested property texts down to their plain values, one row each in the order of the text.
+
+    ``path`` joins the members and list positions that lead to ``text`` by dots; it is null
+    for a text that is not nested. Members that are null, the text "null" or empty are left out.
+    """
+    rows = _entries(df, value)
+    for _ in range(depth):
+        # Most are done after a few levels and only looked at from then on.
+        rows = rows.withColumn("_rows", F.expr(f"CASE WHEN {_SOME_OPEN} THEN {_BELOW} ELSE _rows END"))
+    return _listed(rows)
+
+
 def property_walk(df: DataFrame, key: str = "key", value: str = "value") -> DataFrame:
     """``property_tree`` by a recursive query, which goes on until no nested value is left.
 
-    Rows are written down first, as their numbers hold parts and order together. Text nested more than
-    ``WALK_ROUNDS`` deep is an error. Spark's limit of a recursion's rows, a million, is lifted for the session.
+    A row of the recursion is a whole text with its entries so far, so these need no numbers to be put
+    together again. Text nested more than ``WALK_ROUNDS`` deep is an error. Spark's limit of a
+    recursion's rows, a million, is lifted for the session.
     """
     df.sparkSession.conf.set("spark.sql.cteRecursionRowLimit", -1)
-    start = reliable_checkpoint(df.withColumn("_row", F.monotonically_increasing_id()))
-    children = r"""CASE WHEN text RLIKE '^\\s*\\x7B' THEN map_entries(from_json(text, 'map<string,string>'))
-      WHEN text RLIKE '^\\s*\\[' THEN transform(from_json(text, 'array<string>'),
-        (item, n) -> named_struct('key', CAST(n AS string), 'value', item)) END"""
-    found = df.sparkSession.sql(f"""
-      WITH RECURSIVE walk(_row, place, path, text) MAX RECURSION LEVEL {WALK_ROUNDS} AS (
-        SELECT _row, CAST(array() AS array<int>), CAST(array() AS array<string>), `{value}` FROM {{start}}
+    start = _entries(df, value)
+    keep = ", ".join(f"`{c}`" for c in start.columns if c != "_rows")
+    walked = df.sparkSession.sql(f"""
+      WITH RECURSIVE walk({keep}, _rows) MAX RECURSION LEVEL {WALK_ROUNDS} AS (
+        SELECT {keep}, _rows FROM {{start}} WHERE {_SOME_OPEN}
         UNION ALL
-        SELECT _row, concat(place, array(n)), concat(path, array(child.key)), child.value
-        FROM walk LATERAL VIEW posexplode({children}) AS n, child)
-      SELECT _row, place, path, text FROM walk
-      WHERE text IS NOT NULL AND coalesce(size({children}), 0) <= 0""", start=start)
-    shown = found.where(~F.col("text").rlike(r"^\s*(null|\[\s*\]|\{\s*\})\s*$"))
-    # The parts of one property value, never more than its text holds.
-    within = Window.partitionBy("_row").orderBy("place")
-    parts = shown.select(
-        "_row", (F.row_number().over(within) - 1).alias("position"),
-        F.when(F.size("path") > 0, F.array_join("path", ".")).alias("path"), "text")
-    return start.drop(value).join(parts, "_row").drop("_row")
+        SELECT {keep}, {_BELOW} FROM walk WHERE {_SOME_OPEN})
+      SELECT {keep}, _rows FROM walk WHERE NOT {_SOME_OPEN}""", start=start)
+    # Texts that are not nested take no part in the recursion.
+    return _listed(walked).union(_listed(start.where(f"NOT {_SOME_OPEN}")))
 
 
 def url_flags(df: DataFrame, value: str = "value", values: str | None = None) -> DataFrame:

@@ -310,3 +310,14 @@ def test_feature_lookup_shuffles_only_the_columns_asked_for(spark):
     assert lookup.feature_lookup(features, ids).columns == features.columns
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "names" not in plan.split("LogicalRDD")[0]
+
+
+def test_property_walk_opens_nested_texts_without_a_shuffle_of_its_own(spark):
+    frame = spark.createDataFrame([(1, "k", ' \n{"a": [1, {"b": "[x"}], "c": null}'), (2, "k", "plain"), (3, "k", "{no"), (4, "k", "[]"),
+                                   (5, "k", None), (2, "k", "plain")], "id int, key string, value string")
+    wanted = [(1, "k", 0, "a.0", "1"), (1, "k", 1, "a.1.b", "[x"), (2, "k", 0, None, "plain"), (2, "k", 0, None, "plain"), (3, "k", 0, None, "{no")]
+    for run in (inspector.property_tree, inspector.property_walk):
+        found = run(frame)
+        assert sorted(map(tuple, found.collect()), key=repr) == sorted(wanted, key=repr)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert "Window" not in plan and "Join" not in plan
