@@ -14,7 +14,7 @@ from mapsheaf.operators import views as view_op
 from mapsheaf.queries.filters import REGION
 from mapsheaf.queries.fixture import VIEW_SQL, features, sql, table, views
 from mapsheaf.queries.registry import query
-from mapsheaf.session import new_dir
+from mapsheaf.session import new_dir, write_in_order
 from mapsheaf.sources import catalog as op
 from mapsheaf.sources import export, footers, geojson, release
 from mapsheaf.streaming import releases as stream
@@ -40,7 +40,8 @@ def release_root(spark, sf_dir: str) -> str:
         for theme, columns in RELEASE_COLUMNS.items():
             frame = features(spark, sf_dir, theme).select(
                 "type", "id", "key", "geom_type", "bbox", "sources", "version", *columns)
-            frame.write.partitionBy("type").parquet(f"{root}/theme={theme}")
+            # A theme has few types, so rows go to their folders as they come, without being sorted by type.
+            write_in_order(frame, f"{root}/theme={theme}", "type")
         _written[known] = root
     return _written[known]
 

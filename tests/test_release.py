@@ -115,3 +115,17 @@ def test_unreadable_paths_are_not_known(tmp_path):
     (tmp_path / "x.parquet").write_bytes(b"PAR1")
     assert [footers._read(p)["known"] for p in (f"file:{tmp_path}/x.parquet", "viewfs://store/x.parquet", f"file:{tmp_path}/no")] == [
         False, False, False]
+
+
+def test_rows_go_to_folders_in_their_order_and_unsorted(spark, tmp_path):
+    from mapsheaf.session import write_in_order
+
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    frame = spark.range(1000, numPartitions=2).selectExpr("id % 3 AS folder", "1000 - id AS n")
+    write_in_order(frame, str(tmp_path / "out"), "folder")
+    assert spark.conf.get(name) == before
+    for folder in range(3):
+        files = sorted((tmp_path / "out" / f"folder={folder}").glob("*.parquet"))
+        held = [r.n for file in files for r in spark.read.parquet(str(file)).collect()]
+        assert held == [1000 - i for i in range(1000) if i % 3 == folder]
