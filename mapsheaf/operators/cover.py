@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mapsheaf.functions.shapes import AREA, Paths, decode, extents, to_world
-from mapsheaf.operators.tiling import ROW_TILES, zoom_bounds
+from mapsheaf.operators.tiling import ROW_TILES, many_tiles, zoom_bounds
 from mapsheaf.session import ship_package
 
 # Tile rows of one output batch, about.
@@ -121,64 +121,103 @@ def cover(paths: Paths, zoom: int, wrapped: np.ndarray) -> tuple[np.ndarray, np.
     return key // tiles, key % tiles, low, ends
 
 
+def _extremes(paths: Paths, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Western, eastern, northern and southern side of the features whose paths begin at ``first``."""
+    at = paths.first[first]
+    return (np.minimum.reduceat(paths.x, at), np.maximum.reduceat(paths.x, at),
+            np.minimum.reduceat(paths.y, at), np.maximum.reduceat(paths.y, at))
+
+
+def _tile_runs(paths: Paths, first: np.ndarray, last: np.ndarray, wrapped: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """``owner, z, y, x0, x1`` by owner, for some features at a time: about ``BATCH_ROWS`` tile rows.
+
+    A shape with all its positions on one tile is on no other; only what spans several is followed.
+    """
+    of = np.searchsorted(paths.owner, np.arange(len(first) + 1))
+    shown = np.flatnonzero(np.diff(of))
+    if not len(shown):
+        return
+    west, east, north, south = _extremes(paths, of[shown])
+    first, last = first[shown], last[shown]
+    work = np.cumsum((south - north) * (2.0 ** (last + 1) - 2.0 ** first) + last - first + 1)
+    begin = 0
+    while begin < len(shown):
+        done = work[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(work, done + BATCH_ROWS, "right")))
+        some, here = slice(begin, end), shown[begin:end]
+        a, b = of[here[0]], of[here[-1] + 1]
+        found = []
+        for zoom in range(int(first[some].min()), int(last[some].max()) + 1):
+            tiles = 1 << zoom
+            active = (first[some] <= zoom) & (zoom <= last[some])
+            column, row = np.floor(west[some] * tiles), np.floor(north[some] * tiles)
+            single = (column == np.floor(east[some] * tiles)) & (row == np.floor(south[some] * tiles)) & ~wrapped[here]
+            alone = active & single
+            column, row = (np.clip(v[alone], 0, tiles - 1).astype(np.int64) for v in (column, row))
+            found.append((here[alone], np.full(len(row), zoom), row, column, column))
+            follow = np.zeros(len(wrapped), bool)
+            follow[here[active & ~single]] = True
+            use = follow[paths.owner[a:b]]
+            if use.any():
+                sizes = np.diff(paths.first[a:b + 1])
+                points = np.repeat(use, sizes)
+                owner, y, x0, x1 = cover(Paths(
+                    paths.owner[a:b][use], paths.kind[a:b][use], paths.hole[a:b][use],
+                    np.concatenate([[0], np.cumsum(sizes[use])]),
+                    paths.x[paths.first[a]:paths.first[b]][points], paths.y[paths.first[a]:paths.first[b]][points]), zoom, wrapped)
+                found.append((owner, np.full(len(y), zoom), y, x0, x1))
+        begin = end
+        values = [np.concatenate(part) for part in zip(*found, strict=True)]
+        if len(values[0]):
+            order = np.argsort(values[0], kind="stable")
+            yield tuple(v[order] for v in values)
+
+
 def tile_cover(df: DataFrame, zmin: int = 0, zmax: int = 14, geometry: str = "geometry") -> DataFrame:
     """One row per feature and tile its shape meets, between its first and last zoom.
 
-    Each feature becomes rows of neighbouring tiles first, at most ``ROW_TILES`` in each; these
-    are dealt out to all tasks and only there expanded. Shapes are taken in Mercator, straight
+    Features are dealt out to all tasks. Each becomes rows that hold runs of neighbouring tiles; those of a
+    feature whose box is on ``ROW_TILES`` tiles at most are expanded where they are. Runs of others
+    are dealt out again, at most ``ROW_TILES`` tiles in each, and only there expanded. Shapes are taken in Mercator, straight
     between their positions. Features whose box has west beyond east cross 180
     degrees. A feature without a readable shape is on no tile.
     """
     ship_package(df.sparkSession)
     bounded = zoom_bounds(df, zmin, zmax).withColumn("_wrapped", F.coalesce(F.col("bbox.xmin") > F.col("bbox.xmax"), F.lit(False)))
     kept = [c for c in df.columns if c != geometry]
-    spans = T.StructType([*bounded.select(kept).schema.fields, T.StructField("z", T.IntegerType()),
-                          T.StructField("y", T.IntegerType()), T.StructField("_x0", T.IntegerType()),
-                          T.StructField("_x1", T.IntegerType())])
+    run = T.StructType([T.StructField(c, T.IntegerType()) for c in ("z", "y", "_x0", "_x1")])
+    listed = T.StructType([*bounded.select(kept).schema.fields, T.StructField("_runs", T.ArrayType(run))])
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            rows = part.num_rows
             paths = to_world(decode(part.column(part.schema.get_field_index("_shape"))))
             wrapped = np.asarray(part.column(part.schema.get_field_index("_wrapped")))
             first, last = (part.column(part.schema.get_field_index(c)).to_numpy() for c in ("_first", "_last"))
-            of = np.searchsorted(paths.owner, np.arange(rows + 1))
-            heights = np.zeros(rows)
-            if len(paths.owner):
-                point = paths.owner[np.repeat(np.arange(len(paths.owner)), np.diff(paths.first))]
-                low, high = np.full(rows, 1.0), np.zeros(rows)
-                np.minimum.at(low, point, paths.y)
-                np.maximum.at(high, point, paths.y)
-                heights = np.maximum(high - low, 0)
-            for zoom in range(int(first.min()) if rows else 0, int(last.max()) + 1 if rows else 0):
-                # Some features at a time: as many as have about BATCH_ROWS tile rows here.
-                work = np.cumsum(np.where((first <= zoom) & (zoom <= last), heights * (1 << zoom) + 1, 0))
-                begin = 0
-                while begin < rows:
-                    done = work[begin - 1] if begin else 0
-                    end = max(begin + 1, int(np.searchsorted(work, done + BATCH_ROWS, "right")))
-                    a, b = of[begin], of[end]
-                    use = (first[paths.owner[a:b]] <= zoom) & (zoom <= last[paths.owner[a:b]])
-                    sizes = np.diff(paths.first[a:b + 1])
-                    points = np.repeat(use, sizes)
-                    some = Paths(
-                        paths.owner[a:b][use], paths.kind[a:b][use], paths.hole[a:b][use],
-                        np.concatenate([[0], np.cumsum(sizes[use])]),
-                        paths.x[paths.first[a]:paths.first[b]][points], paths.y[paths.first[a]:paths.first[b]][points])
-                    owner, y, x0, x1 = cover(some, zoom, wrapped)
-                    begin = end
-                    if len(owner):
-                        own = part.select(kept).take(pa.array(owner))
-                        yield pa.RecordBatch.from_arrays(
-                            [*own.columns, *(pa.array(v.astype(np.int32)) for v in (np.full(len(y), zoom), y, x0, x1))],
-                            [*kept, "z", "y", "_x0", "_x1"])
-
-    found = bounded.select(
-        *kept, F.col(geometry).alias("_shape"), "_first", "_last", "_wrapped").mapInArrow(batches, spans)
+            for owner, *values in _tile_runs(paths, first, last, wrapped):
+                # A row for each feature, or for each ROW_TILES of its runs.
+                place = np.arange(len(owner)) - np.searchsorted(owner, owner)
+                begins = np.flatnonzero(place % ROW_TILES == 0)
+                runs = pa.StructArray.from_arrays([pa.array(v.astype(np.int32)) for v in values], run.names)
+                offsets = pa.array(np.append(begins, len(owner)).astype(np.int32))
+                own = part.select(kept).take(pa.array(owner[begins]))
+                yield pa.RecordBatch.from_arrays(
+                    [*own.columns, pa.ListArray.from_arrays(offsets, runs)], [*kept, "_runs"])
+
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (
-        found.withColumn("_xa", F.explode(F.sequence("_x0", "_x1", F.lit(ROW_TILES))))
+
+    def found(features: DataFrame) -> DataFrame:
+        # The box beside the id, so that features with one id, or none, are not dealt to one task.
+        dealt = features.repartition(parts, "id", "bbox.xmin", "bbox.ymin")
+        return dealt.select(*kept, F.col(geometry).alias("_shape"), "_first", "_last", "_wrapped").mapInArrow(
+            batches, listed).select(*kept, F.inline("_runs"))
+
+    many = many_tiles(ROW_TILES)
+    near = found(bounded.where(~many)).withColumn("x", F.explode(F.sequence("_x0", "_x1")))
+    far = (
+        found(bounded.where(many))
+        .withColumn("_xa", F.explode(F.sequence("_x0", "_x1", F.lit(ROW_TILES))))
         .repartition(parts, "id", "z", "y", "_xa")
         .withColumn("x", F.explode(F.sequence("_xa", F.least(F.col("_x1"), F.col("_xa") + ROW_TILES - 1))))
-        .drop("_x0", "_x1", "_xa")
+        .drop("_xa")
     )
+    return near.unionByName(far).drop("_x0", "_x1")

@@ -152,3 +152,43 @@ def test_thin_areas_are_judged_by_their_area(spark):
     assert {r.id for r in tags.min_pixel_filter(sized, 1).collect()} == {"line", "lost"}
     assert {r.id for r in tags.min_pixel_filter(sized.drop("extent"), 1).collect()} == {"thin", "holed", "line", "lost"}
     assert {r.id for r in tags.min_pixel_filter(sized, 9).collect()} == {"thin", "holed", "line", "lost"}
+
+
+def test_few_tiles_are_not_shuffled(spark, capsys):
+    ring = wkb(3, [[(-170, -80), (170, -80), (170, 80), (-170, 80), (-170, -80)]])
+    rows = [("ring", ring, (-170.0, 170.0, -80.0, 80.0), 8, 8, "Polygon", 0),
+            (None, wkb(2, [(0, 0), (3, 2)]), (0.0, 3.0, 0.0, 2.0), 0, 8, "LineString", 0),
+            ("twice", wkb(1, [(10, 10)]), None, 0, 8, "Point", 0), ("twice", wkb(1, [(10, 10)]), None, 0, 8, "Point", 0)]
+    tiles = cover.tile_cover(frame(spark, rows), 0, 8)
+    tiles.explain()
+    # Plans are printed from the top: runs of most features are expanded where they are made.
+    top = capsys.readouterr().out.split("MapInArrow")[0]
+    assert "inline" in top and "Exchange" not in top
+    found = [(r.id, r.z, r.x, r.y) for r in tiles.collect()]
+    assert sum(f[0] == "twice" for f in found) == 18 and len(set(found)) == len(found) - 9
+    assert sum(f[0] == "ring" for f in found) > cover.ROW_TILES
+
+
+def test_runs_of_all_zooms_equal_each_zooms_cover(monkeypatch):
+    rng = random.Random(5)
+    shapes = [None, wkb(1, [(180, 10)]), wkb(2, [(179, 10), (-179, 10)])]
+    for size in (1e-4, 0.3, 20):
+        for _ in range(20):
+            x, y = rng.uniform(-150, 150), rng.uniform(-60, 60)
+            shapes += [wkb(3, [star(rng, x, y, size, 6)]), wkb(2, star(rng, x, y, size, 5)), wkb(1, [(x, y)])]
+    paths = to_world(decode(pa.array(shapes, pa.binary())))
+    first = np.array([rng.randrange(4) for _ in shapes])
+    last = first + np.array([rng.randrange(8) for _ in shapes])
+    wrapped = np.array([n == 2 for n in range(len(shapes))])
+    want = set()
+    for zoom in range(12):
+        for owner, y, x0, x1 in zip(*cover.cover(paths, zoom, wrapped), strict=True):
+            if first[owner] <= zoom <= last[owner]:
+                want.add((owner, zoom, y, x0, x1))
+    for batch in (1, 500, 1 << 17):
+        monkeypatch.setattr(cover, "BATCH_ROWS", batch)
+        parts = list(cover._tile_runs(paths, first, last, wrapped))
+        got = [row for part in parts for row in zip(*part, strict=True)]
+        assert len(got) == len(set(got)) and set(got) == want
+        # All runs of a feature are in one part.
+        assert sum(len(set(part[0])) for part in parts) == len({row[0] for row in want})
