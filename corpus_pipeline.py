@@ -10,6 +10,7 @@
 Every stage is written as Parquet and read again by the next. All but the last return the
 columns of ``documents``. Null, empty and blank texts go in the first stage. Near-duplicates
 are judged row by row, also without ``doc_id``; rows that share an id but not a text are two documents.
+Stages that give texts to Python lower the session's limit for Arrow batches, see ``small_batches``.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from mapsheaf.llm import bpe, decontaminate, langid, secrets, simhash
 from mapsheaf.llm.common import materialize, table
 from mapsheaf.llm.queries import BPE_RANKS
-from mapsheaf.session import ship_package
+from mapsheaf.session import ship_package, small_batches
 
 
 # The least tokens of a benchmark item that counts when it occurs whole.
@@ -31,6 +32,7 @@ SHORT_ITEM = 5
 def recognised_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; learned from the folds 0 and 2 of three."""
     ship_package(spark)
+    small_batches(spark)
     return langid.keep_recognised(docs, folds=3, held_out=1)
 
 
@@ -40,6 +42,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Rows that share an id but not a text are judged apart; of equal rows one stays.
     """
     ship_package(spark)
+    small_batches(spark)
     return simhash.keep_one(docs, shingle=3, max_bits=2)
 
 
@@ -56,6 +59,7 @@ def secret_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, n_tokens, ids, decoded``: the documents as tokens, and as text again."""
     ship_package(spark)
+    small_batches(spark)
     coded = bpe.encode_decode(docs, bpe.load_ranks(BPE_RANKS), public_tokenizers.PATTERN)
     return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.decode("decoded", "UTF-8").alias("decoded"))

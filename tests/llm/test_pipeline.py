@@ -1,5 +1,6 @@
 import __spark_entry__
 import public_tokenizers
+import pyarrow as pa
 import tiktoken
 
 import corpus_pipeline
@@ -8,6 +9,7 @@ from llm.test_secrets import brute as brute_secrets
 from llm.test_simhash import brute_components, brute_print
 from mapsheaf.llm import bpe, langid, secrets
 from mapsheaf.llm.queries import BPE_RANKS
+from mapsheaf.session import BATCH_BYTES, small_batches
 
 
 def test_stages_against_brute_force(spark):
@@ -64,3 +66,26 @@ def test_run_and_odd_rows(spark, odd_docs, no_docs, tmp_path):
         assert all(r.decoded == texts[r.doc_id] for r in rows)
     assert "pipeline" in __spark_entry__.queries()
     assert secrets.LOG_ODDS > 0
+
+
+def test_texts_reach_python_in_small_batches(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    docs = spark.range(3000, numPartitions=1).selectExpr(
+        "id AS doc_id", "repeat('word ', 2000) AS text", "'en' AS lang", "'s' AS source", "10000L AS n_chars")
+
+    def sizes(parts):
+        for part in parts:
+            yield pa.RecordBatch.from_arrays([pa.array([part.nbytes])], ["size"])
+
+    try:
+        for stage in ("language_id", "simhash_near_dedup", "byte_bpe"):
+            spark.conf.set(name, "64MB")
+            dict(corpus_pipeline.STAGES)[stage](spark, docs, "")
+            found = [r["size"] for r in docs.mapInArrow(sizes, "size long").collect()]
+            assert sum(found) > 30_000_000 and max(found) < 2 * BATCH_BYTES
+        spark.conf.set(name, "1m")
+        small_batches(spark)
+        assert spark.conf.get(name) == "1m"
+    finally:
+        spark.conf.set(name, before)
