@@ -1,15 +1,17 @@
 """Phrases whose words stand together more often than chance, for each language.
 
-Every word opens a window: a row of columns for the word and the words after it in its
-piece, as many as the longest phrase has, padded at the end of the piece. Only these longest
-windows are counted; ``ROLLUP`` over their columns sums them to all shorter prefixes,
-which are the counts of all phrases at once.
-
-A window need not reach further than a phrase can. Passes before the windows count words, and
+Pairs of words are counted by the hashes of both words. Every longer run opens a window: a row
+of columns for a word and the words after it in its piece, as many as the longest phrase has,
+padded at the end of the piece. Only these longest windows are counted, summed within a task
+first; ``ROLLUP`` over their columns sums them to all shorter prefixes of three words or more,
+which are the counts of all longer phrases at once. Should a frequent word share its hash with
+another word, which is looked up in the counts of all words, pairs open windows as well.
+
+A window need not reach further than a phrase can. Passes before the windows count words, pairs, and
 runs of ``PRUNED`` words at most by hash, and mark those that reach the least count in
 bitmaps of fixed size; a window is padded where its words, or a run of them, are rare.
 Bitmaps have no false negatives: two runs in one bit leave a window longer than needed,
-nothing else, as counts are taken by the words themselves. So what is sent to the tasks
+nothing else, as its counts are taken by the words themselves. So what is sent to the tasks
 is bounded whatever the corpus holds, and no phrase is lost.
 
 A null text is empty, a null language is ``und``. Repeated rows count each time; ids and further
@@ -19,7 +21,7 @@ columns are ignored. Words are whole byte strings of any length. No rows give no
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -30,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from mapsheaf.llm.common import materialize
+from mapsheaf.llm.common import BROADCAST_KEYS, materialize
 from mapsheaf.llm.words import hashes, mix, runs
 
 # Text bytes taken at once; longer texts are cut where a piece ends.
@@ -38,7 +40,9 @@ CHUNK = 4 << 20
 # Bits of the bitmaps of words and of each length of runs, as a power of two: 2 MB and 8 MB.
 WORD_BITS, RUN_BITS = 24, 26
 # Runs are marked up to this many words.
-PRUNED = 3
+PRUNED = 4
+# Bytes of windows that a task sums up at once.
+SUMMED = 16 << 20
 # Word totals of languages are broadcast up to this many values of ``lang``.
 LANGUAGES = 100_000
 PAD = ""
@@ -91,7 +95,7 @@ class _Words:
         hashes, often = words, np.ones(len(words), bool)
         for size, bitmap in enumerate([*bitmaps, None], 1):
             if size > 1:
-                hashes = mix(hashes * np.uint64(0x9E3779B97F4A7C15) + _shifted(words, size - 1))
+                hashes = _joined(hashes, _shifted(words, size - 1))
                 often = often & _shifted(often, 1) & (self.followed if size == 2 else True)
             if bitmap is not None:
                 often = often & _marked(bitmap, hashes)
@@ -114,6 +118,11 @@ def _word_hashes(words: pa.Array, seeds: np.ndarray) -> np.ndarray:
     return mix(hashes(data, ends[:-1], ends[1:]) ^ seeds)
 
 
+def _joined(run: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Hashes of runs that go on with a word."""
+    return mix(run * np.uint64(0x9E3779B97F4A7C15) + word)
+
+
 def _marked(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     at = hashes & np.uint64(len(bitmap) * 64 - 1)
     return (bitmap[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) != 0
@@ -129,8 +138,9 @@ def _bitmap(hashes: DataFrame, bits: int) -> np.ndarray:
     return bitmap
 
 
-def _each_chunk(docs: DataFrame, run: Callable[[_Words], pa.RecordBatch], schema: str) -> DataFrame:
-    """``run`` of the words of all texts, some megabytes of them at a time."""
+def _each_chunk(docs: DataFrame, run: Callable[[_Words], pa.RecordBatch], schema: str,
+                passed: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]] = iter) -> DataFrame:
+    """``run`` of the words of all texts, some megabytes of them at a time; ``passed`` takes what a task gives."""
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for part in parts:
@@ -150,7 +160,28 @@ def _each_chunk(docs: DataFrame, run: Callable[[_Words], pa.RecordBatch], schema
     narrow = docs.select(
         F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"))
-    return narrow.mapInArrow(batches, schema)
+    return narrow.mapInArrow(lambda parts: passed(batches(parts)), schema)
+
+
+def _summed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches with ``n`` summed by their other columns, passed on when sums no longer bring much."""
+    held: list[pa.RecordBatch] = []
+
+    def summed() -> list[pa.RecordBatch]:
+        table = pa.Table.from_batches(held)
+        keys = [name for name in table.column_names if name != "n"]
+        sums = table.group_by(keys, use_threads=False).aggregate([("n", "sum")])
+        return sums.rename_columns({"n_sum": "n"}).select(table.column_names).to_batches()
+
+    for batch in batches:
+        held.append(batch)
+        if sum(part.nbytes for part in held) >= SUMMED:
+            held = summed()
+            if sum(part.nbytes for part in held) >= SUMMED // 2:
+                yield from held
+                held = []
+    if held:
+        yield from summed()
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -161,14 +192,47 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return _each_chunk(docs, count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
-def frequent_words(counts: DataFrame, least: int) -> DataFrame:
-    """``hash`` of each word that occurs ``least`` times."""
+def with_hashes(counts: DataFrame) -> DataFrame:
+    """``counts`` with the ``hash`` of each language's word."""
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             hashed = _word_hashes(part.column(1), _seeds(part.column(0).to_pylist()))
-            yield pa.RecordBatch.from_arrays([pa.array(hashed.view(np.int64))], ["hash"])
+            yield part.append_column("hash", pa.array(hashed.view(np.int64)))
+
+    return counts.select("lang", "word", "n").mapInArrow(batches, "lang string, word string, n long, hash long")
+
+
+def share_hashes(counts: DataFrame, frequent: DataFrame) -> bool:
+    """Whether one of the ``frequent`` words has the hash of another one of ``counts``."""
+    words, keys = frequent.count(), frequent.select("hash")
+    return counts.join(F.broadcast(keys) if words <= BROADCAST_KEYS else keys, "hash").count() != words
+
+
+def frequent_pairs(docs: DataFrame, bitmaps: Broadcast, least: int) -> DataFrame:
+    """``left, right, f, hash`` of pairs that occur ``least`` times: their words' hashes, and the run's own."""
+    def count(found: _Words) -> pa.RecordBatch:
+        *_, (_, often) = found.runs(bitmaps.value[:1])
+        at, size = np.flatnonzero(often), len(found.word)
+        pairs, counts = np.unique(found.at[at] * size + found.at[np.minimum(at + 1, len(found.at) - 1)], return_counts=True)
+        hashes = _word_hashes(found.word, found.seeds).view(np.int64)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(hashes[pairs // max(1, size)]), pa.array(hashes[pairs % max(1, size)]), pa.array(counts)],
+            ["left", "right", "n"])
+
+    def run_hashes(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            left, right = (part.column(n).to_numpy().view(np.uint64) for n in (0, 1))
+            yield part.append_column("hash", pa.array(_joined(left, right).view(np.int64)))
+
+    counted = _each_chunk(docs, count, "left long, right long, n long").groupBy("left", "right").agg(F.sum("n").alias("f"))
+    return counted.where(F.col("f") >= least).mapInArrow(run_hashes, "left long, right long, f long, hash long")
+
 
-    return counts.where(F.col("n") >= least).select("lang", "word").mapInArrow(batches, "hash long")
+def pair_phrases(pairs: DataFrame, words: DataFrame) -> DataFrame:
+    """``lang, words, f`` of the ``pairs``, whose words are all in ``words``, one of a hash."""
+    return pairs.join(words.select("lang", F.col("hash").alias("left"), F.col("word").alias("first")), "left").join(
+        words.select(F.col("hash").alias("right"), F.col("word").alias("second")), "right").select(
+        "lang", F.array("first", "second").alias("words"), "f")
 
 
 def frequent_runs(docs: DataFrame, bitmaps: Broadcast, least: int) -> DataFrame:
@@ -186,15 +250,15 @@ def _columns(longest: int) -> list[str]:
     return [f"w{n}" for n in range(1, longest + 1)]
 
 
-def windows(docs: DataFrame, bitmaps: Broadcast, longest: int) -> DataFrame:
-    """``lang, w1, ..., n``: how often each padded window of ``longest`` words, two of them at least, occurs."""
+def windows(docs: DataFrame, bitmaps: Broadcast, longest: int, shortest: int = 2) -> DataFrame:
+    """``lang, w1, ..., n``: how often each padded window of ``longest`` words, ``shortest`` of them at least, occurs."""
     names = _columns(longest)
 
     def count(found: _Words) -> pa.RecordBatch:
         marks = [often for _, often in found.runs(bitmaps.value)][:len(bitmaps.value)]
         size, last = len(found.word) + 1, len(found.at) - 1
-        # Words that stand alone are counted already.
-        opening = np.flatnonzero(marks[1])
+        # Shorter runs are counted already.
+        opening = np.flatnonzero(marks[shortest - 1])
         # Lead columns: numbers of words, 0 as padding; windows get numbers column by column.
         columns = [found.at[opening] + 1]
         reach, window = np.ones(len(opening), bool), columns[0]
@@ -210,21 +274,21 @@ def windows(docs: DataFrame, bitmaps: Broadcast, longest: int) -> DataFrame:
             [found.lang.take(pa.array(columns[0][first] - 1)),
              *(padded.take(pa.array(column[first])) for column in columns), pa.array(counts)], ["lang", *names, "n"])
 
-    counted = _each_chunk(docs, count, ", ".join(["lang string", *(f"{w} string" for w in names), "n long"]))
+    counted = _each_chunk(docs, count, ", ".join(["lang string", *(f"{w} string" for w in names), "n long"]), _summed)
     return counted.groupBy("lang", *names).agg(F.sum("n").alias("n"))
 
 
-def phrase_counts(counted: DataFrame, longest: int, least: int) -> DataFrame:
-    """``lang, words, f`` of all phrases of two words or more that occur ``least`` times.
+def phrase_counts(counted: DataFrame, longest: int, least: int, shortest: int = 2) -> DataFrame:
+    """``lang, words, f`` of all phrases of ``shortest`` words or more that occur ``least`` times.
 
     The windows are summed to all their prefixes.
     """
     names = _columns(longest)
     rolled = counted.rollup("lang", *names).agg(F.sum("n").alias("f"), F.grouping_id().alias("summed"))
-    # Prefix of k words, two at least: the last longest - k columns are summed, and its last word is no padding.
+    # Prefix of k words: the last longest - k columns are summed, and its last word is no padding.
     length = reduce(
         lambda rest, k: F.when((F.col("summed") == (1 << (longest - k)) - 1) & (F.col(f"w{k}") != PAD), k).otherwise(rest),
-        range(2, longest + 1), F.lit(0))
+        range(shortest, longest + 1), F.lit(0))
     return rolled.withColumn("k", length).where((F.col("k") > 0) & (F.col("f") >= least)).select(
         "lang", F.slice(F.array(*names), F.lit(1), F.col("k")).alias("words"), "f")
 
@@ -240,14 +304,21 @@ def collocations(docs: DataFrame, least: int = 100, longest: int = 5, top: int =
     is a phrase inside a longer one that occurs as often.
     """
     context = docs.sparkSession.sparkContext
-    counts = materialize(word_counts(docs), "word-counts")
+    counts = materialize(with_hashes(word_counts(docs)), "word-counts")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("n"))
-    bitmaps = [_bitmap(frequent_words(counts, least), WORD_BITS)]
-    for _ in range(1, max(2, min(PRUNED, longest))):
+    words = counts.where(F.col("n") >= least)
+    bitmaps = [_bitmap(words, WORD_BITS)]
+    pairs = materialize(frequent_pairs(docs, context.broadcast(bitmaps), least), "pairs")
+    bitmaps.append(_bitmap(pairs, RUN_BITS))
+    for _ in range(2, min(PRUNED, longest)):
         bitmaps.append(_bitmap(frequent_runs(docs, context.broadcast(bitmaps), least), RUN_BITS))
-    longer = phrase_counts(windows(docs, context.broadcast(bitmaps), longest), longest, least)
-    single = counts.where(F.col("n") >= least).select("lang", F.array("word").alias("words"), F.col("n").alias("f"))
-    phrases = materialize(longer.union(single).withColumn("phrase", F.array_join("words", " ")), "phrases")
+    found, shortest = words.select("lang", F.array("word").alias("words"), F.col("n").alias("f")), 2
+    if not share_hashes(counts, words):
+        found, shortest = found.union(pair_phrases(pairs, words)), 3
+    if shortest <= longest:
+        found = found.union(phrase_counts(
+            windows(docs, context.broadcast(bitmaps), longest, shortest), longest, least, shortest))
+    phrases = materialize(found.withColumn("phrase", F.array_join("words", " ")), "phrases")
     candidates = phrases.where(F.size("words") > 1)
 
     def part(start: Column, size: Column) -> Column:

@@ -2,8 +2,10 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from mapsheaf.llm import collocations as operator
 from mapsheaf.llm.collocations import collocations, phrase_counts
 
 
@@ -86,3 +88,30 @@ def test_odd_rows(odd_docs, no_docs):
     assert {tuple(r) for r in collocations(odd, 2).collect()} == brute(rows, 2, 5, 2000)
     assert collocations(no_docs).collect() == []
     assert collocations(no_docs).columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+
+
+def test_windows_are_summed_within_a_task_and_start_beyond_pairs(spark, monkeypatch):
+    batches = [pa.RecordBatch.from_pydict({"lang": ["en"] * 2, "w1": ["a", w], "n": [1, 2]}) for w in ("b", "c", "b")]
+    rows = pa.Table.from_batches(operator._summed(iter(batches))).to_pylist()
+    assert sorted((r["w1"], r["n"]) for r in rows) == [("a", 3), ("b", 4), ("c", 2)]
+    monkeypatch.setattr(operator, "SUMMED", 1)
+    assert sum(r["n"] for r in pa.Table.from_batches(operator._summed(iter(batches))).to_pylist()) == 9
+
+    made = []
+    spied = operator.windows
+    monkeypatch.setattr(operator, "windows", lambda *args: made.append(spied(*args)) or made[-1])
+    same(spark, [("en", "a b, c d e, f")] * 4 + [("fr", "a b")] * 4)
+    assert {tuple(r)[1:4] for r in made[0].collect()} == {("c", "d", "e")}
+
+
+def test_words_of_one_hash(spark, monkeypatch):
+    """A Thue-Morse word and its opposite have the same polynomial hash modulo 2^64."""
+    bits = [n.bit_count() & 1 for n in range(2048)]
+    one, other = ("".join("ab"[b ^ turned] for b in bits) for turned in (0, 1))
+    shared = []
+    asked = operator.share_hashes
+    monkeypatch.setattr(operator, "share_hashes", lambda *args: shared.append(asked(*args)) or shared[-1])
+    same(spark, [("en", f"x {one} y z")] * 5 + [("en", f"x {other} y z")] * 4 + [("en", f"{one} y, x")] * 2)
+    same(spark, [("en", f"x {one} y z")] * 5 + [("en", f"x {other} y z")])
+    same(spark, [("en", "x a y z")] * 5)
+    assert shared == [True, True, False]
