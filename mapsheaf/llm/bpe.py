@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import islice
 
 import duckdb
@@ -29,6 +28,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mapsheaf.llm.common import give_back, keep_only
+
 REMEMBERED = 300_000
 QUERY_PIECES = 20_000
 QUERY_BYTES = 1 << 18
@@ -237,10 +238,9 @@ class Codec:
                 [np.concatenate(p) if p else np.empty(0, np.uint8) for p in out_bytes])
 
 
-@lru_cache(maxsize=2)
 def codec(ranks: bytes, pattern: str) -> Codec:
-    """One codec for each worker process."""
-    return Codec(ranks, pattern)
+    """One codec for each worker process, until it runs something else."""
+    return keep_only((ranks, pattern), lambda: Codec(ranks, pattern))
 
 
 def _offsets(parts: list[np.ndarray]) -> pa.Buffer:
@@ -267,8 +267,9 @@ def encode_decode(docs: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
                         None, _offsets(decoded), pa.py_buffer(np.concatenate(decoded))])],
                     ["doc_id", "ids", "decoded"])
                 start = end
-                # Workers are kept between tasks; what the tables of this batch held goes back to the system.
-                pa.default_memory_pool().release_unused()
+                # Workers are kept between tasks; what this batch held goes back to the system.
+                del rows, ids, decoded, values
+                give_back()
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return narrow.mapInArrow(batches, "doc_id long, ids array<int>, decoded binary")

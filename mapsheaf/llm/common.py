@@ -1,7 +1,11 @@
-"""Shared pieces: tables, ids, blobs, connected components."""
+"""Shared pieces: tables, ids, blobs, what a worker keeps, connected components."""
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Hashable
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +48,28 @@ def without(df: DataFrame, column: Column, keys: DataFrame, key: str) -> DataFra
         keys, F.col("__own_key") == F.col("__key"), "left_anti").select(df.columns)
 
 
+# What this worker process keeps between tasks: of one operator at a time.
+_kept: dict[Hashable, object] = {}
+
+
+def give_back() -> None:
+    """Return memory that a task has freed to the system, as workers live on after it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def keep_only(key: Hashable = None, make: Callable[[], object] | None = None) -> object:
+    """What is kept under ``key``, made if need be; all else is dropped, without ``make`` everything."""
+    for other in [k for k in _kept if make is None or k != key]:
+        del _kept[other]
+        give_back()
+    if make is not None and key not in _kept:
+        _kept[key] = make()
+    return _kept.get(key)
+
+
 def hash_fold(column: Column, folds: int) -> Column:
     """crc32 of the value as text, modulo ``folds``; null when the value is null."""
     return F.crc32(column.cast("string")) % folds

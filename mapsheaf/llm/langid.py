@@ -26,12 +26,11 @@ from dataclasses import dataclass
 from zlib import crc32
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mapsheaf.llm.common import hash_fold
+from mapsheaf.llm.common import give_back, hash_fold, keep_only
 
 SAMPLE = 256
 CLUSTERS = 4
@@ -189,6 +188,7 @@ def fit(docs: DataFrame, learn: object) -> Model | None:
     sample = thin.withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE).select("lang", "text")
 
     def features(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only()
         for part in parts:
             rows = [(lang, list(zip(*map(sparse, [text, *windows(text)]), strict=True))) for lang, text in zip(
                 part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True) if has_letter(text)]
@@ -200,6 +200,7 @@ def fit(docs: DataFrame, learn: object) -> Model | None:
 
     def occurrences(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # The last counter is the number of texts.
+        keep_only()
         total = np.zeros(DIMENSIONS + 1, np.int64)
         for part in parts:
             for text in part.column(0).to_pylist():
@@ -217,14 +218,14 @@ def fit(docs: DataFrame, learn: object) -> Model | None:
         return None
     rarity = (np.log((1 + total[-1]) / (1 + total[:-1])) + 1).astype(np.float32)
 
-    def fitted(rows: pd.DataFrame) -> pd.DataFrame:
-        own = sorted(zip(map(list, rows["at"]), map(list, rows["weight"]), strict=True))
+    def fitted(rows: pa.Table) -> pa.Table:
+        own = sorted(zip(rows["at"].to_pylist(), rows["weight"].to_pylist(), strict=True))
         centres, floors = language([r[0] for r in own], [r[1] for r in own], rarity)
-        return pd.DataFrame({"lang": [rows["lang"].iloc[0]], "centres": [centres.astype("<f4").tobytes()],
-                             "floors": [floors.astype("<f8").tobytes()]})
+        return pa.table({"lang": [rows["lang"][0].as_py()], "centres": [centres.astype("<f4").tobytes()],
+                         "floors": [floors.astype("<f8").tobytes()]})
 
     rows = sample.mapInArrow(features, "lang string, at array<binary>, weight array<binary>").groupBy(
-        "lang").applyInPandas(fitted, "lang string, centres binary, floors binary").collect()
+        "lang").applyInArrow(fitted, "lang string, centres binary, floors binary").collect()
     return assembled([
         (r.lang, np.frombuffer(r.centres, "<f4").reshape(-1, DIMENSIONS), np.frombuffer(r.floors, "<f8"))
         for r in sorted(rows, key=lambda r: r.lang)], rarity) if rows else None
@@ -255,12 +256,14 @@ def identify(docs: DataFrame, folds: int = 3, held_out: int = 1) -> DataFrame:
     model = fit(docs, fold != held_out)
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only()
         for part in parts:
             languages, scores, rejected = predict(model, part.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays([
                 part.column(0), part.column(1), pa.array(languages, pa.string()),
                 pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())],
                 ["doc_id", "held_out", "lang_pred", "score", "rejected"])
+        give_back()
 
     narrow = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -275,8 +278,10 @@ def keep_recognised(docs: DataFrame, folds: int = 3, held_out: int = 1) -> DataF
     at = docs.columns.index("text")
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only()
         for part in parts:
             rejected = predict(model, part.column(at).to_pylist())[2]
             yield part.filter(pa.array([not x for x in rejected], pa.bool_()))
+        give_back()
 
     return docs.mapInArrow(batches, docs.schema)

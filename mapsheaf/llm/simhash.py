@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mapsheaf.llm.common import components, materialize, without
+from mapsheaf.llm.common import components, give_back, keep_only, materialize, without
 
 BITS = 64
 
@@ -48,10 +48,12 @@ def text_fingerprint(text: str | None, shingle: int) -> int:
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """The columns of ``docs`` but ``text``, and the ``fingerprint`` (a long) of every whole text."""
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_only()
         for part in parts:
             prints = [text_fingerprint(text.as_py(), shingle) for text in part.column(part.num_columns - 1)]
             yield pa.RecordBatch.from_arrays(
                 [*part.columns[:-1], pa.array(prints, pa.int64())], [*part.schema.names[:-1], "fingerprint"])
+        give_back()
 
     rest = [c for c in docs.columns if c != "text"]
     schema = docs.select(*rest, F.lit(0).cast("long").alias("fingerprint")).schema

@@ -4,7 +4,7 @@ from hashlib import sha256
 import public_tokenizers
 import tiktoken
 
-from mapsheaf.llm import bpe
+from mapsheaf.llm import bpe, common
 from mapsheaf.llm.queries import BPE_RANKS, QUERIES
 
 CODEC = bpe.Codec(bpe.load_ranks(BPE_RANKS), public_tokenizers.PATTERN)
@@ -55,3 +55,15 @@ def test_odd_rows(odd_docs, no_docs):
         assert bytes(r.decoded).decode() == (texts[r.doc_id] or "")
         assert r.ids == LIBRARY.encode_ordinary(texts[r.doc_id] or "")
     assert bpe.encode_decode(no_docs, ranks, public_tokenizers.PATTERN).count() == 0
+
+
+def test_a_worker_keeps_the_codec_until_it_runs_something_else(monkeypatch):
+    monkeypatch.setattr(common, "_kept", {})
+    ranks = bpe.load_ranks(BPE_RANKS)
+    first = bpe.codec(ranks, public_tokenizers.PATTERN)
+    assert bpe.codec(ranks, public_tokenizers.PATTERN) is first
+    common.keep_only("other", dict)
+    assert list(common._kept) == ["other"]
+    assert bpe.codec(ranks, public_tokenizers.PATTERN) is not first
+    common.keep_only()
+    assert common._kept == {}
