@@ -26,7 +26,7 @@ def folder(spark, tmp_path_factory):
     return str(path)
 
 
-@pytest.mark.parametrize("name", ["tile_cover"])
+@pytest.mark.parametrize("name", ["tile_cover", "tile_update"])
 def test_tiles_go_down_to_the_last_zoom_of_each_theme(spark, folder, name):
     frame = entry.queries()[name](spark, folder)
     rows = frame.collect()
