@@ -5,6 +5,7 @@ import random
 from mapsheaf.operators import views as op
 
 BOX = "struct<xmin:double,xmax:double,ymin:double,ymax:double>"
+ITEM_NAMES = [*op._ITEMS, "unknown", None]
 TYPE_NAMES = [*op._TYPES, "odd", None]
 
 
@@ -25,3 +26,29 @@ def test_types_of_views_by_bits(spark):
     assert sorted((r.view_id, r.id) for r in found.collect()) == wanted and wanted
     join = next(line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "SortMergeJoin" in line)
     assert "_types" in join and "(types" not in join
+
+
+def test_hits_of_views_by_bits_are_those_by_names(spark):
+    rng = random.Random(6)
+    items = spark.createDataFrame([(v, rng.choice(ITEM_NAMES)) for v in range(30) for _ in range(v % 7)], "view_id int, item string")
+    hits = spark.createDataFrame([
+        (n, rng.choice(ITEM_NAMES[::3] + ["unknown", None, None]), rng.choice(TYPE_NAMES), rng.choice([True, None, False]),
+         (n % 3 + 0.5, n % 3 + 0.5, 0.5, 0.5)) for n in range(600)], f"id int, item string, rule_type string, selectable boolean, bbox {BOX}")
+    boxes = view_boxes(spark, 30)
+    by_name = op.selectable_hits(op.view_extract(hits, boxes), items)
+    by_bits = op.selectable_hits(op.view_extract(op.with_needs(hits), op.with_choices(boxes, items)))
+    assert sorted(by_bits.columns) == sorted(by_name.columns)
+    columns = ["view_id", "id", "item", "rule_type"]
+    assert sorted(map(str, by_bits.select(columns).collect())) == sorted(map(str, by_name.select(columns).collect()))
+    assert by_bits.count() > 100
+
+
+def test_hits_of_views_are_not_shuffled_for_their_choices(spark):
+    items = spark.createDataFrame([(1, "place-label")], "view_id int, item string")
+    hits = spark.createDataFrame([(1, "place-label", "place", True, (0.5, 0.5, 0.5, 0.5))],
+                                 f"id int, item string, rule_type string, selectable boolean, bbox {BOX}")
+    found = op.selectable_hits(op.view_extract(op.with_needs(hits), op.with_choices(view_boxes(spark, 3), items)))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # The outermost join is that of boxes, by cells.
+    assert "_cell" in next(line for line in plan.splitlines() if "SortMergeJoin" in line)
+    assert [(r.view_id, r.id) for r in found.collect()] == [(1, 1)]
