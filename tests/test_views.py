@@ -2,7 +2,10 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from mapsheaf.operators import views as op
+from mapsheaf.sources import catalog, release
 
 BOX = "struct<xmin:double,xmax:double,ymin:double,ymax:double>"
 ITEM_NAMES = [*op._ITEMS, "unknown", None]
@@ -52,3 +55,17 @@ def test_hits_of_views_are_not_shuffled_for_their_choices(spark):
     # The outermost join is that of boxes, by cells.
     assert "_cell" in next(line for line in plan.splitlines() if "SortMergeJoin" in line)
     assert [(r.view_id, r.id) for r in found.collect()] == [(1, 1)]
+
+
+def test_views_are_not_repeated_for_each_file(spark, tmp_path):
+    rows = spark.range(400).select(
+        F.when(F.col("id") % 2 == 0, "land").otherwise("water").alias("type"), "id", F.struct(
+            *((F.col("id") % 20 + n).cast("double").alias(side) for side, n in (("xmin", 0), ("xmax", 0.5), ("ymin", 0), ("ymax", 0.5)))).alias("bbox"))
+    rows.repartition(8).write.partitionBy("type").parquet(f"{tmp_path}/r/theme=base")
+    scanned = release.scan_release(spark, f"{tmp_path}/r")
+    views = spark.createDataFrame([(n, (0.0, 30.0, 0.0, 30.0)) for n in range(50)] + [(50, (5.0, 6.0, 5.0, 6.0))] * 2, f"view_id int, box {BOX}")
+    choices = spark.createDataFrame([(n, ["land"] if n % 2 else ["land", "water"]) for n in range(51)], "view_id int, types array<string>")
+    found = catalog.extract_views(spark, catalog.file_manifest(scanned, f"{tmp_path}/r"), f"{tmp_path}/r", views, choices)
+    assert found.count() == op.view_extract(scanned, views, choices).count() == 25 * 400 + 25 * 200 + 2 * 40
+    join = next(line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "SortMergeJoin" in line)
+    assert "rel_path" not in join
