@@ -1,5 +1,6 @@
 """Tile queries on tables of their own: every zoom up to 14 is part of the job."""
 
+import re
 from collections import Counter
 
 import duckdb
@@ -38,3 +39,16 @@ def test_tiles_go_down_to_the_last_zoom_of_each_theme(spark, folder, name):
     cursor = con.execute(entry.oracle_sql()[name])
     columns = [column[0] for column in cursor.description]
     assert Counter(tuple(r[c] for c in columns) for r in rows) == Counter(cursor.fetchall())
+
+
+@pytest.mark.parametrize("name", ["tile_assign"])
+def test_no_step_is_too_large_for_java_to_compile(spark, folder, name):
+    # Beyond 8,000 bytes a method is interpreted, row by row.
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        plan = entry.queries()[name](spark, folder)._jdf.queryExecution().executedPlan()
+        code = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$").codegenString(plan)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", True)
+    sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    assert sizes and max(sizes) < 8000
