@@ -241,6 +241,14 @@ def _entries(df: DataFrame, value: str) -> DataFrame:
     return df.select(*(F.col(f"`{c}`") for c in df.columns if c != value), F.expr(first).alias("_rows"))
 
 
+def _opened(rows: DataFrame, depth: int) -> DataFrame:
+    """Entries opened level by level, ``depth`` deep."""
+    for _ in range(depth):
+        # Most are done after a few levels and only looked at from then on.
+        rows = rows.withColumn("_rows", F.expr(f"CASE WHEN {_SOME_OPEN} THEN {_BELOW} ELSE _rows END"))
+    return rows
+
+
 def _listed(rows: DataFrame) -> DataFrame:
     """A row for each entry that is neither null, the text "null" nor empty."""
     shown = F.filter("_rows", lambda row: row["text"].isNotNull() & ~row["text"].rlike(
@@ -256,22 +264,26 @@ def property_tree(df: DataFrame, key: str = "key", value: str = "value", depth:
     ``path`` joins the members and list positions that lead to ``text`` by dots; it is null
     for a text that is not nested. Members that are null, the text "null" or empty are left out.
     """
-    rows = _entries(df, value)
-    for _ in range(depth):
-        # Most are done after a few levels and only looked at from then on.
-        rows = rows.withColumn("_rows", F.expr(f"CASE WHEN {_SOME_OPEN} THEN {_BELOW} ELSE _rows END"))
-    return _listed(rows)
+    return _listed(_opened(_entries(df, value), depth))
 
 
 def property_walk(df: DataFrame, key: str = "key", value: str = "value") -> DataFrame:
     """``property_tree`` by a recursive query, which goes on until no nested value is left.
 
     A row of the recursion is a whole text with its entries so far, so these need no numbers to be put
-    together again. Text nested more than ``WALK_ROUNDS`` deep is an error. Spark's limit of a
+    together again. Spark keeps the rows of all rounds, so the first ``TREE_DEPTH`` levels are opened before
+    the recursion and only texts with more than those take part in it. Text nested more than ``WALK_ROUNDS`` deep is an error. Spark's limit of a
     recursion's rows, a million, is lifted for the session.
     """
     df.sparkSession.conf.set("spark.sql.cteRecursionRowLimit", -1)
-    start = _entries(df, value)
+
+    def opened(rows: DataFrame) -> DataFrame:
+        # Out of a generator, as the filters below would repeat all levels otherwise.
+        rows = _opened(_entries(rows, value), TREE_DEPTH)
+        return rows.select(*(F.col(f"`{c}`") for c in rows.columns if c != "_rows"), F.explode(F.array("_rows")).alias("_rows"))
+
+    # Each level has a bracket of its own in the text, as it is or escaped.
+    start = opened(df.where(F.regexp_count(F.col(f"`{value}`"), F.lit(r"[\[{]|\\u")) > TREE_DEPTH))
     keep = ", ".join(f"`{c}`" for c in start.columns if c != "_rows")
     walked = df.sparkSession.sql(f"""
       WITH RECURSIVE walk({keep}, _rows) MAX RECURSION LEVEL {WALK_ROUNDS} AS (
@@ -279,8 +291,8 @@ def property_walk(df: DataFrame, key: str = "key", value: str = "value") -> Data
         UNION ALL
         SELECT {keep}, {_BELOW} FROM walk WHERE {_SOME_OPEN})
       SELECT {keep}, _rows FROM walk WHERE NOT {_SOME_OPEN}""", start=start)
-    # Texts that are not nested take no part in the recursion.
-    return _listed(walked).union(_listed(start.where(f"NOT {_SOME_OPEN}")))
+    # Texts that are open no more take no part in the recursion.
+    return _listed(walked).union(_listed(opened(df).where(f"NOT {_SOME_OPEN}")))
 
 
 def url_flags(df: DataFrame, value: str = "value", values: str | None = None) -> DataFrame:
